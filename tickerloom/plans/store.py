@@ -51,6 +51,16 @@ class Store:
         data = [tuple(r.get(f.name) for f in schema) for r in rows]
         self.append(table, self.spark.createDataFrame(data, schema).coalesce(1))
 
+    def stage(self, run_id: str, step: str, df: DataFrame) -> DataFrame:
+        """Write `df` under the run's own folder and read it back.
+
+        What follows reads the written copy, so later appends to the tables `df`
+        came from cannot change it and lost executors cost no recomputation.
+        """
+        path = f"{self.root}/_staging/{run_id}/{step}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     def replace_scope(self, table: str, df: DataFrame, scope: Mapping[str, str]) -> None:
         """Replace exactly one partition; other partitions stay untouched.
 
