@@ -47,9 +47,15 @@ class Store:
 
     def append_rows(self, table: str, rows: Sequence[Mapping[str, Any]]) -> None:
         """Append a few driver-made rows (runs, builds, snapshots)."""
-        schema = table_schema(table)
-        data = [tuple(r.get(f.name) for f in schema) for r in rows]
-        self.append(table, self.spark.createDataFrame(data, schema).coalesce(1))
+        fields = table_schema(table)
+        made = [
+            self.spark.range(1).select(
+                *[F.lit(r.get(f.name)).cast(f.dataType).alias(f.name) for f in fields]
+            )
+            for r in rows
+        ]
+        for one in made:
+            self.append(table, one.coalesce(1))
 
     def stage(self, run_id: str, step: str, df: DataFrame) -> DataFrame:
         """Write `df` under the run's own folder and read it back.
