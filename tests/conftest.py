@@ -14,7 +14,7 @@ def spark():
     from oracle import session
 
     s = session("8")
-    s.conf.set("spark.sql.shuffle.partitions", "4")
+    s.conf.set("spark.sql.shuffle.partitions", "2")
     yield s
     s.stop()
 

@@ -226,3 +226,147 @@ def derive_index_values(
         F.lit(RUN).alias("ingestion_run_id"),
         F.lit(SOURCE).alias("source_id"),
     )
+
+
+def with_errors(bars: DataFrame) -> DataFrame:
+    """Numbered bars with planted violations of every row rule."""
+    sid, rn = F.col("security_id"), F.col("rn")
+
+    def every(a: int, b: int, n: int) -> Column:
+        return (sid * a + rn * b) % n == 0
+
+    flags = F.col("quality_flags")
+    return bars.withColumns(
+        {
+            "volume": F.when(every(3, 1, 101), -1 - F.col("volume")).otherwise(F.col("volume")),
+            "high": F.when(every(1, 2, 103), (F.col("low") - 1).cast(PRICE)).otherwise(F.col("high")),
+            "open": F.when(every(1, 3, 107), (F.col("high") + 1).cast(PRICE)).otherwise(F.col("open")),
+            "close": F.when(every(2, 1, 109), F.lit(0).cast(PRICE)).otherwise(F.col("close")),
+            "value": F.when(every(1, 11, 137), None).otherwise(F.col("value")),
+            "reference_price": F.when(
+                every(1, 13, 139), (-F.col("reference_price")).cast(PRICE)
+            ).otherwise(F.col("reference_price")),
+            "trading_status": F.when(every(1, 5, 113), "unknown")
+            .when(every(1, 1, 127), "traded")
+            .when(every(1, 7, 131), "halted")
+            .otherwise(F.col("trading_status")),
+            "quality_flags": F.when(every(1, 17, 149), F.array_append(flags, "made_up"))
+            .when(
+                every(1, 19, 151), F.array_append(F.reverse(flags), "unverified_trading_date")
+            )
+            .when(every(1, 23, 157), F.array_append(flags, F.lit(None).cast("string")))
+            .otherwise(flags),
+            "source_line": F.when(rn % 211 == 0, 2).otherwise(F.col("source_line")),
+            "ingestion_run_id": F.when(sid % 31 == 0, "run-2").otherwise(F.lit(RUN)),
+        }
+    )
+
+
+def derive_files(supplier: DataFrame, bars: DataFrame) -> DataFrame:
+    """One registered file per supplier, some missing, foreign or not stock files."""
+    sid = F.col("s_suppkey")
+    rows = bars.groupBy(F.col("security_id").alias("s_suppkey")).agg(F.count(F.lit(1)).alias("n"))
+    return (
+        supplier.filter(sid % 17 != 0)
+        .join(rows, "s_suppkey", "left")
+        .select(
+            (sid + 1).alias("file_id"),
+            F.when(sid % 37 == 0, "other:r1:0").otherwise("bench:r1:0").alias("snapshot_id"),
+            F.concat(F.lit("dataset/stocks/csv/S"), sid.cast("string"), F.lit(".csv")).alias(
+                "relative_path"
+            ),
+            F.sha2(F.concat(F.lit("file"), sid.cast("string")), 256).alias("sha256"),
+            (F.coalesce("n", F.lit(0)) - F.when(sid % 9 == 0, 1).otherwise(0)).cast("int").alias(
+                "row_count"
+            ),
+            F.when(
+                sid % 13 != 0,
+                F.concat(F.when(sid % 19 == 0, "X").otherwise("S"), sid.cast("string")),
+            ).alias("source_key"),
+        )
+    )
+
+
+def derive_keys(supplier: DataFrame) -> DataFrame:
+    """One source key per supplier, some missing or with an unknown flag."""
+    sid = F.col("s_suppkey")
+    return supplier.filter(sid % 23 != 0).select(
+        F.lit(SOURCE).alias("source_id"),
+        F.concat(F.lit("S"), sid.cast("string")).alias("source_key"),
+        sid.alias("security_id"),
+        F.lit("bench:r1:0").alias("first_seen_snapshot_id"),
+        F.when(sid % 29 == 0, F.array(F.lit("made_up")))
+        .when(sid % 7 == 0, F.array(F.lit("source_ticker_column_mismatch")))
+        .otherwise(F.array().cast("array<string>"))
+        .alias("quality_flags"),
+    )
+
+
+def derive_securities(supplier: DataFrame) -> DataFrame:
+    sid = F.col("s_suppkey")
+    return supplier.select(
+        sid.alias("security_id"),
+        F.concat(F.when(sid % 41 == 0, "T").otherwise("S"), sid.cast("string")).alias("ticker"),
+        F.col("s_name").alias("name"),
+        F.lit("IDR").alias("currency"),
+        F.when(sid % 43 == 0, "isin").otherwise("development").alias("identity_kind"),
+    )
+
+
+def derive_snapshots(customer: DataFrame) -> DataFrame:
+    """One snapshot per customer: source by segment, revision by nation."""
+    key = F.col("c_custkey")
+    content = F.sha2(key.cast("string"), 256)
+    source = F.lower("c_mktsegment")
+    revision = F.concat(F.lit("r"), F.col("c_nationkey").cast("string"))
+    derived = F.concat_ws(":", source, revision, F.substring(content, 1, 16))
+    return customer.select(
+        key.alias("snapshot_key"),
+        F.when(key % 50 == 0, F.concat(derived, F.lit("x"))).otherwise(derived).alias("snapshot_id"),
+        F.when(key % 60 == 0, F.upper(source)).otherwise(source).alias("source_id"),
+        revision.alias("source_revision"),
+        F.when(key % 70 == 0, F.upper(content)).otherwise(content).alias("content_sha256"),
+        F.when(key % 80 == 0, "short").alias("archive_sha256"),
+        F.when(key % 90 == 0, -1).otherwise(key % 100).cast("int").alias("file_count"),
+    )
+
+
+def derive_runs(orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """One run per order over the snapshot of its customer."""
+    key = F.col("o_orderkey")
+    started = F.col("o_orderdate")
+    status = (
+        F.when(F.col("o_orderstatus") == "O", "running")
+        .when(F.col("o_orderstatus") == "F", "succeeded")
+        .otherwise("failed")
+    )
+    seen = key % 1000
+    collapsed = F.when(key % 3 == 0, key % 7)
+    inserted = seen - F.coalesce(collapsed, F.lit(0)) - F.when(key % 111 == 0, 1).otherwise(0)
+    snapshots = derive_snapshots(customer).select("snapshot_key", "snapshot_id")
+    return (
+        orders.join(snapshots, F.col("o_custkey") == F.col("snapshot_key"))
+        .select(
+            key.cast("string").alias("ingestion_run_id"),
+            "snapshot_id",
+            F.when(key % 2 == 0, "stock-csv-1").otherwise("index-csv-1").alias("parser_version"),
+            started.alias("started_at"),
+            F.when((status != "running") | (key % 120 == 0), F.date_add(started, F.when(key % 130 == 0, -1).otherwise(1)).cast("timestamp")).alias(
+                "completed_at"
+            ),
+            status.alias("status"),
+            seen.alias("rows_seen"),
+            inserted.alias("rows_inserted"),
+            F.lit(0).alias("rows_unchanged"),
+            F.lit(0).alias("rows_rejected"),
+            F.lit(0).alias("rows_conflicted"),
+            F.when(
+                collapsed.isNotNull(),
+                F.to_json(
+                    F.struct(
+                        F.struct(collapsed.alias("rows_collapsed_duplicates")).alias("counters")
+                    )
+                ),
+            ).alias("validation_summary"),
+        )
+    )

@@ -222,3 +222,99 @@ cte(
         FROM index_prev) x""",
     "index_prev",
 )
+
+cte(
+    "base_flags",
+    """SELECT *, list_concat(CASE WHEN f_nonreg THEN ['non_regular_activity_present'] ELSE CAST([] AS VARCHAR[]) END,
+    CASE WHEN f_weekend THEN ['unverified_trading_date'] ELSE CAST([] AS VARCHAR[]) END) AS fl FROM bars""",
+    "bars",
+)
+cte(
+    "dirty_high",
+    """SELECT * REPLACE (
+    CASE WHEN (security_id * 3 + rn) % 101 = 0 THEN -1 - volume ELSE volume END AS volume,
+    CASE WHEN (security_id + rn * 2) % 103 = 0 THEN low - 1 ELSE high END AS high,
+    CASE WHEN (security_id * 2 + rn) % 109 = 0 THEN 0 ELSE close END AS close,
+    CASE WHEN (security_id + rn * 11) % 137 = 0 THEN NULL ELSE value END AS value,
+    CASE WHEN (security_id + rn * 13) % 139 = 0 THEN -reference_price ELSE reference_price END AS reference_price,
+    CASE WHEN (security_id + rn * 5) % 113 = 0 THEN 'unknown' WHEN (security_id + rn) % 127 = 0 THEN 'traded'
+      WHEN (security_id + rn * 7) % 131 = 0 THEN 'halted' ELSE trading_status END AS trading_status,
+    CASE WHEN (security_id + rn * 17) % 149 = 0 THEN list_append(fl, 'made_up')
+      WHEN (security_id + rn * 19) % 151 = 0 THEN list_append(list_reverse(fl), 'unverified_trading_date')
+      WHEN (security_id + rn * 23) % 157 = 0 THEN list_append(fl, NULL) ELSE fl END AS fl,
+    CASE WHEN rn % 211 = 0 THEN 2 ELSE source_line END AS source_line,
+    CASE WHEN security_id % 31 = 0 THEN 'run-2' ELSE 'run-1' END AS ingestion_run_id),
+    CASE WHEN (security_id + rn * 3) % 107 = 0 THEN high + 1 ELSE open END AS open2
+  FROM base_flags""",
+    "base_flags",
+)
+cte("dirty", "SELECT * EXCLUDE (open, open2), open2 AS open FROM dirty_high", "dirty_high")
+cte(
+    "issues",
+    """SELECT *, concat_ws('|',
+    CASE WHEN volume < 0 THEN 'negative_volume' END,
+    CASE WHEN open <= 0 THEN 'non_positive_open' END,
+    CASE WHEN high <= 0 THEN 'non_positive_high' END,
+    CASE WHEN low <= 0 THEN 'non_positive_low' END,
+    CASE WHEN close <= 0 THEN 'non_positive_close' END,
+    CASE WHEN trading_status = 'traded' AND (high IS NULL OR low IS NULL) THEN 'traded_without_range' END,
+    CASE WHEN trading_status = 'traded' AND low IS NOT NULL AND high < low THEN 'high_below_low' END,
+    CASE WHEN trading_status = 'traded' AND low IS NOT NULL AND high < close THEN 'high_below_close' END,
+    CASE WHEN trading_status = 'traded' AND high IS NOT NULL AND low > close THEN 'low_above_close' END,
+    CASE WHEN trading_status = 'traded' AND low IS NOT NULL AND high < open THEN 'high_below_open' END,
+    CASE WHEN trading_status = 'traded' AND high IS NOT NULL AND low > open THEN 'low_above_open' END) AS hard,
+    concat_ws('|',
+    CASE WHEN trading_status = 'no_regular_market_trade' THEN 'no_regular_market_trade' END,
+    CASE WHEN trading_status = 'unknown' THEN 'unclassified_row' END,
+    CASE WHEN open IS NULL THEN 'open_missing' END) AS expected
+  FROM dirty""",
+    "dirty",
+)
+cte(
+    "files",
+    """SELECT s_suppkey + 1 AS file_id, CASE WHEN s_suppkey % 37 = 0 THEN 'other:r1:0' ELSE 'bench:r1:0' END AS snapshot_id,
+    'dataset/stocks/csv/S' || s_suppkey || '.csv' AS relative_path, sha256('file' || s_suppkey) AS sha256,
+    coalesce(n, 0) - CASE WHEN s_suppkey % 9 = 0 THEN 1 ELSE 0 END AS row_count,
+    CASE WHEN s_suppkey % 13 <> 0 THEN CASE WHEN s_suppkey % 19 = 0 THEN 'X' ELSE 'S' END || s_suppkey END AS source_key
+  FROM supplier LEFT JOIN (SELECT security_id, count(*) AS n FROM bars GROUP BY 1) b ON b.security_id = s_suppkey
+  WHERE s_suppkey % 17 <> 0""",
+    "bars",
+)
+cte(
+    "keys",
+    """SELECT 'bench' AS source_id, 'S' || s_suppkey AS source_key, s_suppkey AS security_id,
+    CASE WHEN s_suppkey % 29 = 0 THEN ['made_up'] WHEN s_suppkey % 7 = 0 THEN ['source_ticker_column_mismatch']
+      ELSE CAST([] AS VARCHAR[]) END AS fl
+  FROM supplier WHERE s_suppkey % 23 <> 0""",
+)
+cte(
+    "securities",
+    """SELECT s_suppkey AS security_id, CASE WHEN s_suppkey % 41 = 0 THEN 'T' ELSE 'S' END || s_suppkey AS ticker,
+    s_name AS name, CASE WHEN s_suppkey % 43 = 0 THEN 'isin' ELSE 'development' END AS identity_kind FROM supplier""",
+)
+cte(
+    "snapshots",
+    """SELECT snapshot_key, CASE WHEN snapshot_key % 50 = 0 THEN d || 'x' ELSE d END AS snapshot_id,
+    CASE WHEN snapshot_key % 60 = 0 THEN upper(src) ELSE src END AS source_id, source_revision,
+    CASE WHEN snapshot_key % 70 = 0 THEN upper(h) ELSE h END AS content_sha256,
+    CASE WHEN snapshot_key % 80 = 0 THEN 'short' END AS archive_sha256,
+    CASE WHEN snapshot_key % 90 = 0 THEN -1 ELSE snapshot_key % 100 END AS file_count
+  FROM (SELECT *, src || ':' || source_revision || ':' || substr(h, 1, 16) AS d
+        FROM (SELECT c_custkey AS snapshot_key, lower(c_mktsegment) AS src, 'r' || c_nationkey AS source_revision,
+                sha256(CAST(c_custkey AS VARCHAR)) AS h FROM customer) a) b""",
+)
+cte(
+    "runs",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS ingestion_run_id, snapshot_id,
+    CASE WHEN o_orderkey % 2 = 0 THEN 'stock-csv-1' ELSE 'index-csv-1' END AS parser_version,
+    CAST(o_orderdate AS DATE) AS started,
+    CASE WHEN o_orderstatus <> 'O' OR o_orderkey % 120 = 0
+      THEN CAST(o_orderdate AS DATE) + CASE WHEN o_orderkey % 130 = 0 THEN -1 ELSE 1 END END AS completed,
+    CASE o_orderstatus WHEN 'O' THEN 'running' WHEN 'F' THEN 'succeeded' ELSE 'failed' END AS status,
+    o_orderkey % 1000 AS rows_seen,
+    o_orderkey % 1000 - CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey % 7 ELSE 0 END
+      - CASE WHEN o_orderkey % 111 = 0 THEN 1 ELSE 0 END AS rows_inserted,
+    CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey % 7 ELSE 0 END AS collapsed
+  FROM orders JOIN snapshots ON o_custkey = snapshot_key""",
+    "snapshots",
+)
