@@ -6,7 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickerloom.bindings import quality_queries, registry, series_queries  # noqa: F401
+from tickerloom.bindings import (  # noqa: F401
+    load_queries,
+    quality_queries,
+    registry,
+    series_queries,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -318,3 +318,34 @@ cte(
   FROM orders JOIN snapshots ON o_custkey = snapshot_key""",
     "snapshots",
 )
+
+cte(
+    "incoming",
+    "SELECT *, 'S' || security_id AS source_key FROM flagged_bars",
+    "flagged_bars",
+)
+cte(
+    "stored",
+    """SELECT * REPLACE (CASE WHEN (security_id + rn) % 37 = 0 THEN close + 1 ELSE close END AS close)
+  FROM flagged_bars WHERE rn % 10 <> 0""",
+    "flagged_bars",
+)
+cte(
+    "outcomes",
+    """SELECT security_id, trading_date, rn, close, source_line, CASE WHEN rn % 10 = 0 THEN 'new'
+    WHEN (security_id + rn) % 37 = 0 THEN 'conflict' ELSE 'unchanged' END AS outcome FROM bars""",
+    "bars",
+)
+cte(
+    "copies",
+    """SELECT security_id, trading_date, rn, close, rn + 1 AS line FROM bars
+  UNION ALL SELECT security_id, trading_date, rn, close, rn + 100001 FROM bars WHERE rn % 50 = 0
+  UNION ALL SELECT security_id, trading_date, rn, close + 1, rn + 200001 FROM bars WHERE rn % 400 = 0 AND security_id % 5 = 0""",
+    "bars",
+)
+cte(
+    "copy_groups",
+    """SELECT security_id, trading_date, count(*) AS copies, count(DISTINCT close) > 1 AS conflict, min(line) AS line
+  FROM copies GROUP BY security_id, trading_date""",
+    "copies",
+)

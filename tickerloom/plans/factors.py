@@ -397,11 +397,18 @@ def derive_factors(
     )
 
 
+def distinct_succeeded(snapshots: DataFrame, runs: DataFrame) -> DataFrame:
+    """Distinct snapshots that have a succeeded run."""
+    succeeded = runs.filter("status = 'succeeded'")
+    return snapshots.join(succeeded, "snapshot_id", "left_semi").select("snapshot_id").distinct()
+
+
 def succeeded_snapshots(store: Store, source_id: str) -> DataFrame:
-    """Distinct snapshots of a source that have a succeeded run, in id order."""
-    snapshots = store.read("source_snapshots").filter(F.col("source_id") == source_id)
-    runs = store.current("ingestion_runs", ["ingestion_run_id"]).filter("status = 'succeeded'")
-    return snapshots.join(runs, "snapshot_id", "left_semi").select("snapshot_id").distinct()
+    """Distinct snapshots of a source that have a succeeded run."""
+    return distinct_succeeded(
+        store.read("source_snapshots").filter(F.col("source_id") == source_id),
+        store.current("ingestion_runs", ["ingestion_run_id"]),
+    )
 
 
 def write_build(store: Store, build: FactorBuild) -> str:
