@@ -11,6 +11,7 @@ from tickerloom.bindings import (  # noqa: F401
     quality_queries,
     registry,
     series_queries,
+    text_queries,
 )
 
 

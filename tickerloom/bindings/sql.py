@@ -349,3 +349,48 @@ cte(
   FROM copies GROUP BY security_id, trading_date""",
     "copies",
 )
+
+cte(
+    "stock_lines",
+    """SELECT *, 'S' || security_id || 'Y' || year(trading_date) AS k,
+    row_number() OVER (PARTITION BY security_id, year(trading_date) ORDER BY trading_date DESC) + 1 AS line,
+    CASE WHEN rn % 83 = 0 THEN '2 fields, expected 26'
+      WHEN rn % 97 = 0 THEN 'malformed date ''' || replace(CAST(trading_date AS VARCHAR), '-', '/') || ''''
+      WHEN rn % 89 = 0 THEN 'Close=''n/a'' is not a number' END AS reason
+  FROM flagged_bars""",
+    "flagged_bars",
+)
+cte(
+    "index_lines",
+    """SELECT *, replace(index_code, ' ', '-') || '-' || year(trading_date) AS code,
+    row_number() OVER (PARTITION BY index_code, year(trading_date) ORDER BY trading_date DESC) + 1 AS line,
+    CASE WHEN rn % 41 = 0 AND month(trading_date) < 10 THEN 'Date=''' || strftime(trading_date, '%Y-%-m-%d') || ''' is not YYYY-MM-DD'
+      ELSE coalesce(nullif(concat_ws('|',
+        CASE WHEN rn % 37 = 0 AND close - 1 < low THEN 'high_below_low' END,
+        CASE WHEN rn % 37 = 0 THEN 'close_outside_high_low' END,
+        CASE WHEN rn % 31 = 0 THEN 'change_differs_from_close_minus_previous' END), ''),
+        CASE WHEN rn % 43 = 0 THEN 'Constituent=''9.5'' is not an integer' END) END AS reason
+  FROM index_values""",
+    "index_values",
+)
+cte(
+    "event_records",
+    """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, o_orderpriority, o_custkey,
+    'categories.' || o_orderpriority || '.data[' || (row_number() OVER (PARTITION BY o_orderkey // 1000, o_orderpriority ORDER BY o_orderkey) - 1) || ']' AS ref,
+    o_orderkey // 1000 AS block,
+    CASE WHEN o_orderkey % 19 = 0 THEN 'missing fields JumlahSaham'
+      WHEN o_orderkey % 13 = 0 THEN 'unexpected date ''' || CAST(o_orderdate AS DATE) || 'T10:00:00'''
+      WHEN o_orderkey % 17 = 0 THEN 'empty ticker'
+      WHEN o_orderkey % 5 <> 0 AND o_orderkey % 23 = 0 THEN 'JumlahSaham: invalid share count ''' || (o_orderkey % 900 - 1000) || '''' END AS reason
+  FROM orders""",
+)
+cte(
+    "dividend_records",
+    """SELECT *, CAST(o_orderdate AS DATE) AS day, CAST(o_totalprice AS DECIMAL(18,2)) AS amount, o_orderkey // 1000 AS block,
+    'S' || (o_custkey % 100) || '.JK[' || (row_number() OVER (PARTITION BY o_orderkey // 1000, o_custkey % 100 ORDER BY o_orderkey) - 1) || ']' AS ref,
+    CASE WHEN o_orderkey % 11 = 0 THEN 'dividend: not a positive amount ''-' || CAST(o_totalprice AS DECIMAL(18,2)) || ''''
+      WHEN o_orderkey % 17 = 0 THEN 'fiscal_year: unexpected value ''19'''
+      WHEN o_orderkey % 29 = 0 THEN 'dividend_type: unexpected value '''''
+      WHEN o_orderkey % 13 = 0 AND month(o_orderdate) < 10 THEN 'ex_date: unexpected date ''' || strftime(o_orderdate, '%Y-%-m-%d') || '''' END AS reason
+  FROM orders""",
+)
