@@ -57,7 +57,12 @@ def stock_files(t: Tables) -> DataFrame:
         .when(rn % 4 == 0, F.concat(day, F.lit("T00:00:00")))
         .otherwise(day),
         "Ticker": F.when(sid % 6 == 0, F.lower(key)).otherwise(key),
-        "Name": F.concat(F.lit('"Company '), sid.cast("string"), F.lit(', ""Y'), rn.cast("string"), F.lit('"""')),
+        "Name": F.when(
+            sid % 4 == 0,
+            F.concat(
+                F.lit('"Company '), sid.cast("string"), F.lit(', ""Y'), rn.cast("string"), F.lit('"""')
+            ),
+        ).otherwise(F.concat(F.lit("Company "), sid.cast("string"), F.lit(" Y"), rn.cast("string"))),
         "Previous": _text("reference_price"),
         "Open": _text("open"),
         "High": _text("high"),

@@ -353,6 +353,8 @@ cte(
 cte(
     "stock_lines",
     """SELECT *, 'S' || security_id || 'Y' || year(trading_date) AS k,
+    CASE WHEN security_id % 4 = 0 THEN 'Company ' || security_id || ', "Y' || rn || '"'
+      ELSE 'Company ' || security_id || ' Y' || rn END AS company,
     row_number() OVER (PARTITION BY security_id, year(trading_date) ORDER BY trading_date DESC) + 1 AS line,
     CASE WHEN rn % 83 = 0 THEN '2 fields, expected 26'
       WHEN rn % 97 = 0 THEN 'malformed date ''' || replace(CAST(trading_date AS VARCHAR), '-', '/') || ''''

@@ -13,7 +13,7 @@ from tickerloom.operators.dedupe import accepted, key_groups
 from tickerloom.schemas import EVENT_OBSERVATION
 from tickerloom.sources import json_records
 from tickerloom.sources.adapters import ActionsJsonSource, IndexCsvSource, StockCsvSource
-from tickerloom.sources.csv_lines import csv_records, data_rows, decoded
+from tickerloom.sources.csv_lines import data_row_count, decoded
 
 STOCK, INDEX = StockCsvSource(SOURCE), IndexCsvSource(SOURCE)
 
@@ -75,7 +75,7 @@ def _(t: Tables) -> DataFrame:
 @query(
     "s12_file_facts",
     """SELECT k AS source_key, count(*) AS row_count, max(trading_date) FILTER (WHERE ok) AS newest_date,
-    max_by('Company ' || security_id || ', "Y' || rn || '"', trading_date) FILTER (WHERE ok) AS newest_name,
+    max_by(company, trading_date) FILTER (WHERE ok) AS newest_name,
     CASE WHEN security_id % 6 = 0 AND bool_or(rn % 83 <> 0) THEN lower(k) ELSE '' END AS ticker_mismatch_values
     FROM (SELECT *, rn % 83 <> 0 AND rn % 97 <> 0 AS ok FROM stock_lines) s GROUP BY k, security_id""",
     "stock_lines",
@@ -88,7 +88,7 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "s20_security_listing",
-    """SELECT 'dev:bench:' || k AS security_id, max_by('Company ' || security_id || ', "Y' || rn || '"', trading_date) FILTER (WHERE rn % 83 <> 0 AND rn % 97 <> 0) AS name
+    """SELECT 'dev:bench:' || k AS security_id, max_by(company, trading_date) FILTER (WHERE rn % 83 <> 0 AND rn % 97 <> 0) AS name
     FROM stock_lines GROUP BY k""",
     "stock_lines",
 )
@@ -116,7 +116,7 @@ def _(t: Tables) -> DataFrame:
     "index_lines",
 )
 def _(t: Tables) -> DataFrame:
-    rows = data_rows(csv_records(decoded(F.col("content"))))
+    rows = data_row_count(decoded(F.col("content")))
     return files.index_files(t).select("relative_path", rows.alias("row_count"))
 
 

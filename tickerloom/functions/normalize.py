@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickerloom.schemas import MONEY, PRICE
@@ -124,22 +124,6 @@ def first_reason(*reasons: Column) -> Column:
     return F.array_compact(F.array(F.coalesce(*reasons)))
 
 
-def not_number(column: str, text: Column) -> Column:
-    return F.when(
-        number(text).isNull(), F.concat(F.lit(f"{column}="), _quoted(text), F.lit(" is not a number"))
-    )
-
-
-def not_integer(column: str, text: Column) -> Column:
-    return F.coalesce(
-        not_number(column, text),
-        F.when(
-            integer(text).isNull(),
-            F.concat(F.lit(f"{column}="), _quoted(text), F.lit(" is not an integer")),
-        ),
-    )
-
-
 def _quoted(text: Column) -> Column:
     return F.concat(F.lit("'"), F.coalesce(text, F.lit("")), F.lit("'"))
 
@@ -156,71 +140,116 @@ def cell(cells: Column, header: Sequence[str], name: str) -> Column:
     return F.get(cells, F.lit(header.index(name)))
 
 
-def price_columns(cells: Column, header: Sequence[str], key: Column) -> dict[str, Column]:
-    """All normalised columns of one stock row, plus its ``reasons``.
+def _numbers(rows: DataFrame, header: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Rows with each named cell parsed once, as ``_n_<name>``.
+
+    Later expressions use a number many times; as a column of its own it is
+    computed once per row.
+    """
+    return rows.withColumns(
+        {f"_n_{n}": number(cell(F.col("cells"), header, n)) for n in names}
+    )
+
+
+def _whole(name: str) -> Column:
+    value = F.col(f"_n_{name}")
+    return F.when(is_whole(value), value).try_cast("bigint")
+
+
+def _number_reason(header: Sequence[str], name: str) -> Column:
+    text = cell(F.col("cells"), header, name)
+    return F.when(
+        F.col(f"_n_{name}").isNull(),
+        F.concat(F.lit(f"{name}="), _quoted(text), F.lit(" is not a number")),
+    )
+
+
+def _integer_reason(header: Sequence[str], name: str) -> Column:
+    text = cell(F.col("cells"), header, name)
+    fraction = ~is_whole(F.col(f"_n_{name}"))
+    return F.coalesce(
+        _number_reason(header, name),
+        F.when(fraction, F.concat(F.lit(f"{name}="), _quoted(text), F.lit(" is not an integer"))),
+    )
+
+
+PRICE_NUMBERS = (
+    "High", "Low", "Volume", "NonRegularVolume", "Close", "Open", "Previous", "Value", "Frequency",
+)
+
+
+def price_rows(rows: DataFrame, header: Sequence[str], key: str) -> DataFrame:
+    """Stock rows with all normalised columns and their ``reasons``.
 
     A row is accepted when ``reasons`` is empty. Checks run in reading order and
     only the first failure is reported.
     """
 
     def raw(name: str) -> Column:
-        return cell(cells, header, name)
+        return cell(F.col("cells"), header, name)
 
-    ticker = strip(raw("Ticker"))
-    date = trade_date(raw("Date"))
-    high, low, volume = number(raw("High")), number(raw("Low")), integer(raw("Volume"))
+    parsed = _numbers(rows, header, PRICE_NUMBERS).withColumns(
+        {"_date": trade_date(raw("Date")), "_ticker": strip(raw("Ticker"))}
+    )
+    n = {name: F.col(f"_n_{name}") for name in PRICE_NUMBERS}
+    ticker, date, volume = F.col("_ticker"), F.col("_date"), _whole("Volume")
     reasons = first_reason(
-        wrong_width(cells, len(header)),
+        wrong_width(F.col("cells"), len(header)),
         F.when(
-            (ticker != key) & (F.upper(ticker) != key),
+            (ticker != F.col(key)) & (F.upper(ticker) != F.col(key)),
             F.concat(F.lit("Ticker "), _quoted(ticker), F.lit(" does not match the file key")),
         ),
         F.when(date.isNull(), F.concat(F.lit("malformed date "), _quoted(raw("Date")))),
-        not_number("High", raw("High")),
-        not_number("Low", raw("Low")),
-        not_integer("Volume", raw("Volume")),
-        not_integer("NonRegularVolume", raw("NonRegularVolume")),
-        not_number("Close", raw("Close")),
-        not_number("Open", raw("Open")),
-        not_number("Previous", raw("Previous")),
-        not_number("Value", raw("Value")),
-        not_integer("Frequency", raw("Frequency")),
+        _number_reason(header, "High"),
+        _number_reason(header, "Low"),
+        _integer_reason(header, "Volume"),
+        _integer_reason(header, "NonRegularVolume"),
+        _number_reason(header, "Close"),
+        _number_reason(header, "Open"),
+        _number_reason(header, "Previous"),
+        _number_reason(header, "Value"),
+        _integer_reason(header, "Frequency"),
+    )
+    return parsed.select(
+        *rows.columns,
+        date.alias("trading_date"),
+        positive_or_null(n["Open"]).try_cast(PRICE).alias("open"),
+        positive_or_null(n["High"]).try_cast(PRICE).alias("high"),
+        positive_or_null(n["Low"]).try_cast(PRICE).alias("low"),
+        n["Close"].try_cast(PRICE).alias("close"),
+        positive_or_null(n["Previous"]).try_cast(PRICE).alias("reference_price"),
+        volume.alias("volume"),
+        n["Value"].try_cast(MONEY).alias("value"),
+        _whole("Frequency").alias("frequency"),
+        trading_status(volume, n["High"], n["Low"]).alias("trading_status"),
+        row_flags(_whole("NonRegularVolume"), date).alias("quality_flags"),
+        reasons.alias("reasons"),
     )
-    return {
-        "trading_date": date,
-        "open": positive_or_null(number(raw("Open"))).try_cast(PRICE),
-        "high": positive_or_null(high).try_cast(PRICE),
-        "low": positive_or_null(low).try_cast(PRICE),
-        "close": number(raw("Close")).try_cast(PRICE),
-        "reference_price": positive_or_null(number(raw("Previous"))).try_cast(PRICE),
-        "volume": volume,
-        "value": number(raw("Value")).try_cast(MONEY),
-        "frequency": integer(raw("Frequency")),
-        "trading_status": trading_status(volume, high, low),
-        "quality_flags": row_flags(integer(raw("NonRegularVolume")), date),
-        "reasons": reasons,
-    }
 
 
 # ---- fixed value: tolerance of the published index change -------------------
 CHANGE_TOLERANCE = "0.001"
 
 
-def index_columns(cells: Column, header: Sequence[str]) -> dict[str, Column]:
-    """All normalised columns of one index row, plus its ``reasons``."""
+INDEX_NUMBERS = (
+    "Previous", "Highest", "Lowest", "Close", "Change", "Constituent", "Volume", "Value",
+    "Frequency", "Capitalization",
+)
 
-    def raw(name: str) -> Column:
-        return cell(cells, header, name)
 
-    date = iso_date(raw("Date"))
-    previous, high, low, close = (
-        number(raw(n)) for n in ("Previous", "Highest", "Lowest", "Close")
-    )
-    change = number(raw("Change"))
+def index_rows(rows: DataFrame, header: Sequence[str]) -> DataFrame:
+    """Index rows with all normalised columns and their ``reasons``."""
+    raw_date = cell(F.col("cells"), header, "Date")
+    parsed = _numbers(rows, header, INDEX_NUMBERS).withColumn("_date", iso_date(raw_date))
+    n = {name: F.col(f"_n_{name}") for name in INDEX_NUMBERS}
+    previous, high, low, close = (n[x] for x in ("Previous", "Highest", "Lowest", "Close"))
+    date = F.col("_date")
     unreadable = F.coalesce(
-        wrong_width(cells, len(header)),
-        F.when(date.isNull(), F.concat(F.lit("Date="), _quoted(raw("Date")), F.lit(" is not YYYY-MM-DD"))),
-        *[not_number(n, raw(n)) for n in ("Previous", "Highest", "Lowest", "Close", "Change")],
+        wrong_width(F.col("cells"), len(header)),
+        F.when(
+            date.isNull(), F.concat(F.lit("Date="), _quoted(raw_date), F.lit(" is not YYYY-MM-DD"))
+        ),
+        *[_number_reason(header, x) for x in ("Previous", "Highest", "Lowest", "Close", "Change")],
     )
     problems = F.array_compact(
         F.array(
@@ -228,34 +257,36 @@ def index_columns(cells: Column, header: Sequence[str]) -> dict[str, Column]:
             F.when(high < low, "high_below_low"),
             F.when((close < low) | (close > high), "close_outside_high_low"),
             F.when(
-                F.abs(close - previous - change) > F.lit(CHANGE_TOLERANCE).cast("decimal(4,3)"),
+                F.abs(close - previous - n["Change"]) > F.lit(CHANGE_TOLERANCE).cast("decimal(4,3)"),
                 "change_differs_from_close_minus_previous",
             ),
         )
     )
     later = first_reason(
-        not_integer("Constituent", raw("Constituent")),
-        not_integer("Volume", raw("Volume")),
-        not_number("Value", raw("Value")),
-        not_integer("Frequency", raw("Frequency")),
-        not_number("Capitalization", raw("Capitalization")),
+        _integer_reason(header, "Constituent"),
+        _integer_reason(header, "Volume"),
+        _number_reason(header, "Value"),
+        _integer_reason(header, "Frequency"),
+        _number_reason(header, "Capitalization"),
     )
+    staged = parsed.withColumns({"_unreadable": unreadable, "_problems": problems})
     reasons = (
-        F.when(unreadable.isNotNull(), F.array(unreadable))
-        .when(F.size(problems) > 0, problems)
+        F.when(F.col("_unreadable").isNotNull(), F.array("_unreadable"))
+        .when(F.size("_problems") > 0, F.col("_problems"))
         .otherwise(later)
     )
-    return {
-        "trading_date": date,
-        "previous": previous.try_cast(PRICE),
-        "high": high.try_cast(PRICE),
-        "low": low.try_cast(PRICE),
-        "close": close.try_cast(PRICE),
-        "constituents": integer(raw("Constituent")).try_cast("int"),
-        "volume": integer(raw("Volume")),
-        "value": number(raw("Value")).try_cast(MONEY),
-        "frequency": integer(raw("Frequency")),
-        "capitalization": number(raw("Capitalization")).try_cast(MONEY),
-        "quality_flags": row_flags(None, date),
-        "reasons": reasons,
-    }
+    return staged.select(
+        *rows.columns,
+        date.alias("trading_date"),
+        previous.try_cast(PRICE).alias("previous"),
+        high.try_cast(PRICE).alias("high"),
+        low.try_cast(PRICE).alias("low"),
+        close.try_cast(PRICE).alias("close"),
+        _whole("Constituent").try_cast("int").alias("constituents"),
+        _whole("Volume").alias("volume"),
+        n["Value"].try_cast(MONEY).alias("value"),
+        _whole("Frequency").alias("frequency"),
+        n["Capitalization"].try_cast(MONEY).alias("capitalization"),
+        row_flags(None, date).alias("quality_flags"),
+        reasons.alias("reasons"),
+    )

@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickerloom.functions.normalize import (
-    index_columns,
-    price_columns,
+    index_rows,
+    price_rows,
     source_key,
     security_id_text,
     strip,
@@ -31,7 +31,13 @@ from tickerloom.schemas import (
     INDEX_OBSERVATION,
 )
 from tickerloom.sources import json_records
-from tickerloom.sources.csv_lines import csv_records, data_rows, decoded
+from tickerloom.sources.csv_lines import (
+    csv_records,
+    data_row_count,
+    data_rows,
+    decoded,
+    exploded_records,
+)
 from tickerloom.sources.snapshot import Manifest, StructuralError, read_manifest
 
 # ---- fixed values: snapshot layout and CSV headers --------------------------
@@ -218,20 +224,19 @@ class StockCsvSource(_Source):
     def rows(self, files: DataFrame) -> DataFrame:
         """Every data line of the stock files, normalised, with its reasons."""
         stock = files.filter(F.col("relative_path").rlike(STOCK_PATH))
-        lines = stock.select(
+        lines = exploded_records(
+            stock,
+            decoded(F.col("content")),
             "relative_path",
             "sha256",
             F.regexp_extract("relative_path", STOCK_PATH, 1).alias("source_key"),
-            F.explode(csv_records(decoded(F.col("content")))).alias("r"),
-        ).filter("r.line > 1")
-        columns = price_columns(F.col("r.cells"), STOCK_HEADER, F.col("source_key"))
-        return lines.select(
-            "relative_path",
-            "sha256",
+        ).filter("line > 1")
+        return price_rows(
+            lines.select(
+                "relative_path", "sha256", "source_key", F.col("line").alias("source_line"), "cells"
+            ),
+            STOCK_HEADER,
             "source_key",
-            F.col("r.line").alias("source_line"),
-            F.col("r.cells").alias("cells"),
-            *[c.alias(n) for n, c in columns.items()],
         )
 
 
@@ -260,29 +265,26 @@ class IndexCsvSource(_Source):
         ).filter("problem IS NOT NULL")
 
     def record_count(self, files: DataFrame) -> DataFrame:
-        records = csv_records(decoded(F.col("content")))
-        return files.select("relative_path", data_rows(records).alias("row_count"))
+        rows = data_row_count(decoded(F.col("content")))
+        return files.select("relative_path", rows.alias("row_count"))
 
     def records(self, files: DataFrame) -> DataFrame:
-        lines = files.select(
+        lines = exploded_records(
+            files,
+            decoded(F.col("content")),
             "relative_path",
             "sha256",
             F.regexp_extract("relative_path", INDEX_PATH, 1).alias("index_code"),
-            F.explode(csv_records(decoded(F.col("content")))).alias("r"),
-        ).filter("r.line > 1")
-        columns = index_columns(F.col("r.cells"), INDEX_HEADER)
-        return lines.select(
-            "relative_path",
-            "sha256",
-            "index_code",
-            F.col("r.line").alias("position"),
-            F.col("r.line").cast("string").alias("record_ref"),
-            F.col("r.line").alias("source_line"),
+        ).filter("line > 1")
+        return index_rows(lines, INDEX_HEADER).select(
+            "*",
+            F.col("line").alias("position"),
+            F.col("line").cast("string").alias("record_ref"),
+            F.col("line").alias("source_line"),
             F.lit(None).cast("string").alias("match_key"),
-            F.to_json("r.cells").alias("raw"),
+            F.to_json("cells").alias("raw"),
             F.array().cast(json_records.ISSUES).alias("issues"),
-            *[c.alias(n) for n, c in columns.items()],
-        )
+        ).drop("line", "cells")
 
 
 class _OneJsonFile(_Source):

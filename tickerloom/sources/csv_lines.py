@@ -12,7 +12,7 @@ import csv
 import io
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,26 +62,68 @@ def _cells(line: Column) -> Column:
     )
 
 
+def _lines(text: Column) -> Column:
+    """Physical lines; the end of the last line is not a line of its own."""
+    split = F.split(text, "\r\n|\n|\r")
+    last_is_empty = F.element_at(split, -1) == ""
+    return F.when(last_is_empty, F.slice(split, F.lit(1), F.size(split) - 1)).otherwise(split)
+
+
+def _multiline(text: Column) -> Column:
+    """The file's text when some quoted field spans lines, else NULL."""
+    spans = F.exists(
+        _lines(text), lambda s: F.contains(s, F.lit('"')) & ~s.rlike(_WELL_FORMED)
+    )
+    return F.when(F.contains(text, F.lit('"')), F.when(spans, text))
+
+
 def csv_records(text: Column) -> Column:
     """All records of a file, header included, as ``array<struct<line, cells>>``.
 
-    A blank line is a record without cells. The end of the last line is not a
-    record of its own.
+    A blank line is a record without cells.
     """
-    split = F.split(text, "\r\n|\n|\r")
-    lines = F.when(F.element_at(split, -1) == "", F.slice(split, F.lit(1), F.size(split) - 1)).otherwise(
-        split
+    simple = F.transform(
+        _lines(text),
+        lambda s, i: F.struct((i + 1).cast("int").alias("line"), _cells(s).alias("cells")),
     )
-    multiline = F.exists(
-        lines, lambda s: F.contains(s, F.lit('"')) & ~s.rlike(_WELL_FORMED)
+    return F.coalesce(_multiline_records(_multiline(text)), simple)
+
+
+def exploded_records(files: DataFrame, text: Column, *keep: Column | str) -> DataFrame:
+    """One row ``(*keep, line, cells)`` per record of every file.
+
+    Lines are exploded as text and split into cells afterwards, in generated code
+    rather than inside an array function.
+    """
+    prepared = files.select(*keep, text.alias("_text"))
+    names = [c for c in prepared.columns if c != "_text"]
+    parsed = prepared.withColumn("_parsed", _multiline_records(_multiline(F.col("_text"))))
+    no_cells = F.lit(None).cast("array<string>")
+    plain = F.transform(
+        _lines(F.col("_text")),
+        lambda s, i: F.struct(
+            (i + 1).cast("int").alias("line"), s.alias("text"), no_cells.alias("cells")
+        ),
     )
-    simple = F.transform(
-        lines, lambda s, i: F.struct((i + 1).cast("int").alias("line"), _cells(s).alias("cells"))
+    quoted = F.transform(
+        "_parsed",
+        lambda r: F.struct(
+            r["line"].alias("line"), F.lit(None).cast("string").alias("text"), r["cells"].alias("cells")
+        ),
+    )
+    return parsed.select(*names, F.explode(F.coalesce(quoted, plain)).alias("r")).select(
+        *names,
+        F.col("r.line").alias("line"),
+        F.coalesce("r.cells", _cells(F.col("r.text"))).alias("cells"),
     )
-    parsed = _multiline_records(F.when(multiline, text))
-    return F.coalesce(parsed, simple)
 
 
 def data_rows(records: Column) -> Column:
     """Records after the header."""
     return F.greatest(F.size(records) - 1, F.lit(0))
+
+
+def data_row_count(text: Column) -> Column:
+    """Records after the header, counted without splitting lines into cells."""
+    records = F.coalesce(F.size(_multiline_records(_multiline(text))), F.size(_lines(text)))
+    return F.greatest(records - 1, F.lit(0))

@@ -43,17 +43,23 @@ _ACTIONS = (
 _DIVIDENDS = "map<string,array<string>>"
 
 
-def _text(record: Column, field: str) -> Column:
-    """Value of a field as text: strings unquoted, numbers as written."""
-    return F.get_json_object(record, f"$.{field}")
+def with_fields(records: DataFrame) -> DataFrame:
+    """Records with their fields parsed once, as ``map<string,string>``.
+
+    The map keeps an absent field apart from a null one. It is NULL when the
+    record is not an object.
+    """
+    return records.withColumn("fields", F.from_json("raw", "map<string,string>"))
 
 
-def _is_object(record: Column) -> Column:
-    return F.coalesce(F.json_object_keys(record).isNotNull(), F.lit(False))
+def _text(field: str) -> Column:
+    """Value of a field as text: strings unquoted, numbers as written."""
+    return F.col("fields")[field]
 
 
-def _is_string(record: Column, field: str) -> Column:
-    value = F.try_variant_get(F.try_parse_json(record), f"$.{field}", "variant")
+def _is_string(field: str) -> Column:
+    """Whether the field holds a JSON string (numbers look alike in the map)."""
+    value = F.try_variant_get(F.try_parse_json("raw"), f"$.{field}", "variant")
     return F.coalesce(F.schema_of_variant(value) == "STRING", F.lit(False))
 
 
@@ -96,9 +102,9 @@ def action_problems(files: DataFrame) -> DataFrame:
     )
 
 
-def _shares(record: Column, field: str) -> tuple[Column, Column]:
+def _shares(field: str) -> tuple[Column, Column]:
     """Share count and the reason it is unusable; a null count is allowed."""
-    text = _text(record, field)
+    text = _text(field)
     value = number(text)
     bad = text.isNotNull() & (value.isNull() | (value < 0))
     reason = F.when(bad, F.concat(F.lit(f"{field}: invalid share count '"), text, F.lit("'")))
@@ -116,7 +122,7 @@ def action_records(files: DataFrame) -> DataFrame:
         "source_category",
         F.posexplode("block.data").alias("index", "raw"),
     )
-    return listed.select(
+    return with_fields(listed).select(
         "relative_path",
         "sha256",
         "raw",
@@ -125,27 +131,27 @@ def action_records(files: DataFrame) -> DataFrame:
         F.concat(
             F.lit("categories."), "source_category", F.lit(".data["), F.col("index").cast("string"), F.lit("]")
         ).alias("record_ref"),
-        *[c.alias(n) for n, c in event_columns(F.col("raw")).items()],
+        *[c.alias(n) for n, c in event_columns().items()],
         F.array().cast(ISSUES).alias("issues"),
     )
 
 
-def event_columns(record: Column) -> dict[str, Column]:
-    """Columns of one event record given as JSON text."""
-    ticker = F.when(_is_string(record, "KodeEmiten"), _text(record, "KodeEmiten"))
-    when = midnight_date(_text(record, "TanggalPencatatan"))
-    involved, bad_involved = _shares(record, "JumlahSaham")
-    after, bad_after = _shares(record, "JumlahSahamSetelahTindakan")
+def event_columns() -> dict[str, Column]:
+    """Columns of one event record, from its ``raw`` text and ``fields``."""
+    ticker = F.when(_is_string("KodeEmiten"), _text("KodeEmiten"))
+    when = midnight_date(_text("TanggalPencatatan"))
+    involved, bad_involved = _shares("JumlahSaham")
+    after, bad_after = _shares("JumlahSahamSetelahTindakan")
     required = F.array(*[F.lit(f) for f in ACTION_FIELDS])
-    missing = F.array_except(required, F.json_object_keys(record))
+    missing = F.array_except(required, F.map_keys("fields"))
     reasons = first_reason(
-        F.when(~_is_object(record), "record is not an object"),
+        F.when(F.col("fields").isNull(), "record is not an object"),
         F.when(F.size(missing) > 0, F.concat(F.lit("missing fields "), F.array_join(missing, ", "))),
         F.when(
             when.isNull(),
             F.concat(
                 F.lit("unexpected date '"),
-                F.coalesce(_text(record, "TanggalPencatatan"), F.lit("None")),
+                F.coalesce(_text("TanggalPencatatan"), F.lit("None")),
                 F.lit("'"),
             ),
         ),
@@ -155,8 +161,8 @@ def event_columns(record: Column) -> dict[str, Column]:
     )
     # A null id or label is kept as the text None, as published upstream.
     return {
-        "source_record_id": F.coalesce(_text(record, "id"), F.lit("None")),
-        "source_action_label": F.coalesce(_text(record, "JenisTindakan"), F.lit("None")),
+        "source_record_id": F.coalesce(_text("id"), F.lit("None")),
+        "source_action_label": F.coalesce(_text("JenisTindakan"), F.lit("None")),
         "source_ticker": ticker,
         "registration_date": when,
         "shares_involved": involved,
@@ -193,7 +199,7 @@ def dividend_records(files: DataFrame) -> DataFrame:
     listed = tickers.select(
         "relative_path", "sha256", "source_ticker", F.posexplode("list").alias("index", "raw")
     )
-    return listed.select(
+    return with_fields(listed).select(
         "relative_path",
         "sha256",
         "raw",
@@ -201,7 +207,7 @@ def dividend_records(files: DataFrame) -> DataFrame:
         F.struct("source_ticker", "index").alias("position"),
         F.concat("source_ticker", F.lit("["), F.col("index").cast("string"), F.lit("]")).alias("record_ref"),
         normalize_ticker(F.regexp_replace("source_ticker", TICKER_SUFFIX_PATTERN, "")).alias("match_key"),
-        *[c.alias(n) for n, c in dividend_columns(F.col("raw")).items()],
+        *[c.alias(n) for n, c in dividend_columns().items()],
     )
 
 
@@ -219,19 +225,19 @@ def optional_date(text: Column, field: str) -> tuple[Column, Column]:
     return date, F.array_compact(F.array(issue))
 
 
-def dividend_columns(record: Column) -> dict[str, Column]:
-    """Columns of one dividend record given as JSON text."""
-    amount, year = _text(record, "dividend"), _text(record, "fiscal_year")
-    kind = F.when(_is_string(record, "dividend_type"), _text(record, "dividend_type"))
-    ex_text = F.when(_is_string(record, "ex_date"), _text(record, "ex_date"))
+def dividend_columns() -> dict[str, Column]:
+    """Columns of one dividend record, from its ``raw`` text and ``fields``."""
+    amount, year = _text("dividend"), _text("fiscal_year")
+    kind = F.when(_is_string("dividend_type"), _text("dividend_type"))
+    ex_text = F.when(_is_string("ex_date"), _text("ex_date"))
     value = F.when(amount.rlike(AMOUNT_PATTERN), number_wide(amount))
-    payment, issues = optional_date(_text(record, "payment_date"), "payment_date")
+    payment, issues = optional_date(_text("payment_date"), "payment_date")
 
     def reason(test: Column, label: str, text: Column) -> Column:
         return F.when(test, F.concat(F.lit(label), F.lit(" '"), F.coalesce(text, F.lit("None")), F.lit("'")))
 
     reasons = first_reason(
-        F.when(~_is_object(record), "record is not an object"),
+        F.when(F.col("fields").isNull(), "record is not an object"),
         reason(value.isNull() | (value <= 0), "dividend: not a positive amount", amount),
         reason(~F.coalesce(year.rlike(YEAR_PATTERN), F.lit(False)), "fiscal_year: unexpected value", year),
         reason(kind.isNull() | (kind == ""), "dividend_type: unexpected value", kind),
