@@ -13,7 +13,7 @@ from tickerloom.operators.dedupe import accepted, key_groups
 from tickerloom.schemas import EVENT_OBSERVATION
 from tickerloom.sources import json_records
 from tickerloom.sources.adapters import ActionsJsonSource, IndexCsvSource, StockCsvSource
-from tickerloom.sources.csv_lines import data_row_count, decoded
+from tickerloom.sources.csv_lines import with_data_row_count
 
 STOCK, INDEX = StockCsvSource(SOURCE), IndexCsvSource(SOURCE)
 
@@ -116,8 +116,7 @@ def _(t: Tables) -> DataFrame:
     "index_lines",
 )
 def _(t: Tables) -> DataFrame:
-    rows = data_row_count(decoded(F.col("content")))
-    return files.index_files(t).select("relative_path", rows.alias("row_count"))
+    return with_data_row_count(files.index_files(t)).select("relative_path", "row_count")
 
 
 @query(

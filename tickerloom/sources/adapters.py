@@ -32,11 +32,10 @@ from tickerloom.schemas import (
 )
 from tickerloom.sources import json_records
 from tickerloom.sources.csv_lines import (
-    csv_records,
-    data_row_count,
     data_rows,
-    decoded,
     exploded_records,
+    with_data_row_count,
+    with_records,
 )
 from tickerloom.sources.snapshot import Manifest, StructuralError, read_manifest
 
@@ -186,13 +185,16 @@ class StockCsvSource(_Source):
         path = F.col("relative_path")
         is_csv = path.endswith(".csv")
         stock = F.col("role") == "stock"
-        parsed = files.withColumn("role", self.classify(path)).withColumn(
-            "records", F.when(is_csv, csv_records(decoded(F.col("content"))))
-        )
+        content = F.when(is_csv, F.col("content")).alias("content")
         body = F.slice("records", F.lit(2), F.greatest(F.size("records"), F.lit(1)))
         good = F.filter(body, lambda r: F.size(r["cells"]) == len(STOCK_HEADER))
+        parsed = with_records(
+            files.select(
+                "relative_path", "sha256", "size_bytes", self.classify(path).alias("role"), content
+            )
+        ).withColumn("good", F.when(stock, good))
         dated = F.transform(
-            good,
+            "good",
             lambda r: F.struct(
                 trade_date(cell(r["cells"], STOCK_HEADER, "Date")).alias("date"),
                 (-r["line"]).alias("order"),
@@ -201,7 +203,7 @@ class StockCsvSource(_Source):
         )
         newest = F.array_max(F.filter(dated, lambda d: d["date"].isNotNull()))
         key = F.regexp_extract(path, STOCK_PATH, 1)
-        tickers = F.transform(good, lambda r: strip(cell(r["cells"], STOCK_HEADER, "Ticker")))
+        tickers = F.transform("good", lambda r: strip(cell(r["cells"], STOCK_HEADER, "Ticker")))
         by_case = F.filter(
             F.array_distinct(tickers), lambda t: (t != key) & (F.upper(t) == key)
         )
@@ -226,7 +228,6 @@ class StockCsvSource(_Source):
         stock = files.filter(F.col("relative_path").rlike(STOCK_PATH))
         lines = exploded_records(
             stock,
-            decoded(F.col("content")),
             "relative_path",
             "sha256",
             F.regexp_extract("relative_path", STOCK_PATH, 1).alias("source_key"),
@@ -259,19 +260,21 @@ class IndexCsvSource(_Source):
         return path.startswith(INDEX_FOLDER) & ~path.rlike(INDEX_PATH)
 
     def problems(self, files: DataFrame) -> DataFrame:
-        records = csv_records(decoded(F.col("content")))
-        return files.select(
-            "relative_path", structure_problem(records, INDEX_HEADER).alias("problem")
-        ).filter("problem IS NOT NULL")
+        problem = structure_problem(F.col("records"), INDEX_HEADER)
+        return (
+            with_records(files.select("relative_path", "content"))
+            .select("relative_path", problem.alias("problem"))
+            .filter("problem IS NOT NULL")
+        )
 
     def record_count(self, files: DataFrame) -> DataFrame:
-        rows = data_row_count(decoded(F.col("content")))
-        return files.select("relative_path", rows.alias("row_count"))
+        return with_data_row_count(files.select("relative_path", "content")).select(
+            "relative_path", "row_count"
+        )
 
     def records(self, files: DataFrame) -> DataFrame:
         lines = exploded_records(
             files,
-            decoded(F.col("content")),
             "relative_path",
             "sha256",
             F.regexp_extract("relative_path", INDEX_PATH, 1).alias("index_code"),

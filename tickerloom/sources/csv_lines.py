@@ -62,59 +62,61 @@ def _cells(line: Column) -> Column:
     )
 
 
-def _lines(text: Column) -> Column:
-    """Physical lines; the end of the last line is not a line of its own."""
-    split = F.split(text, "\r\n|\n|\r")
-    last_is_empty = F.element_at(split, -1) == ""
-    return F.when(last_is_empty, F.slice(split, F.lit(1), F.size(split) - 1)).otherwise(split)
+def _with_lines(files: DataFrame) -> DataFrame:
+    """Add ``_text``, its physical ``_lines``, and ``_spanning``.
 
-
-def _multiline(text: Column) -> Column:
-    """The file's text when some quoted field spans lines, else NULL."""
-    spans = F.exists(
-        _lines(text), lambda s: F.contains(s, F.lit('"')) & ~s.rlike(_WELL_FORMED)
+    ``_spanning`` is the text again when some quoted field spans lines, else NULL.
+    The end of the last line is not a line of its own. Each step is a column, so
+    it runs once per file however often it is used.
+    """
+    lined = files.withColumn("_text", decoded(F.col("content"))).withColumn(
+        "_lines", F.split(F.regexp_replace("_text", r"(?:\r\n|\n|\r)\z", ""), "\r\n|\n|\r")
+    )
+    quote = F.lit('"')
+    spans = F.exists("_lines", lambda s: F.contains(s, quote) & ~s.rlike(_WELL_FORMED))
+    return lined.withColumn(
+        "_spanning", F.when(F.contains("_text", quote), F.when(spans, F.col("_text")))
     )
-    return F.when(F.contains(text, F.lit('"')), F.when(spans, text))
 
 
-def csv_records(text: Column) -> Column:
-    """All records of a file, header included, as ``array<struct<line, cells>>``.
+def with_records(files: DataFrame) -> DataFrame:
+    """Add ``records``, all records of a file: ``array<struct<line, cells>>``.
 
-    A blank line is a record without cells.
+    The header is included and a blank line is a record without cells. NULL when
+    the content is not valid UTF-8.
     """
     simple = F.transform(
-        _lines(text),
+        "_lines",
         lambda s, i: F.struct((i + 1).cast("int").alias("line"), _cells(s).alias("cells")),
     )
-    return F.coalesce(_multiline_records(_multiline(text)), simple)
+    return (
+        _with_lines(files)
+        .withColumn("records", F.coalesce(_multiline_records("_spanning"), simple))
+        .drop("_text", "_lines", "_spanning")
+    )
 
 
-def exploded_records(files: DataFrame, text: Column, *keep: Column | str) -> DataFrame:
+def exploded_records(files: DataFrame, *keep: Column | str) -> DataFrame:
     """One row ``(*keep, line, cells)`` per record of every file.
 
     Lines are exploded as text and split into cells afterwards, in generated code
     rather than inside an array function.
     """
-    prepared = files.select(*keep, text.alias("_text"))
-    names = [c for c in prepared.columns if c != "_text"]
-    parsed = prepared.withColumn("_parsed", _multiline_records(_multiline(F.col("_text"))))
-    no_cells = F.lit(None).cast("array<string>")
-    plain = F.transform(
-        _lines(F.col("_text")),
-        lambda s, i: F.struct(
-            (i + 1).cast("int").alias("line"), s.alias("text"), no_cells.alias("cells")
-        ),
-    )
-    quoted = F.transform(
-        "_parsed",
-        lambda r: F.struct(
-            r["line"].alias("line"), F.lit(None).cast("string").alias("text"), r["cells"].alias("cells")
-        ),
+    prepared = _with_lines(files).select(*keep, "_lines", "_spanning")
+    names = [c for c in prepared.columns if c not in ("_lines", "_spanning")]
+    parsed = prepared.withColumn("_parsed", _multiline_records("_spanning"))
+    # One explode serves both kinds of file: lines as text, or parsed records.
+    staged = parsed.withColumns(
+        {
+            "text": F.when(F.col("_parsed").isNull(), F.col("_lines")).otherwise(F.array().cast("array<string>")),
+            "rec": F.coalesce("_parsed", F.array().cast(RECORDS)),
+        }
     )
-    return parsed.select(*names, F.explode(F.coalesce(quoted, plain)).alias("r")).select(
+    slots = F.arrays_zip("text", "rec")
+    return staged.select(*names, F.posexplode(slots).alias("_i", "_s")).select(
         *names,
-        F.col("r.line").alias("line"),
-        F.coalesce("r.cells", _cells(F.col("r.text"))).alias("cells"),
+        F.coalesce("_s.rec.line", F.col("_i") + 1).alias("line"),
+        F.coalesce("_s.rec.cells", _cells(F.col("_s.text"))).alias("cells"),
     )
 
 
@@ -123,7 +125,11 @@ def data_rows(records: Column) -> Column:
     return F.greatest(F.size(records) - 1, F.lit(0))
 
 
-def data_row_count(text: Column) -> Column:
-    """Records after the header, counted without splitting lines into cells."""
-    records = F.coalesce(F.size(_multiline_records(_multiline(text))), F.size(_lines(text)))
-    return F.greatest(records - 1, F.lit(0))
+def with_data_row_count(files: DataFrame) -> DataFrame:
+    """Add ``row_count``, the records after the header, without splitting cells."""
+    records = F.coalesce(F.size(_multiline_records("_spanning")), F.size("_lines"))
+    return (
+        _with_lines(files)
+        .withColumn("row_count", F.greatest(records - 1, F.lit(0)))
+        .drop("_text", "_lines", "_spanning")
+    )
