@@ -8,12 +8,13 @@ stored tables. `FIXTURES.md` part B lists the rules.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickerloom.operators.ordered import with_lags, with_row_number
-from tickerloom.plans.durable import shared_folder
+from tickerloom.plans.durable import durable, shared_folder
 from tickerloom.plans.store import Store
 from tickerloom.schemas import DIVIDEND, MONEY, PRICE
 
@@ -48,16 +49,25 @@ class Tables:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
-    def _stored(self, name: str, build: DataFrame) -> DataFrame:
+    def _stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         mark = (self.spark.sparkContext.applicationId, self.store.root, name)
         if mark not in _WRITTEN:
-            self.store.append(name, build)
+            self.store.append(name, build())
             _WRITTEN.add(mark)
         return self.store.read(name)
 
+    def written(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A derived input that is not an engine table, written once per session."""
+        path = f"{self.store.root}/_inputs/{name}"
+        mark = (self.spark.sparkContext.applicationId, self.store.root, name)
+        if mark not in _WRITTEN:
+            build().write.mode("overwrite").parquet(path)
+            _WRITTEN.add(mark)
+        return self.spark.read.parquet(path)
+
     @property
     def bars(self) -> DataFrame:
-        return self._stored("daily_prices", derive_bars(self.table("lineitem")))
+        return self._stored("daily_prices", lambda: derive_bars(self.table("lineitem")))
 
     @property
     def numbered_bars(self) -> DataFrame:
@@ -66,17 +76,19 @@ class Tables:
 
     @property
     def events(self) -> DataFrame:
-        return self._stored("corporate_action_events", derive_events(self.table("orders")))
+        return self._stored(
+            "corporate_action_events", lambda: derive_events(self.table("orders"))
+        )
 
     @property
     def dividends(self) -> DataFrame:
-        return self._stored("cash_dividends", derive_dividends(self.table("orders")))
+        return self._stored("cash_dividends", lambda: derive_dividends(self.table("orders")))
 
     @property
     def index_values(self) -> DataFrame:
         return self._stored(
             "index_daily_values",
-            derive_index_values(
+            lambda: derive_index_values(
                 self.table("lineitem"),
                 self.table("supplier"),
                 self.table("nation"),
@@ -101,7 +113,8 @@ def derive_bars(lineitem: DataFrame) -> DataFrame:
     daily = daily.withColumn(
         "close", ((F.col("_high") + F.col("_low")) * dec("0.5", 2, 1)).cast(PRICE)
     )
-    numbered = with_row_number(daily, ["security_id"], "trading_date", "rn")
+    # Both scans below read their input twice, so the aggregate is written first.
+    numbered = with_row_number(durable(daily), ["security_id"], "trading_date", "rn")
     lagged = with_lags(
         numbered, ["security_id"], "trading_date", {"pc": ("close", 1), "pc2": ("close", 2)}
     )
@@ -202,7 +215,7 @@ def derive_index_values(
         .groupBy(F.col("r_name").alias("index_code"), "trading_date")
         .agg(F.sum("close").cast(PRICE).alias("close"))
     )
-    numbered = with_row_number(daily, ["index_code"], "trading_date", "rn")
+    numbered = with_row_number(durable(daily), ["index_code"], "trading_date", "rn")
     lagged = with_lags(numbered, ["index_code"], "trading_date", {"pc": ("close", 1)})
     close = F.col("close")
     previous = F.coalesce(

@@ -46,7 +46,7 @@ def stock_key(year: Column) -> Column:
     return F.concat(F.lit("S"), F.col("security_id").cast("string"), F.lit("Y"), year.cast("string"))
 
 
-def stock_files(t: Tables) -> DataFrame:
+def _stock_files(t: Tables) -> DataFrame:
     """Bars written the way a source publishes them, with planted bad lines."""
     rn, sid = F.col("rn"), F.col("security_id")
     year = F.year("trading_date")
@@ -85,7 +85,7 @@ def stock_files(t: Tables) -> DataFrame:
     )
 
 
-def index_files(t: Tables) -> DataFrame:
+def _index_files(t: Tables) -> DataFrame:
     """Index values as yearly files; some rows contradict themselves."""
     rn = F.col("source_line") - 1
     close, previous = F.col("close"), F.col("previous")
@@ -133,7 +133,7 @@ def _json_files(entries: DataFrame, name: str, wrap: Column) -> DataFrame:
     )
 
 
-def event_files(t: Tables) -> DataFrame:
+def _event_files(t: Tables) -> DataFrame:
     """Orders as event records, grouped by priority as category."""
     key = F.col("o_orderkey")
     day = F.to_date("o_orderdate").cast("string")
@@ -179,7 +179,7 @@ def event_files(t: Tables) -> DataFrame:
     return _json_files(docs, "corporateActions.json", wrap)
 
 
-def dividend_files(t: Tables) -> DataFrame:
+def _dividend_files(t: Tables) -> DataFrame:
     """Orders as dividend records, grouped by ticker."""
     key = F.col("o_orderkey")
     day = F.to_date("o_orderdate")
@@ -217,3 +217,19 @@ def dividend_files(t: Tables) -> DataFrame:
         F.array_join(F.array_sort(F.collect_list(body)), ",").alias("c")
     )
     return _json_files(docs, "all_dividends.json", F.concat(F.lit("{"), F.col("c"), F.lit("}")))
+
+
+def stock_files(t: Tables) -> DataFrame:
+    return t.written("stock_files", lambda: _stock_files(t))
+
+
+def index_files(t: Tables) -> DataFrame:
+    return t.written("index_files", lambda: _index_files(t))
+
+
+def event_files(t: Tables) -> DataFrame:
+    return t.written("event_files", lambda: _event_files(t))
+
+
+def dividend_files(t: Tables) -> DataFrame:
+    return t.written("dividend_files", lambda: _dividend_files(t))

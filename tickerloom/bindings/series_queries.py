@@ -373,7 +373,7 @@ def _(t: Tables) -> DataFrame:
     "all_factors",
 )
 def _(t: Tables) -> DataFrame:
-    fresh = durable(build(t).factors)
+    fresh = build(t).factors
     k = F.unix_date("effective_date") + F.col("security_id")
     stored = fresh.filter(k % 13 != 0).withColumn(
         "factor", F.when(k % 17 == 0, (F.col("factor") * 2).cast("decimal(38,18)")).otherwise(F.col("factor"))

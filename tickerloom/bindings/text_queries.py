@@ -10,6 +10,7 @@ from tickerloom.bindings.derived import SOURCE, Tables
 from tickerloom.bindings.registry import query
 from tickerloom.functions import normalize
 from tickerloom.operators.dedupe import accepted, key_groups
+from tickerloom.plans.durable import durable
 from tickerloom.schemas import EVENT_OBSERVATION
 from tickerloom.sources import json_records
 from tickerloom.sources.adapters import ActionsJsonSource, IndexCsvSource, StockCsvSource
@@ -18,6 +19,31 @@ from tickerloom.sources.csv_lines import with_data_row_count
 STOCK, INDEX = StockCsvSource(SOURCE), IndexCsvSource(SOURCE)
 
 
+def stock_rows(t: Tables) -> DataFrame:
+    return staged(STOCK.rows(files.stock_files(t)))
+
+
+def index_rows(t: Tables) -> DataFrame:
+    return staged(INDEX.records(files.index_files(t)))
+
+
+def event_rows(t: Tables) -> DataFrame:
+    return staged(json_records.action_records(files.event_files(t)))
+
+
+def dividend_rows(t: Tables) -> DataFrame:
+    return staged(json_records.dividend_records(files.dividend_files(t)))
+
+
+def staged(rows: DataFrame) -> DataFrame:
+    """Parsed rows written once, as a load does.
+
+    A filter on ``reasons`` would otherwise be pushed below the projection and
+    parse every cell a second time.
+    """
+    return durable(rows)
+
+
 def reasons() -> Column:
     return F.array_join("reasons", "|").alias("reason")
 
@@ -32,7 +58,7 @@ def reasons() -> Column:
     "stock_lines",
 )
 def _(t: Tables) -> DataFrame:
-    rows = STOCK.rows(files.stock_files(t))
+    rows = stock_rows(t)
     return rows.select("source_key", "source_line", F.size("cells").alias("cells"))
 
 
@@ -42,7 +68,7 @@ def _(t: Tables) -> DataFrame:
     "stock_lines",
 )
 def _(t: Tables) -> DataFrame:
-    rows = STOCK.rows(files.stock_files(t)).filter(F.size("reasons") > 0)
+    rows = stock_rows(t).filter(F.size("reasons") > 0)
     return rows.select("source_key", "source_line", reasons())
 
 
@@ -52,7 +78,7 @@ def _(t: Tables) -> DataFrame:
     "stock_lines",
 )
 def _(t: Tables) -> DataFrame:
-    rows = STOCK.rows(files.stock_files(t))
+    rows = stock_rows(t)
     wide = normalize.wrong_width(F.col("cells"), 26).isNotNull()
     return rows.filter(wide).groupBy("source_key").agg(
         F.count(F.lit(1)).alias("malformed"), F.min("source_line").alias("first_line")
@@ -68,7 +94,7 @@ def _(t: Tables) -> DataFrame:
     "stock_lines",
 )
 def _(t: Tables) -> DataFrame:
-    rows = STOCK.rows(files.stock_files(t)).filter(F.size("reasons") == 0)
+    rows = stock_rows(t).filter(F.size("reasons") == 0)
     return rows.drop("relative_path", "sha256", "source_line", "cells", "reasons")
 
 
@@ -152,7 +178,7 @@ def _(t: Tables) -> DataFrame:
     "index_lines",
 )
 def _(t: Tables) -> DataFrame:
-    rows = INDEX.records(files.index_files(t)).filter(F.size("reasons") == 0)
+    rows = index_rows(t).filter(F.size("reasons") == 0)
     return rows.select(
         "index_code", "source_line", "trading_date", "close", "high", "constituents", "quality_flags"
     )
@@ -164,7 +190,7 @@ def _(t: Tables) -> DataFrame:
     "index_lines",
 )
 def _(t: Tables) -> DataFrame:
-    rows = INDEX.records(files.index_files(t)).filter(F.size("reasons") > 0)
+    rows = index_rows(t).filter(F.size("reasons") > 0)
     return rows.select("index_code", "source_line", reasons())
 
 
@@ -177,8 +203,8 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     sides = (
-        ("line", INDEX, INDEX.records(files.index_files(t))),
-        ("text", ActionsJsonSource(SOURCE), json_records.action_records(files.event_files(t))),
+        ("line", INDEX, index_rows(t)),
+        ("text", ActionsJsonSource(SOURCE), event_rows(t)),
     )
     parts = [
         rows.groupBy(
@@ -199,7 +225,7 @@ def _(t: Tables) -> DataFrame:
     "event_records",
 )
 def _(t: Tables) -> DataFrame:
-    rows = json_records.action_records(files.event_files(t))
+    rows = event_rows(t)
     block = F.regexp_extract("relative_path", "block-([0-9]+)/", 1).cast("bigint")
     return rows.groupBy(block.alias("block"), F.col("source_category").alias("category")).agg(
         F.count(F.lit(1)).alias("records")
@@ -229,7 +255,7 @@ def _(t: Tables) -> DataFrame:
     "event_records",
 )
 def _(t: Tables) -> DataFrame:
-    rows = json_records.action_records(files.event_files(t)).filter(F.size("reasons") == 0)
+    rows = event_rows(t).filter(F.size("reasons") == 0)
     return rows.select(
         "record_ref",
         "source_record_id",
@@ -246,7 +272,7 @@ def _(t: Tables) -> DataFrame:
     "event_records",
 )
 def _(t: Tables) -> DataFrame:
-    rows = json_records.action_records(files.event_files(t)).filter(F.size("reasons") > 0)
+    rows = event_rows(t).filter(F.size("reasons") > 0)
     block = F.regexp_extract("relative_path", "block-([0-9]+)/", 1).cast("bigint")
     return rows.select(block.alias("block"), "record_ref", reasons())
 
@@ -259,7 +285,7 @@ def _(t: Tables) -> DataFrame:
     "event_records",
 )
 def _(t: Tables) -> DataFrame:
-    rows = json_records.action_records(files.event_files(t))
+    rows = event_rows(t)
     groups = key_groups(
         rows.filter(F.size("reasons") == 0),
         ["source_record_id"],
@@ -285,7 +311,7 @@ def _(t: Tables) -> DataFrame:
     "dividend_records",
 )
 def _(t: Tables) -> DataFrame:
-    rows = json_records.dividend_records(files.dividend_files(t))
+    rows = dividend_rows(t)
     block = F.regexp_extract("relative_path", "block-([0-9]+)/", 1).cast("bigint")
     security = F.regexp_extract("source_ticker", "S([0-9]+)", 1).cast("bigint")
     return rows.groupBy(block.alias("block"), security.alias("security_id")).agg(
@@ -301,7 +327,7 @@ def _(t: Tables) -> DataFrame:
     "dividend_records",
 )
 def _(t: Tables) -> DataFrame:
-    rows = json_records.dividend_records(files.dividend_files(t)).filter(F.size("reasons") == 0)
+    rows = dividend_rows(t).filter(F.size("reasons") == 0)
     block = F.regexp_extract("relative_path", "block-([0-9]+)/", 1).cast("bigint")
     return rows.select(
         block.alias("block"),
@@ -320,7 +346,7 @@ def _(t: Tables) -> DataFrame:
     "dividend_records",
 )
 def _(t: Tables) -> DataFrame:
-    rows = json_records.dividend_records(files.dividend_files(t)).filter(F.size("reasons") > 0)
+    rows = dividend_rows(t).filter(F.size("reasons") > 0)
     block = F.regexp_extract("relative_path", "block-([0-9]+)/", 1).cast("bigint")
     return rows.select(block.alias("block"), "record_ref", reasons())
 
@@ -332,7 +358,7 @@ def _(t: Tables) -> DataFrame:
     "dividend_records",
 )
 def _(t: Tables) -> DataFrame:
-    rows = json_records.dividend_records(files.dividend_files(t)).filter(F.size("reasons") == 0)
+    rows = dividend_rows(t).filter(F.size("reasons") == 0)
     block = F.regexp_extract("relative_path", "block-([0-9]+)/", 1).cast("bigint")
     return rows.select(block.alias("block"), "record_ref", F.explode("issues").alias("i")).select(
         "block", "record_ref", "i.raw"

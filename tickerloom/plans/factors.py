@@ -362,8 +362,8 @@ def derive_factors(
 ) -> FactorBuild:
     """Factors and anomaly dates of one price source.
 
-    The ordered scan runs once: its rare hits and the placed dividends are
-    checkpointed, and everything after reads only those small tables.
+    The ordered scan runs once: its rare hits, the placed dividends and the
+    factors are checkpointed, and everything after reads only those small tables.
     """
     method = method or FactorMethod()
     own = prices.filter(F.col("source_id") == price_source_id)
@@ -384,7 +384,7 @@ def derive_factors(
         F.lit(price_source_id).alias("price_source_id"),
         F.lit(method.version).alias("method_version"),
     ]
-    factors = factors.select("*", *scope)
+    factors = durable(factors.select("*", *scope))
     price_counts = factor_counts(factors)
     return FactorBuild(
         method,

@@ -167,7 +167,7 @@ def staged_rows(store: Store, prepared: Prepared, stage_id: str) -> DataFrame:
 
 
 def _rejected_keys(outcome: Outcome) -> list[str]:
-    """Keys of rejected files (one per file, for the report)."""
+    """Keys of rejected files: one short text per rejected file, for the report."""
     keys = outcome.groups.join(outcome.rejected_files, "relative_path", "left_semi")
     return sorted(r[0] for r in keys.select("source_key").distinct().collect())
 
@@ -322,6 +322,9 @@ def _load(store: Store, prepared: Prepared, run: Run) -> dict[str, Any]:
         ),
     )
     outcome = process(staged_rows(store, prepared, run.run_id), prepared.inventory)
+    # Stored rows outside the snapshot's dates cannot match; their files are pruned.
+    span = outcome.rows.agg(F.min("trading_date"), F.max("trading_date")).first()
+    overlapping = prices.filter(F.col("trading_date").between(F.lit(span[0]), F.lit(span[1])))
     incoming = (
         outcome.accepted.join(resolved.select("source_key", "security_id"), "source_key")
         .join(run.files.select("relative_path", "file_id"), "relative_path")
@@ -331,7 +334,11 @@ def _load(store: Store, prepared: Prepared, run: Run) -> dict[str, Any]:
         run.run_id,
         "classified",
         classify(
-            incoming, prices, PRICE_KEY, PRICE_OBSERVATION, [*PRICE_PROVENANCE, "ingestion_run_id"]
+            incoming,
+            overlapping,
+            PRICE_KEY,
+            PRICE_OBSERVATION,
+            [*PRICE_PROVENANCE, "ingestion_run_id"],
         ).select(
             *PRICE_KEY,
             "source_key",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tickerloom.functions.normalize import record_ref
 from tickerloom.functions.validate import hard_codes, price_issues
 from tickerloom.operators.dedupe import key_groups, require_no_conflicts
+from tickerloom.plans.durable import durable
 from tickerloom.schemas import PRICE_OBSERVATION
 from tickerloom.sources.adapters import StockCsvSource
 from tickerloom.sources.snapshot import StructuralError, snapshot_files
@@ -77,9 +78,12 @@ class SnapshotPrices:
             rows = rows.filter(F.col("source_key") == F.lit(wanted))
             if wanted is None or rows.isEmpty():
                 raise UnknownSecurity(security_id)
-        judged = rows.withColumn(
-            "reasons",
-            F.when(F.size("reasons") > 0, F.col("reasons")).otherwise(hard_codes(price_issues())),
+        # Read three times below; written once so that files are parsed once.
+        judged = durable(
+            rows.withColumn(
+                "reasons",
+                F.when(F.size("reasons") > 0, F.col("reasons")).otherwise(hard_codes(price_issues())),
+            )
         )
         self._require_none(judged.filter(F.size("reasons") > 0))
         groups = key_groups(
