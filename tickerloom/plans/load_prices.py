@@ -52,18 +52,23 @@ def quarantine(rows: DataFrame) -> DataFrame:
     )
 
 
-def process(rows: DataFrame, inventory: DataFrame) -> Outcome:
+def process(store: Store, stage_id: str, rows: DataFrame, inventory: DataFrame) -> Outcome:
     """Split quarantined rows, collapse equal copies, reject conflicting files.
 
-    `rows` must be a written table: it is read several times.
+    `rows` must be a written table: it is read several times. The key groups are
+    staged too, so that rows are shuffled by key once for all that follows.
     """
     good = rows.filter(F.size("reasons") == 0)
-    groups = key_groups(
-        good,
-        ["relative_path", "trading_date"],
-        PRICE_OBSERVATION,
-        F.col("source_line"),
-        ["source_key", "source_line", *PRICE_OBSERVATION],
+    groups = store.stage(
+        stage_id,
+        "groups",
+        key_groups(
+            good,
+            ["relative_path", "trading_date"],
+            PRICE_OBSERVATION,
+            F.col("source_line"),
+            ["source_key", "source_line", *PRICE_OBSERVATION],
+        ),
     )
     rejected_files = batch_conflicts(groups, ["relative_path"])
     return Outcome(
@@ -186,7 +191,8 @@ def _stats(accepted_rows: DataFrame) -> dict[str, Any]:
 def dry_run(store: Store, prepared: Prepared) -> dict[str, Any]:
     """What a load into empty tables would do; only staging is written."""
     stage_id = f"dry-run-{prepared.content_sha256[:16]}"
-    outcome = process(staged_rows(store, prepared, stage_id), prepared.inventory)
+    rows = staged_rows(store, prepared, stage_id)
+    outcome = process(store, stage_id, rows, prepared.inventory)
     counted = file_counters(outcome)
     stock = prepared.inventory.filter("role = 'stock'")
     files = stock.count()
@@ -321,7 +327,8 @@ def _load(store: Store, prepared: Prepared, run: Run) -> dict[str, Any]:
             last_id,
         ),
     )
-    outcome = process(staged_rows(store, prepared, run.run_id), prepared.inventory)
+    rows = staged_rows(store, prepared, run.run_id)
+    outcome = process(store, run.run_id, rows, prepared.inventory)
     # Stored rows outside the snapshot's dates cannot match; their files are pruned.
     span = outcome.rows.agg(F.min("trading_date"), F.max("trading_date")).first()
     overlapping = prices.filter(F.col("trading_date").between(F.lit(span[0]), F.lit(span[1])))

@@ -13,7 +13,7 @@ from tickerloom.operators.dedupe import key_groups, require_no_conflicts
 from tickerloom.plans.durable import durable
 from tickerloom.schemas import PRICE_OBSERVATION
 from tickerloom.sources.adapters import StockCsvSource
-from tickerloom.sources.snapshot import StructuralError, snapshot_files
+from tickerloom.sources.snapshot import snapshot_files
 
 
 class NotProvided(NotImplementedError):
@@ -120,4 +120,4 @@ class SnapshotPrices:
             raise InvalidPrices("; ".join(f"{r['ref']}: {r['why']}" for r in found))
 
 
-__all__ = ["InvalidPrices", "NotProvided", "SnapshotPrices", "StructuralError", "UnknownSecurity", "read_range"]
+__all__ = ["InvalidPrices", "NotProvided", "SnapshotPrices", "UnknownSecurity", "read_range"]
