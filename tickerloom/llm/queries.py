@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickerloom.llm import pii, quality
+import public_tokenizers
+
+from tickerloom.llm import bpe, chat, html, pii, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,3 +34,24 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_quality_rules")
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(_table(spark, sf_dir, "documents")).drop("text_hash")
+
+
+@query("op4_chat_format")
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame(
+        [(-1, 0, "user", said), (-1, 1, "assistant", said)], rows.schema
+    )
+    return chat.chat_digests(chat.format_chat(rows.unionByName(extra)))
+
+
+@query("op5_html_extraction")
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(_table(spark, sf_dir, "pages"))
+
+
+@query("op6_byte_bpe")
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return bpe.byte_bpe(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
