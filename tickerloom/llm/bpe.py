@@ -4,7 +4,9 @@ A sequence of tokens is the encoding of its bytes exactly if each two neighbours
 nothing merges across their seam. So the merges are a nondeterministic transducer that
 guesses token after token along a trie, and checks each seam. A state of the
 deterministic one is the set of guesses that are still possible; what all of them
-share is emitted at once. States and moves are made when a text first needs them.
+share is emitted at once. The rest of an encoding is the encoding of the rest, so a state
+need not remember what was emitted, and few states serve all words. States and moves
+are made when a text first needs them.
 """
 
 from __future__ import annotations
@@ -124,7 +126,9 @@ class Transducer:
             p[shared] == first[shared] for p, _, _ in guesses
         ):
             shared += 1
-        key = tuple(sorted((p[shared:], last, node) for p, last, node in guesses))
+        key = tuple(
+            sorted((p[shared:], last if len(p) > shared else -1, node) for p, last, node in guesses)
+        )
         found = self._ids.get(key)
         if found is None:
             found = self._ids[key] = len(self._states)
