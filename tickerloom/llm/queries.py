@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from tickerloom.llm import bpe, chat, html, pii, quality
+from tickerloom.llm import bpe, chat, html, pii, quality, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -55,3 +55,8 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return bpe.byte_bpe(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+@query("op7_substring_dedup")
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup_digests(_table(spark, sf_dir, "documents"))
