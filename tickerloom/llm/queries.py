@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from tickerloom.llm import bpe, chat, html, pii, quality, substrings
+from tickerloom.llm import bpe, chat, contamination, html, pii, quality, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -60,3 +60,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_substring_dedup")
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.dedup_digests(_table(spark, sf_dir, "documents"))
+
+
+@query("op2_benchmark_decontamination")
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.judged(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
