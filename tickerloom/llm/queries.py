@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from tickerloom.llm import bpe, chat, contamination, html, pii, quality, substrings
+from tickerloom.llm import bpe, chat, contamination, html, pii, quality, similar, substrings, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -67,3 +67,14 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return contamination.judged(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     )
+
+
+@query("op3_ngram_jaccard_join")
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = similar.linked(_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", rows["n"].alias("n_shingles"), "component_id")
+
+
+@query("op10_suffix_array_dedup")
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.dedup_digests(_table(spark, sf_dir, "documents"))
