@@ -12,8 +12,8 @@ are made when a text first needs them.
 from __future__ import annotations
 
 import base64
-import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +26,8 @@ from tickerloom.llm.kernel import ragged
 ROOT = 0
 END = 256
 NEVER = 1 << 60
+#: Rows of one output batch.
+ROWS = 512
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -37,7 +39,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Transducer:
     """Encodes byte strings; `max_states` bounds memory, at the bound all states are dropped."""
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 100_000) -> None:
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 200_000) -> None:
         self.ranks = ranks
         self.tokens = {r: t for t, r in ranks.items()}
         self._max = max_states
@@ -60,7 +62,8 @@ class Transducer:
     def _reset(self) -> None:
         self._ids = {(((), -1, ROOT),): 0}
         self._states: list[tuple] = [(((), -1, ROOT),)]
-        self._moves: list[dict[int, tuple[int, tuple[int, ...]]]] = [{}]
+        #: By ``state << 9 | byte``: the next state, shifted likewise, and what is emitted.
+        self._moves: dict[int, tuple[int, tuple[int, ...]]] = {}
 
     def _halves(self, token: bytes) -> tuple[bytes, bytes] | None:
         """The two parts whose merge made `token`."""
@@ -104,14 +107,14 @@ class Transducer:
             self._seams[left, right] = known
         return known
 
-    def _move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
+    def _move(self, key: int) -> tuple[int, tuple[int, ...]]:
+        state, byte = self._states[key >> 9], key & 511
         if byte == END:
-            done = [p for p, _, node in self._states[state] if node == ROOT]
-            move = (0, done[0])
-            self._moves[state][END] = move
+            move = (0, next(p for p, _, node in state if node == ROOT))
+            self._moves[key] = move
             return move
         guesses = []
-        for pending, last, node in self._states[state]:
+        for pending, last, node in state:
             child = self._children[node].get(byte)
             if child is None:
                 continue
@@ -120,22 +123,21 @@ class Transducer:
             token = self._token_at[child]
             if token >= 0 and (last < 0 or self.holds(last, token)):
                 guesses.append(((*pending, token), token, ROOT))
-        shared = 0
-        first = guesses[0][0]
-        while shared < min(len(p) for p, _, _ in guesses) and all(
-            p[shared] == first[shared] for p, _, _ in guesses
-        ):
-            shared += 1
-        key = tuple(
-            sorted((p[shared:], last if len(p) > shared else -1, node) for p, last, node in guesses)
-        )
-        found = self._ids.get(key)
-        if found is None:
-            found = self._ids[key] = len(self._states)
-            self._states.append(key)
-            self._moves.append({})
-        move = (found, first[:shared])
-        self._moves[state][byte] = move
+        first, *others = [p for p, _, _ in guesses]
+        shared = len(first)
+        for other in others:
+            same = 0
+            while same < shared and same < len(other) and other[same] == first[same]:
+                same += 1
+            shared = same
+            if not shared:
+                break
+        after = [(p[shared:], last if len(p) > shared else -1, node) for p, last, node in guesses]
+        after.sort()
+        found = self._ids.setdefault(tuple(after), len(self._states))
+        if found == len(self._states):
+            self._states.append(tuple(after))
+        move = self._moves[key] = (found << 9, first[:shared])
         return move
 
     def encode(self, piece: bytes) -> list[int]:
@@ -145,14 +147,14 @@ class Transducer:
         if len(self._states) > self._max:
             self._reset()
         out: list[int] = []
-        state, moves = 0, self._moves
+        if not piece:
+            return out
+        get, state = self._moves.get, 0
         for byte in piece:
-            move = moves[state].get(byte) or self._move(state, byte)
-            state = move[0]
-            if move[1]:
-                out += move[1]
-        if piece:
-            out += (moves[state].get(END) or self._move(state, END))[1]
+            state, emitted = get(state | byte) or self._move(state | byte)
+            if emitted:
+                out += emitted
+        out += (get(state | END) or self._move(state | END))[1]
         return out
 
 
@@ -195,7 +197,7 @@ class Utf8:
 class Codec:
     """Encodes texts by pattern and transducer, and decodes ids; caches pieces up to a bound."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, max_pieces: int = 200_000) -> None:
+    def __init__(self, ranks: dict[bytes, int], pattern: str, max_pieces: int = 300_000) -> None:
         self._fst = Transducer(ranks)
         self._split = regex.compile(pattern).findall
         self._max = max_pieces
@@ -211,41 +213,24 @@ class Codec:
         self._clear()
 
     def _clear(self) -> None:
-        self._codes: dict[str, int] = {}
-        self._names: list[str] = []
-        self._encoded: list[list[int]] = []
-
-    def _add(self, pieces: list[str]) -> None:
-        codes = self._codes
-        for piece in pieces:
-            if piece not in codes:
-                ids = self._fst.encode(piece.encode())
-                codes[piece] = len(self._names)
-                self._names.append(" ".join(map(str, ids)))
-                self._encoded.append(ids)
-
-    def pieces(self, text: str) -> list[int]:
-        """Codes of the text's pieces in this cache; valid until the next call."""
-        if len(self._codes) > self._max:
+        self._known: dict[str, list[int]] = {}
+
+    def encode(self, text: str) -> np.ndarray:
+        known = self._known
+        if len(known) > self._max:
             self._clear()
-        found = self._split(text)
-        codes = list(map(self._codes.get, found))
-        if None in codes:
-            self._add(found)
-            codes = list(map(self._codes.__getitem__, found))
-        return codes
-
-    def encode(self, text: str) -> list[int]:
-        encoded = self._encoded
-        return [i for c in self.pieces(text) for i in self._encoded[c]] if text else encoded[:0]
-
-    def encode_named(self, text: str) -> tuple[list[int], str]:
-        """The ids, and the same as decimal text joined by spaces."""
-        codes = self.pieces(text)
-        ids: list[int] = []
-        for part in map(self._encoded.__getitem__, codes):
-            ids += part
-        return ids, " ".join(map(self._names.__getitem__, codes))
+            known = self._known
+        pieces = self._split(text)
+        parts = list(map(known.get, pieces))
+        if None in parts:
+            for i, part in enumerate(parts):
+                if part is None:
+                    piece = pieces[i]
+                    part = known.get(piece)
+                    if part is None:
+                        part = known[piece] = self._fst.encode(piece.encode())
+                    parts[i] = part
+        return np.fromiter(chain.from_iterable(parts), np.int32)
 
     def decode_bytes(self, ids: np.ndarray) -> bytes:
         return self._bytes[ragged(self._starts[ids], self._lengths[ids])].tobytes()
@@ -260,34 +245,72 @@ class Codec:
             yield b"", rest
 
 
-def byte_bpe(docs: DataFrame, ranks: bytes | dict[bytes, int], pattern: str) -> DataFrame:
-    """Per row: id, number of tokens, digest of the ids and digest of the decoded bytes.
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
+    """``(doc_id, ids)`` of every row.
 
-    Null text reads as empty: no tokens, digests of nothing. Repeated rows and null ids
-    give a row each. Texts are encoded whole; memory follows the longest text. The ranks
-    travel with the tasks, their size is that of one vocabulary.
+    Null text reads as empty and has no ids. Repeated rows and null ids give a row each.
+    Texts are encoded whole; memory follows the longest text. The ranks travel with the
+    tasks, their size is that of one vocabulary.
     """
-    schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = worker_codec(shared.value, pattern)
         for batch in batches:
-            counts, names, decoded = [], [], []
-            for value in batch.column("text"):
-                ids, name = codec.encode_named(value.as_py() or "")
-                back = hashlib.sha256()
-                for data, _ in codec.decode(np.array(ids, np.int64)):
-                    back.update(data)
-                counts.append(len(ids))
-                names.append(hashlib.sha256(name.encode()).hexdigest())
-                decoded.append(back.hexdigest())
-            yield pa.record_batch(
-                [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(names), pa.array(decoded)],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+            for at in range(0, len(batch), ROWS):
+                part = batch.slice(at, ROWS)
+                ids = [codec.encode(t.as_py() or "") for t in part.column("text")]
+                offsets = np.concatenate(([0], np.cumsum([len(i) for i in ids]))).astype(np.int32)
+                flat = pa.array(np.concatenate(ids), pa.int32())
+                yield pa.record_batch(
+                    [part.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), flat)],
+                    names=["doc_id", "ids"],
+                )
+
+    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
+        run, "doc_id bigint, ids array<int>"
+    )
+
+
+def decode(rows: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
+    """`rows` of ``(doc_id, ids)`` with ``decoded``, the bytes, and ``text``; null ids are none.
+
+    Text is made from the bytes as they come, by the incremental state machine; bytes
+    that are no UTF-8 give U+FFFD in it.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(ranks)
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = worker_codec(shared.value, pattern)
+        for batch in batches:
+            for at in range(0, len(batch), ROWS):
+                part = batch.slice(at, ROWS)
+                data, texts = [], []
+                for ids in part.column("ids"):
+                    values = ids.values
+                    numbers = np.empty(0, np.int64) if values is None else values.to_numpy().astype(np.int64)
+                    pieces = list(codec.decode(numbers))
+                    data.append(b"".join(d for d, _ in pieces))
+                    texts.append("".join(t for _, t in pieces))
+                yield pa.record_batch(
+                    [part.column("doc_id"), part.column("ids"), pa.array(data, pa.binary()), pa.array(texts, pa.string())],
+                    names=["doc_id", "ids", "decoded", "text"],
+                )
+
+    return rows.select("doc_id", "ids").mapInArrow(
+        run, "doc_id bigint, ids array<int>, decoded binary, text string"
+    )
+
+
+def bpe_digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
+    """Number of ids, digest of the ids and digest of what they decode to."""
+    back = decode(encode(docs, ranks, pattern), ranks, pattern)
+    return back.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
 
 
 _CODECS: dict[tuple[int, str], Codec] = {}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers
 
-from tickerloom.llm import bpe, chat, contamination, html, pii, quality, similar, substrings, suffixes
+from tickerloom.llm import bpe, chat, contamination, html, lm, pii, quality, similar, substrings, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,7 +54,7 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_byte_bpe")
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    return bpe.byte_bpe(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return bpe.bpe_digests(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
 @query("op7_substring_dedup")
@@ -78,3 +78,9 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_suffix_array_dedup")
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.dedup_digests(_table(spark, sf_dir, "documents"))
+
+
+@query("op1_lm_scoring")
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    subwords = lm.Subwords(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return lm.scored(_table(spark, sf_dir, "documents"), subwords)
