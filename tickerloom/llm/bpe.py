@@ -39,7 +39,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Transducer:
     """Encodes byte strings; `max_states` bounds memory, at the bound all states are dropped."""
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 200_000) -> None:
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 100_000) -> None:
         self.ranks = ranks
         self.tokens = {r: t for t, r in ranks.items()}
         self._max = max_states
@@ -194,32 +194,19 @@ class Utf8:
         return rest.decode("utf-8", "replace")
 
 
-class Codec:
-    """Encodes texts by pattern and transducer, and decodes ids; caches pieces up to a bound."""
+class Encoder:
+    """Encodes texts by pattern and transducer; caches the ids of pieces up to a bound."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, max_pieces: int = 300_000) -> None:
+    def __init__(self, ranks: dict[bytes, int], pattern: str, max_pieces: int = 150_000) -> None:
         self._fst = Transducer(ranks)
         self._split = regex.compile(pattern).findall
         self._max = max_pieces
-        size = max(ranks.values(), default=-1) + 1
-        lengths = np.zeros(size, np.int64)
-        for token, rank in ranks.items():
-            lengths[rank] = len(token)
-        self._lengths = lengths
-        self._starts = np.cumsum(lengths) - lengths
-        self._bytes = np.frombuffer(
-            b"".join(self._fst.tokens.get(r, b"") for r in range(size)), np.uint8
-        )
-        self._clear()
-
-    def _clear(self) -> None:
         self._known: dict[str, list[int]] = {}
 
     def encode(self, text: str) -> np.ndarray:
+        if len(self._known) > self._max:
+            self._known = {}
         known = self._known
-        if len(known) > self._max:
-            self._clear()
-            known = self._known
         pieces = self._split(text)
         parts = list(map(known.get, pieces))
         if None in parts:
@@ -232,6 +219,17 @@ class Codec:
                     parts[i] = part
         return np.fromiter(chain.from_iterable(parts), np.int32)
 
+
+class Decoder:
+    """Bytes and text of ids."""
+
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        tokens = {r: t for t, r in ranks.items()}
+        parts = [tokens.get(r, b"") for r in range(max(tokens, default=-1) + 1)]
+        self._lengths = np.array([len(p) for p in parts], np.int64)
+        self._starts = np.cumsum(self._lengths) - self._lengths
+        self._bytes = np.frombuffer(b"".join(parts), np.uint8)
+
     def decode_bytes(self, ids: np.ndarray) -> bytes:
         return self._bytes[ragged(self._starts[ids], self._lengths[ids])].tobytes()
 
@@ -255,7 +253,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = worker_codec(shared.value, pattern)
+        codec = worker_encoder(shared.value, pattern)
         for batch in batches:
             for at in range(0, len(batch), ROWS):
                 part = batch.slice(at, ROWS)
@@ -272,7 +270,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     )
 
 
-def decode(rows: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
+def decode(rows: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """`rows` of ``(doc_id, ids)`` with ``decoded``, the bytes, and ``text``; null ids are none.
 
     Text is made from the bytes as they come, by the incremental state machine; bytes
@@ -281,7 +279,7 @@ def decode(rows: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = worker_codec(shared.value, pattern)
+        codec = Decoder(shared.value)
         for batch in batches:
             for at in range(0, len(batch), ROWS):
                 part = batch.slice(at, ROWS)
@@ -304,7 +302,7 @@ def decode(rows: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
 
 def bpe_digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     """Number of ids, digest of the ids and digest of what they decode to."""
-    back = decode(encode(docs, ranks, pattern), ranks, pattern)
+    back = decode(encode(docs, ranks, pattern), ranks)
     return back.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
@@ -313,13 +311,13 @@ def bpe_digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataF
     )
 
 
-_CODECS: dict[tuple[int, str], Codec] = {}
+_ENCODERS: dict[tuple[int, str], Encoder] = {}
 
 
-def worker_codec(ranks: dict[bytes, int], pattern: str) -> Codec:
-    """The codec of this Python worker; its states serve all tasks that run in it."""
+def worker_encoder(ranks: dict[bytes, int], pattern: str) -> Encoder:
+    """The encoder of this Python worker; its states serve all tasks that run in it."""
     key = (hash(frozenset(ranks.items())), pattern)
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = Codec(ranks, pattern)
-    return _CODECS[key]
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = Encoder(ranks, pattern)
+    return _ENCODERS[key]
