@@ -25,13 +25,19 @@ def _cells(values: np.ndarray, log2: int) -> list[np.ndarray]:
     return [(x >> np.uint64(64 - log2)).astype(np.int64) for x in (values, other)]
 
 
+def of_texts(
+    values: Callable[[np.ndarray, np.ndarray], np.ndarray],
+) -> Callable[[pa.RecordBatch], Iterator[np.ndarray]]:
+    """``values(bytes, offsets)`` over the texts of a batch, slice by slice."""
+    return lambda batch: (values(d, o) for _, _, d, o in K.text_slices(batch.column("text")))
+
+
 def repeated_cells(
-    docs: DataFrame, values: Callable[[np.ndarray, np.ndarray], np.ndarray], log2: int
+    df: DataFrame, values: Callable[[pa.RecordBatch], Iterator[np.ndarray]], log2: int
 ) -> list[np.ndarray]:
     """Per sketch row one bit a cell: whether the merged count is two or more.
 
-    ``values(bytes, offsets)`` are the hashes of some texts. A task sends, per slice of
-    cells, its nonzero cells and which of them it counted twice; a slice is merged in one
+    ``values(batch)`` gives the hashes of some rows. A task sends, per slice of cells, its nonzero cells and which of them it counted twice; a slice is merged in one
     task. Only the bits reach the driver, 16 MB at most.
     """
     width = min(SLICE_LOG2, log2)
@@ -62,8 +68,7 @@ def repeated_cells(
 
         held = 0
         for batch in batches:
-            for _, _, data, offsets in K.text_slices(batch.column("text")):
-                found = values(data, offsets)
+            for found in values(batch):
                 for r, cells in enumerate(_cells(found, log2)):
                     seen[r].append(cells)
                 held += len(found)
@@ -82,8 +87,7 @@ def repeated_cells(
         return pd.DataFrame([(frame["row"].iloc[0], frame["slice"].iloc[0], bits)])
 
     parts = (
-        docs.select("text")
-        .mapInArrow(partial, "row int, slice int, cells binary, twice binary")
+        df.mapInArrow(partial, "row int, slice int, cells binary, twice binary")
         .groupBy("row", "slice")
         .applyInPandas(merge, "row int, slice int, bits binary")
     )

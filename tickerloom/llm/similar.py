@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickerloom.llm import kernel as K
+from tickerloom.llm.countmin import MAX_CELLS_LOG2, estimated_repeated, repeated_cells
 from tickerloom.llm.stage import staged
 
 SHINGLE = 3
@@ -146,7 +147,7 @@ def _described(docs: DataFrame, sketch, width: int, percent: int, log2: int) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, sets in _batches_of_sets(batches, width):
             sizes = [len(s) for s in sets]
-            keys = [int(np.bitwise_xor.reduce(K._mix(s), initial=np.uint64(n)).astype(np.int64)) for s, n in zip(sets, sizes, strict=True)]
+            keys = [set_key(s) for s in sets]
             heads = [
                 in_order(s, sketch.value, log2)[: prefix_size(len(s), percent)].tobytes() for s in sets
             ]
@@ -164,26 +165,49 @@ def _described(docs: DataFrame, sketch, width: int, percent: int, log2: int) ->
     return docs.mapInArrow(run, "doc_id bigint, text_hash bigint, n bigint, v bigint, head binary")
 
 
+def set_key(items: np.ndarray) -> int:
+    """64 bits that name a set of shingles: its vertex."""
+    return int(np.bitwise_xor.reduce(K._mix(items), initial=np.uint64(len(items))).astype(np.int64))
+
+
+def _heads(batch: pa.RecordBatch) -> list[np.ndarray]:
+    return [np.frombuffer(h.as_py(), np.int64) for h in batch.column("head")]
+
+
 def _postings(described: DataFrame) -> DataFrame:
-    """``(o, pos, n, v)`` for the short lists of every distinct set."""
+    """``(o, pos, n, v)`` for the short lists of every distinct set that another may be in.
+
+    A count-min sketch of the short lists leaves out lists of one, without a shuffle of all.
+    """
+    distinct = staged(
+        described.where("n > 0").groupBy("v").agg(F.first("n").alias("n"), F.first("head").alias("head"))
+    )
+    entries = distinct.agg(F.sum(F.length("head"))).first()[0] or 0
+    log2 = min(MAX_CELLS_LOG2, max(12, int(entries).bit_length()))
+    cells = repeated_cells(
+        distinct.select("head"),
+        lambda batch: iter([K._mix(h.astype(np.uint64)) for h in [np.concatenate(_heads(batch) or [np.empty(0, np.int64)])]]),
+        log2,
+    )
+    shared = described.sparkSession.sparkContext.broadcast(cells)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            heads = [np.frombuffer(h.as_py(), np.int64) for h in batch.column("head")]
+            heads = _heads(batch)
             sizes = np.array([len(h) for h in heads], np.int64)
             n, v = batch.column("n").to_numpy(), batch.column("v").to_numpy()
             flat = np.concatenate(heads) if heads else np.empty(0, np.int64)
+            keep = estimated_repeated(K._mix(flat.astype(np.uint64)), shared.value, log2)
             yield pa.record_batch(
                 [
-                    pa.array(flat, pa.int64()),
-                    pa.array(K.ragged(np.zeros_like(sizes), sizes).astype(np.int32)),
-                    pa.array(np.repeat(n, sizes).astype(np.int32)),
-                    pa.array(np.repeat(v, sizes)),
+                    pa.array(flat[keep], pa.int64()),
+                    pa.array(K.ragged(np.zeros_like(sizes), sizes)[keep].astype(np.int32)),
+                    pa.array(np.repeat(n, sizes)[keep].astype(np.int32)),
+                    pa.array(np.repeat(v, sizes)[keep]),
                 ],
                 names=["o", "pos", "n", "v"],
             )
 
-    distinct = described.where("n > 0").groupBy("v").agg(F.first("n").alias("n"), F.first("head").alias("head"))
     return distinct.mapInArrow(run, "o bigint, pos int, n int, v bigint")
 
 
@@ -205,8 +229,12 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(probed_overlap(a, b, int(required(len(a), len(b), percent))))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    a = sets.select(F.col("v").alias("a"), F.col("items").alias("items_a"))
-    b = sets.select(F.col("v").alias("b"), F.col("items").alias("items_b"))
+    a, b = (
+        sets.join(pairs.select(F.col(side).alias("v")).distinct(), "v", "left_semi").select(
+            F.col("v").alias(side), F.col("items").alias(f"items_{side}")
+        )
+        for side in ("a", "b")
+    )
     return pairs.join(a, "a").join(b, "b").select("a", "b", "items_a", "items_b").mapInArrow(
         run, "a bigint, b bigint"
     )
@@ -259,13 +287,11 @@ def linked(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> Dat
         lists.join(leader.select("o", F.col("l.pos").alias("l_pos"), F.col("l.n").alias("l_n"), F.col("l.v").alias("l_v")), "o")
         .where(F.col("v") != F.col("l_v"))
         .where(_possible("", "l_", percent))
-        .select(F.least("v", "l_v").alias("a"), F.greatest("v", "l_v").alias("b"))
+        .select(F.col("v").alias("a"), F.col("l_v").alias("b"))
         .distinct()
     )
     first = staged(first)
-    needed = lists.select("v").distinct()
-    vertex_of = described.select("doc_id", "text_hash", "v")
-    sets = staged(_sets_of(rows, vertex_of, needed, sketch, width, log2))
+    sets = _sets_of(rows, described, first, sketch, width, log2)
     stars = staged(_verified(first, sets, percent))
     labels = components(stars)
 
@@ -283,10 +309,12 @@ def linked(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> Dat
         .select(F.col("a_v").alias("a"), F.col("b_v").alias("b"))
         .distinct()
         .join(first, ["a", "b"], "left_anti")
+        .join(first.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
     )
-    more = _verified(rest, sets, percent)
-    edges = staged(stars.union(more))
-    labels = components(edges)
+    rest = staged(rest)
+    if not rest.isEmpty():
+        more = _verified(rest, _sets_of(rows, described, rest, sketch, width, log2), percent)
+        labels = components(stars.union(more))
     placed_rows = described.select("doc_id", "text_hash", "n", "v").join(labels, "v", "left").withColumn(
         "label", F.coalesce("label", "v")
     )
@@ -301,31 +329,59 @@ def linked(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> Dat
     )
 
 
-def _sets_of(rows: DataFrame, vertex_of: DataFrame, needed: DataFrame, sketch, width: int, log2: int) -> DataFrame:
-    """One set per needed vertex, made from one text that has it."""
-    one = (
-        vertex_of.join(needed, "v")
-        .groupBy("v")
-        .agg(F.min("text_hash").alias("text_hash"))
-        .select("text_hash", "v")
-    )
-    size = 1 << FILTER_LOG2
-    cell = F.pmod(F.col("text_hash"), F.lit(size)).cast("int")
-    bits = np.zeros(size, bool)
-    packed = one.select(cell.alias("c")).groupBy((F.col("c") / 1024).cast("int").alias("w"))
+def _sets_of(
+    rows: DataFrame, described: DataFrame, pairs: DataFrame, sketch, width: int, log2: int
+) -> DataFrame:
+    """``(v, items)`` of the vertices in `pairs`, each made anew from one row that has it.
+
+    The rows are named by a bit filter of fixed size; what passes it by chance does no harm.
+    """
+    needed = pairs.select(F.col("a").alias("v")).union(pairs.select("b")).distinct()
+    cell = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(1 << FILTER_LOG2)).cast("int")
+    one = described.join(needed, "v").groupBy("v").agg(F.min(F.struct("doc_id", "text_hash")).alias("one"))
+    packed = one.select("one.*").select(cell.alias("c")).groupBy((F.col("c") / 1024).cast("int").alias("w"))
+    bits = np.zeros(1 << FILTER_LOG2, bool)
     for _, cells in packed.agg(F.collect_set("c").alias("c")).toLocalIterator():
         bits[cells] = True
     shared = rows.sparkSession.sparkContext.broadcast(np.packbits(bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cells = batch.column("text_hash").to_numpy() % size
+            cells = batch.column("cell").to_numpy()
             hit = (shared.value[cells >> 3] >> (7 - (cells & 7)) & 1).astype(bool)
-            for part, sets in _batches_of_sets(iter([batch.filter(pa.array(hit))]), width):
+            for _, sets in _batches_of_sets(iter([batch.filter(pa.array(hit))]), width):
                 packed = [in_order(s, sketch.value, log2).tobytes() for s in sets]
                 yield pa.record_batch(
-                    [part.column("text_hash"), pa.array(packed, pa.binary())], names=["text_hash", "items"]
+                    [pa.array([set_key(s) for s in sets], pa.int64()), pa.array(packed, pa.binary())],
+                    names=["v", "items"],
                 )
 
-    made = rows.select("text", "text_hash").mapInArrow(run, "text_hash bigint, items binary")
-    return one.join(made, "text_hash").groupBy("v").agg(F.first("items").alias("items"))
+    return staged(rows.select("text", cell.alias("cell")).mapInArrow(run, "v bigint, items binary"))
+
+
+def keep_one(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """One document of each component, that of the least id, with all its columns.
+
+    Of rows that are alike in id and text one stays. Documents without words all stay.
+    """
+    rows = linked(docs, width, percent)
+    group = F.when(F.col("n") > 0, F.struct("label", F.lit(None).cast("bigint").alias("h"))).otherwise(
+        F.struct("doc_id", F.col("text_hash").alias("h"))
+    )
+    key = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")
+    kept = staged(
+        rows.select(group.alias("g"), key.alias("k"))
+        .groupBy("g")
+        .agg(F.min("k").alias("k"), F.count(F.lit(1)).alias("n"))
+        .select(F.col("k.doc_id").alias("_id"), F.col("k.text_hash").alias("_hash"), "n")
+    )
+    hashed = docs.withColumn("_text_hash", F.xxhash64("text"))
+    same = F.col("_id").eqNullSafe(hashed["doc_id"]) & (F.col("_hash") == F.col("_text_hash"))
+    single = hashed.join(kept, same, "left_semi")
+    twice = rows.groupBy("doc_id", "text_hash").count().where("count > 1")
+    twice = staged(twice.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")))
+    if twice.isEmpty():
+        return single.drop("_text_hash")
+    once = single.join(twice, same, "left_anti")
+    again = single.join(twice, same, "left_semi").dropDuplicates(["doc_id", "_text_hash"])
+    return once.unionByName(again).drop("_text_hash")

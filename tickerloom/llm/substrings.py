@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickerloom.llm import kernel as K
-from tickerloom.llm.countmin import MAX_CELLS_LOG2, estimated_repeated, repeated_cells
+from tickerloom.llm.countmin import MAX_CELLS_LOG2, estimated_repeated, of_texts, repeated_cells
 from tickerloom.llm.exchange import ASK, Told, bucket_count, exchange, groups, pack
 
 WINDOW = 50
@@ -80,7 +80,7 @@ def repeated_words(
         first[1:] = (w.anchor[1:] != w.anchor[:-1]) | (w.row[1:] != w.row[:-1])
         return w.anchor[first]
 
-    shared = docs.sparkSession.sparkContext.broadcast(repeated_cells(rows, counted, log2))
+    shared = docs.sparkSession.sparkContext.broadcast(repeated_cells(rows.select("text"), of_texts(counted), log2))
     chunked = rows.withColumn("chunk", K.chunk_of(chunks, "doc_id", "text"))
 
     def ask(key: tuple, table: pa.Table) -> pa.Table:

@@ -1,13 +1,15 @@
 """Operator 10, suffix-array dedup: prefix doubling over sampled text positions.
 
 Ranking every byte would move the corpus many times over. A site is the position of the
-smallest 16-byte hash in a stretch of 128 bytes; which site a 400-byte string has
+smallest 16-byte hash in a stretch of 160 bytes; which site a 400-byte string has
 follows from its bytes alone, so equal strings have equal sites, at equal distances.
-Only sites are ranked: first by 64 bytes, then in rounds by the pair of their own rank
-and the rank of the site 1, 2, 4, 8 sites on. Ranks are names of equal strings. A site
-leaves when its rank is unique, or when the next pair would reach past the bytes that
-every string of the site holds. Strings of the sites that stay are then compared whole:
-all strings of a site as one where that decides, one by one where it doesn't.
+
+Only sites are ranked. Strings of a site that are all repeated together are done first.
+The others are ranked by 64 bytes, then in rounds by pairs of ranks: their own and that
+of the site 1, 2, 4 sites on. A rank is the name of a string, 64 bits of hash, as only
+equality matters; Spark brings equal pairs together, and a site leaves when its rank is
+unique or when the next pair would reach past what all its strings hold. The strings of
+the sites that stay are compared one by one.
 """
 
 from __future__ import annotations
@@ -21,16 +23,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickerloom.llm import kernel as K
-from tickerloom.llm.countmin import MAX_CELLS_LOG2, estimated_repeated, repeated_cells
+from tickerloom.llm.countmin import MAX_CELLS_LOG2, estimated_repeated, of_texts, repeated_cells
 from tickerloom.llm.exchange import ASK, Told, bucket_count, exchange, groups, pack
 from tickerloom.llm.stage import staged
 
 LENGTH = 400
 GRAM = 16
-STRETCH = 128
+STRETCH = 160
 #: Bytes of the first rank.
 FIRST = 64
-STEPS = (1, 2, 4, 8)
+ROUNDS = 3
 FAR = 1 << 30
 FILTER_LOG2 = 23
 _LOW = np.uint64(0xFFFFFFFF)
@@ -39,10 +41,9 @@ _HIGH = ~_LOW
 
 @dataclass
 class Sites:
-    """Sites of some texts: row, place in the row's sites, position, and its strings' starts."""
+    """Sites of some texts: row, position, the first and last start of its strings, first rank."""
 
     row: np.ndarray
-    place: np.ndarray
     at: np.ndarray
     low: np.ndarray
     high: np.ndarray
@@ -59,7 +60,7 @@ def sites_of(data: np.ndarray, offsets: np.ndarray) -> Sites:
     row = np.repeat(np.arange(len(per_row)), per_row)
     if not len(start):
         none = np.empty(0, np.int64)
-        return Sites(none, none, none, none, none, np.empty(0, np.uint64), ranges)
+        return Sites(none, none, none, none, np.empty(0, np.uint64), ranges)
     at = (K.sliding_min(order, STRETCH)[start] & _LOW).astype(np.int64)
     new = np.ones(len(at), bool)
     new[1:] = (at[1:] != at[:-1]) | (row[1:] != row[:-1])
@@ -68,58 +69,57 @@ def sites_of(data: np.ndarray, offsets: np.ndarray) -> Sites:
     row, at, low, high = row[first], at[first], start[first], start[last]
     keep = at + FIRST <= offsets[row + 1]
     row, at, low, high = row[keep], at[keep], low[keep], high[keep]
-    begin = np.searchsorted(row, np.arange(len(offsets) - 1))
-    place = np.arange(len(row)) - begin[row]
-    return Sites(row, place, at, low, high, ranges.hash(at, at + FIRST), ranges)
+    return Sites(row, at, low, high, ranges.hash(at, at + FIRST), ranges)
+
+
+def names(s: Sites, core: int) -> list[np.ndarray]:
+    """Per round the rank of every site, 0 where it would reach past `core` bytes."""
+    out, reach = [s.first], np.full(len(s.at), FIRST)
+    count = len(s.at)
+    for k in range(ROUNDS):
+        to = np.minimum(np.arange(count) + (1 << k), max(0, count - 1))
+        gap = np.where((s.row[to] == s.row) & (to > np.arange(count)), s.at[to] - s.at, FAR)
+        longer = np.minimum(gap + reach[to], FAR)
+        pair = K._mix(out[-1] * np.uint64(3) + K._mix(out[-1][to] + gap.astype(np.uint64)))
+        out.append(np.where(longer <= core, pair | np.uint64(1), np.uint64(0)))
+        reach = np.where(longer <= core, longer, FAR)
+    return out
 
 
-SITES = (
-    "rid bigint, doc_id bigint, text_hash bigint, place int, low int, high int, starts boolean, "
-    "rank bigint, d1 int, d2 int, d4 int, d8 int, whole bigint"
+SITES = "text_hash bigint, low int, high int, whole bigint, repeated boolean, " + ", ".join(
+    f"rank{k} bigint" for k in range(ROUNDS + 1)
 )
 
 
-def _sites(rows: DataFrame, length: int, bits, log2: int) -> DataFrame:
+def _wholes(s: Sites, offsets: np.ndarray, length: int, core: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sites with strings in their row, the last start of these, and a hash of all of them."""
+    end = offsets[s.row + 1]
+    high = np.minimum(s.high, end - length)
+    keep = np.flatnonzero((s.at + core <= end) & (s.low <= high))
+    return keep, high[keep], s.values.hash(s.low[keep], high[keep] + length)
+
+
+def _sites(rows: DataFrame, length: int, first_bits, whole_bits, log2: int) -> DataFrame:
     """The sites whose first 64 bytes are estimated to be repeated."""
     core = length - STRETCH + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rid, doc = batch.column("rid").to_numpy(), batch.column("doc_id")
             text_hash = batch.column("text_hash").to_numpy()
             for first, _, data, offsets in K.text_slices(batch.column("text")):
                 s = sites_of(data, offsets)
-                keep = np.flatnonzero(estimated_repeated(s.first, bits.value, log2))
-                row, at = s.row[keep], s.at[keep]
-                end = offsets[row + 1]
-                high = np.minimum(s.high[keep], end - length)
-                starts = (at + core <= end) & (s.low[keep] <= high)
-                whole = np.zeros(len(keep), np.uint64)
-                a = np.flatnonzero(starts)
-                whole[a] = s.values.hash(s.low[keep][a], high[a] + length)
-                apart = []
-                for step in STEPS:
-                    to = keep + step
-                    inside = to < len(s.row)
-                    gap = np.full(len(keep), FAR, np.int64)
-                    same = np.zeros(len(keep), bool)
-                    same[inside] = s.row[to[inside]] == row[inside]
-                    gap[same] = s.at[to[same]] - at[same]
-                    apart.append(gap)
-                base = offsets[row]
-                k = row + first
+                keep, high, whole = _wholes(s, offsets, length, core)
+                likely = estimated_repeated(s.first[keep], first_bits.value, log2)
+                keep, high, whole = keep[likely], high[likely], whole[likely]
+                row = s.row[keep]
                 yield pa.record_batch(
                     [
-                        pa.array(rid[k]),
-                        doc.take(pa.array(k)),
-                        pa.array(text_hash[k]),
-                        pa.array(s.place[keep].astype(np.int32)),
-                        pa.array((s.low[keep] - base).astype(np.int32)),
-                        pa.array((high - base).astype(np.int32)),
-                        pa.array(starts),
-                        pa.array(s.first[keep].astype(np.int64)),
-                        *[pa.array(g.astype(np.int32)) for g in apart],
+                        pa.array(text_hash[row + first]),
+                        pa.array((s.low[keep] - offsets[row]).astype(np.int32)),
+                        pa.array((high - offsets[row]).astype(np.int32)),
                         pa.array(whole.astype(np.int64)),
+                        pa.array(estimated_repeated(whole, whole_bits.value, log2)),
+                        *[pa.array(n[keep].astype(np.int64)) for n in names(s, core)],
                     ],
                     names=[c.split()[0] for c in SITES.split(", ")],
                 )
@@ -127,56 +127,23 @@ def _sites(rows: DataFrame, length: int, bits, log2: int) -> DataFrame:
     return rows.mapInArrow(run, SITES)
 
 
-def doubled(sites: DataFrame, core: int) -> DataFrame:
-    """The sites whose strings may be repeated, with the name of what they share."""
-    counts = sites.groupBy("rank").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("rank")
-    state = sites.select("rid", "place", "rank", *[f"d{s}" for s in STEPS])
-    state = staged(state.join(counts, "rank").withColumns({"reach": F.lit(FIRST), "state": F.lit("live")}))
-    for step in STEPS:
-        live = state.where("state = 'live'")
-        after = state.select(
-            "rid",
-            (F.col("place") - step).alias("place"),
-            F.col("rank").alias("rank2"),
-            F.col("reach").alias("reach2"),
-            F.col("state").alias("state2"),
-        )
-        reach = F.col(f"d{step}") + F.when(F.col("state2") == "past", FAR).otherwise(
-            F.coalesce("reach2", F.lit(FIRST))
-        )
-        moved = live.join(after, ["rid", "place"], "left").withColumn("reach1", reach)
-        moved = moved.withColumn(
-            "state1",
-            F.when(F.col("reach1") > core, "past")
-            .when(F.col("state2").isNull() | (F.col("state2") == "unique"), "unique")
-            .otherwise("live"),
-        )
-        longer = F.col("state1") == "live"
-        moved = moved.select(
-            "rid",
-            "place",
-            F.when(longer, F.xxhash64("rank", "rank2", f"d{step}")).otherwise(F.col("rank")).alias("rank"),
-            *[f"d{s}" for s in STEPS],
-            F.when(F.col("state1") == "past", F.col("reach")).otherwise(F.col("reach1")).alias("reach"),
-            F.col("state1").alias("state"),
-        )
-        moved = staged(moved)
-        again = (
-            moved.where("state = 'live'").groupBy("rank").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        )
-        moved = moved.join(again.select("rank", "n"), "rank", "left").withColumn(
-            "state",
-            F.when((F.col("state") == "live") & F.col("n").isNull(), "unique").otherwise(F.col("state")),
-        )
-        state = staged(state.where("state <> 'live'").unionByName(moved.drop("n")))
-        if state.where("state = 'live'").isEmpty():
-            break
-    return state.where("state <> 'unique'").select("rid", "place", F.col("rank").alias("name"), "reach")
+def doubled(sites: DataFrame) -> DataFrame:
+    """Of `sites` with a weight those whose strings may be repeated.
+
+    Each round keeps the sites whose rank has a weight of two or more together, and those
+    that stopped before; the next one ranks them by the pair twice as long.
+    """
+    for k in range(ROUNDS + 1):
+        rank = f"rank{k}"
+        live = sites.where(F.col(rank) != 0)
+        again = live.groupBy(rank).agg(F.sum("weight").alias("n")).where("n > 1").select(rank)
+        sites = staged(live.join(again, rank).unionByName(sites.where(F.col(rank) == 0)))
+    return sites
 
 
 def _spans_by_text(spans: DataFrame) -> DataFrame:
     """Packed ``low, high`` pairs per text."""
-    return spans.groupBy("doc_id", "text_hash").agg(
+    return spans.groupBy("text_hash").agg(
         F.sort_array(F.collect_set(F.struct("low", "high"))).alias("spans")
     )
 
@@ -206,27 +173,20 @@ def _chosen_texts(rows: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def _single_strings(rows: DataFrame, work: DataFrame, length: int, size: int) -> DataFrame:
-    """``(doc_id, text_hash, low, high)`` of the strings in `work` that occur twice.
+    """``(text_hash, low, high)`` of the strings in `work` that occur twice.
 
     `work` has one site for each distinct whole; `weight` is 2 where that whole itself
     occurs more than once.
     """
     chunks = max(8, -(-size // K.CHUNK_BYTES))
     by_text = staged(
-        work.groupBy("doc_id", "text_hash").agg(
-            F.collect_list(F.struct("low", "high", "weight")).alias("sites")
-        )
+        work.groupBy("text_hash").agg(F.collect_list(F.struct("low", "high", "weight")).alias("sites"))
     )
-    a, b = _chosen_texts(rows.drop("rid"), by_text).alias("a"), by_text.alias("b")
     texts = (
-        a.join(
-            b,
-            F.col("a.doc_id").eqNullSafe(F.col("b.doc_id"))
-            & (F.col("a.text_hash") == F.col("b.text_hash")),
-        )
-        .select("a.doc_id", "a.text_hash", "text", "sites")
-        .dropDuplicates(["doc_id", "text_hash"])
-        .withColumn("chunk", K.chunk_of(chunks, "doc_id", "text_hash"))
+        _chosen_texts(rows, by_text)
+        .join(by_text, "text_hash")
+        .dropDuplicates(["text_hash"])
+        .withColumn("chunk", K.chunk_of(chunks, "text_hash"))
     )
     strings = work.agg(F.sum(F.col("high") - F.col("low") + 1)).first()[0] or 0
     buckets = bucket_count(strings)
@@ -289,18 +249,17 @@ def _single_strings(rows: DataFrame, work: DataFrame, length: int, size: int) ->
         at = pa.array(row[first])
         return pa.table(
             [
-                table.column("doc_id").take(at),
                 table.column("text_hash").take(at),
                 pa.array(start[first].astype(np.int32)),
                 pa.array(start[last].astype(np.int32)),
             ],
-            names=["doc_id", "text_hash", "low", "high"],
+            names=["text_hash", "low", "high"],
         )
 
     return (
         texts.groupBy("chunk")
         .cogroup(answers.groupBy("chunk"))
-        .applyInArrow(spans, "doc_id bigint, text_hash bigint, low int, high int")
+        .applyInArrow(spans, "text_hash bigint, low int, high int")
     )
 
 
@@ -314,45 +273,41 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     if length < STRETCH + FIRST + GRAM:
         raise ValueError(f"length must be at least {STRETCH + FIRST + GRAM}")
     base = docs.select(F.col("doc_id").cast("bigint"), "text").withColumn("text_hash", F.xxhash64("text"))
-    rows = base.withColumn("rid", F.monotonically_increasing_id())
+    rows = base.select("text", "text_hash")
     size = K.total_bytes(base)
     log2 = min(MAX_CELLS_LOG2, max(12, int(size).bit_length() - 3))
-    spark = docs.sparkSession
-    bits = spark.sparkContext.broadcast(
-        repeated_cells(base, lambda data, offsets: sites_of(data, offsets).first, log2)
-    )
-    sites = staged(_sites(rows, length, bits, log2))
-    named = doubled(sites, length - STRETCH + 1)
-    here = staged(
-        sites.where("starts")
-        .select("rid", "place", "doc_id", "text_hash", "low", "high", "whole")
-        .join(named, ["rid", "place"])
-    )
-    wholes = here.groupBy("name", "reach", "whole").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "text_hash", "low", "high")).alias("one")
-    )
-    wholes = staged(wholes)
-    sure = here.join(wholes.where("n > 1").select("name", "reach", "whole"), ["name", "reach", "whole"])
-    sure = sure.select("doc_id", "text_hash", "low", "high")
-    mixed = (
-        wholes.groupBy("name", "reach")
-        .agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least"))
-        .where("kinds > 1 AND least = 1")
-        .select("name", "reach")
-    )
-    work = staged(
-        wholes.join(mixed, ["name", "reach"]).select(
-            "one.doc_id", "one.text_hash", "one.low", "one.high", F.least("n", F.lit(2)).cast("int").alias("weight")
-        )
+    core = length - STRETCH + 1
+    share = docs.sparkSession.sparkContext.broadcast
+
+    def wholes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        return _wholes(sites_of(data, offsets), offsets, length, core)[2]
+
+    first_bits = share(repeated_cells(rows, of_texts(lambda d, o: sites_of(d, o).first), log2))
+    whole_bits = share(repeated_cells(rows, of_texts(wholes), log2))
+    sites = staged(_sites(rows, length, first_bits, whole_bits, log2))
+
+    likely = sites.where("repeated")
+    counts = likely.groupBy("whole").agg(F.count(F.lit(1)).alias("n"), F.min("text_hash").alias("one"))
+    counts = staged(counts.where("n > 1"))
+    sure = likely.select("whole", "text_hash", "low", "high").join(counts.select("whole"), "whole").drop("whole")
+    alone = sites.join(counts.select("whole"), "whole", "left_anti").withColumn("weight", F.lit(1))
+    alone = staged(alone)
+    # of a repeated whole one site stands for all, and only where a lone one may equal it
+    lone = alone.select("rank0").distinct()
+    one_each = (
+        likely.join(lone, "rank0", "left_semi")
+        .join(counts.select("whole", F.col("one").alias("text_hash")), ["whole", "text_hash"])
+        .dropDuplicates(["whole"])
+        .withColumn("weight", F.lit(2))
     )
+    named = doubled(alone.unionByName(one_each))
+    deepest = F.coalesce(*[F.nullif(F.col(f"rank{k}"), F.lit(0)) for k in range(ROUNDS, -1, -1)])
+    named = named.withColumn("name", deepest)
+    mixed = named.groupBy("name").agg(F.min("weight").alias("least")).where("least = 1").select("name")
+    work = staged(named.join(mixed, "name").select("text_hash", "low", "high", "weight"))
     single = _single_strings(rows, work, length, size)
     removed = staged(_spans_by_text(sure.unionByName(single)))
-    a, b = base.alias("a"), removed.alias("b")
-    marked = a.join(
-        b,
-        F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.text_hash") == F.col("b.text_hash")),
-        "left",
-    ).select("a.doc_id", "text", "spans")
+    marked = base.join(removed, "text_hash", "left").select("doc_id", "text", "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
