@@ -39,7 +39,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Transducer:
     """Encodes byte strings; `max_states` bounds memory, at the bound all states are dropped."""
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 100_000) -> None:
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 200_000) -> None:
         self.ranks = ranks
         self.tokens = {r: t for t, r in ranks.items()}
         self._max = max_states
@@ -134,9 +134,10 @@ class Transducer:
                 break
         after = [(p[shared:], last if len(p) > shared else -1, node) for p, last, node in guesses]
         after.sort()
-        found = self._ids.setdefault(tuple(after), len(self._states))
+        after = tuple(after)
+        found = self._ids.setdefault(after, len(self._states))
         if found == len(self._states):
-            self._states.append(tuple(after))
+            self._states.append(after)
         move = self._moves[key] = (found << 9, first[:shared])
         return move
 
@@ -233,14 +234,13 @@ class Decoder:
     def decode_bytes(self, ids: np.ndarray) -> bytes:
         return self._bytes[ragged(self._starts[ids], self._lengths[ids])].tobytes()
 
-    def decode(self, ids: np.ndarray, step: int = 1 << 14) -> Iterator[tuple[bytes, str]]:
-        """Bytes and finished text of each `step` ids, as a stream."""
+    def decode(self, ids: np.ndarray, step: int = 1 << 14) -> Iterator[str]:
+        """Finished text of each `step` ids, as a stream."""
         state = Utf8()
         for at in range(0, len(ids), step):
-            data = self.decode_bytes(ids[at : at + step])
-            yield data, state.feed(data)
+            yield state.feed(self.decode_bytes(ids[at : at + step]))
         if rest := state.close():
-            yield b"", rest
+            yield rest
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
@@ -271,10 +271,10 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
 
 
 def decode(rows: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """`rows` of ``(doc_id, ids)`` with ``decoded``, the bytes, and ``text``; null ids are none.
+    """`rows` of ``(doc_id, ids)`` with the ``text`` that the ids stand for; null ids are none.
 
     Text is made from the bytes as they come, by the incremental state machine; bytes
-    that are no UTF-8 give U+FFFD in it.
+    that are no UTF-8 give U+FFFD in it, which the ids of a text never do.
     """
     shared = rows.sparkSession.sparkContext.broadcast(ranks)
 
@@ -283,31 +283,30 @@ def decode(rows: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
         for batch in batches:
             for at in range(0, len(batch), ROWS):
                 part = batch.slice(at, ROWS)
-                data, texts = [], []
+                texts = []
                 for ids in part.column("ids"):
                     values = ids.values
                     numbers = np.empty(0, np.int64) if values is None else values.to_numpy().astype(np.int64)
-                    pieces = list(codec.decode(numbers))
-                    data.append(b"".join(d for d, _ in pieces))
-                    texts.append("".join(t for _, t in pieces))
+                    texts.append("".join(codec.decode(numbers)))
                 yield pa.record_batch(
-                    [part.column("doc_id"), part.column("ids"), pa.array(data, pa.binary()), pa.array(texts, pa.string())],
-                    names=["doc_id", "ids", "decoded", "text"],
+                    [part.column("doc_id"), part.column("ids"), pa.array(texts, pa.string())],
+                    names=["doc_id", "ids", "text"],
                 )
 
-    return rows.select("doc_id", "ids").mapInArrow(
-        run, "doc_id bigint, ids array<int>, decoded binary, text string"
-    )
+    return rows.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, ids array<int>, text string")
 
 
-def bpe_digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
+def bpe_digests(
+    docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep_ids: bool = False
+) -> DataFrame:
     """Number of ids, digest of the ids and digest of what they decode to."""
     back = decode(encode(docs, ranks, pattern), ranks)
     return back.select(
         "doc_id",
+        *(["ids"] if keep_ids else []),
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
     )
 
 
