@@ -29,7 +29,7 @@ _PHONE = re.compile(r"[0-9][ ().0-9-]+")
 _URL = re.compile(r"[^\s<>\"'`|]+")
 _AUTHORITY = re.compile(r"[^\s<>\"'`|/]+")
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
-_ACCOUNT = re.compile(r"[ \t]*(?:number|no\.?|nr\.?|#)?[ \t]*[:=#][ \t]*([A-Za-z]{0,3}[0-9][0-9A-Za-z-]{4,33})")
+_ACCOUNT = re.compile(r"[ \t]*(?:number|no\.?|nr\.?|id)?[ \t]*[:=#][ \t]*([A-Za-z]{0,3}-?[0-9][0-9A-Za-z-]{4,33})")
 #: Words after which an identifier follows, lower case.
 CUES = ("account", "acct", "ssn", "passport", "tax id", "customer id", "member id")
 

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 import public_tokenizers
-
 from tickerloom.llm import bpe, chat, contamination, html, lm, pii, quality, similar, substrings, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,8 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     subwords = lm.Subwords(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return lm.scored(_table(spark, sf_dir, "documents"), subwords)
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir).drop("ids")

@@ -365,8 +365,11 @@ def keep_one(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> D
     Of rows that are alike in id and text one stays. Documents without words all stay.
     """
     rows = linked(docs, width, percent)
-    group = F.when(F.col("n") > 0, F.struct("label", F.lit(None).cast("bigint").alias("h"))).otherwise(
-        F.struct("doc_id", F.col("text_hash").alias("h"))
+    filled = F.col("n") > 0
+    group = F.struct(
+        filled.alias("filled"),
+        F.when(filled, F.col("label")).otherwise(F.col("doc_id")).alias("of"),
+        F.when(~filled, F.col("text_hash")).alias("hash"),
     )
     key = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")
     kept = staged(
