@@ -77,12 +77,16 @@ class Tables:
     @property
     def events(self) -> DataFrame:
         return self._stored(
-            "corporate_action_events", lambda: derive_events(self.table("orders"))
+            "corporate_action_events",
+            lambda: derive_events(self.table("orders"), self.table("supplier").count()),
         )
 
     @property
     def dividends(self) -> DataFrame:
-        return self._stored("cash_dividends", lambda: derive_dividends(self.table("orders")))
+        return self._stored(
+            "cash_dividends",
+            lambda: derive_dividends(self.table("orders"), self.table("supplier").count()),
+        )
 
     @property
     def index_values(self) -> DataFrame:
@@ -157,10 +161,11 @@ def derive_bars(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def derive_events(orders: DataFrame) -> DataFrame:
+def derive_events(orders: DataFrame, securities: int) -> DataFrame:
+    """One event per order, spread over all securities."""
     labels = F.create_map(*[F.lit(x) for kv in CATEGORIES.items() for x in kv])
-    sid = F.col("o_custkey") % 100
-    return orders.filter(F.col("o_orderkey") % 20 == 0).select(
+    sid = F.col("o_custkey") % securities
+    return orders.select(
         F.col("o_orderkey").alias("event_id"),
         F.col("o_orderkey").cast("string").alias("source_record_id"),
         labels[F.col("o_orderpriority")].alias("source_category"),
@@ -175,14 +180,15 @@ def derive_events(orders: DataFrame) -> DataFrame:
     )
 
 
-def derive_dividends(orders: DataFrame) -> DataFrame:
+def derive_dividends(orders: DataFrame, securities: int) -> DataFrame:
+    """One dividend per order, spread over all securities."""
     key = F.col("o_orderkey")
-    sid = F.col("o_custkey") % 100
+    sid = F.col("o_custkey") % securities
     shift = F.when(key % 4 == 3, -30).when(key % 4 == 1, 120).otherwise(0)
     amount = (F.col("o_totalprice").cast("decimal(18,2)") * dec("0.0001", 5, 4)).cast(
         "decimal(18,2)"
     )
-    return orders.filter((key % 30).isin(7, 8, 9)).select(
+    return orders.select(
         key.alias("dividend_id"),
         F.concat(F.lit("S"), sid.cast("string")).alias("source_ticker"),
         F.date_add(F.to_date("o_orderdate"), shift).alias("ex_date"),
@@ -201,13 +207,12 @@ def derive_dividends(orders: DataFrame) -> DataFrame:
 def derive_index_values(
     lineitem: DataFrame, supplier: DataFrame, nation: DataFrame, region: DataFrame
 ) -> DataFrame:
-    """One index per region: summed prices per ship date before 1997.
+    """One index per region: summed prices per ship date.
 
     Lines are summed per supplier and date before they meet the dimension tables.
     """
     daily = (
-        lineitem.filter(F.col("l_shipdate") < F.lit("1997-01-01").cast("timestamp"))
-        .groupBy("l_suppkey", F.to_date("l_shipdate").alias("trading_date"))
+        lineitem.groupBy("l_suppkey", F.to_date("l_shipdate").alias("trading_date"))
         .agg(F.sum(F.col("l_extendedprice").cast(PRICE)).alias("close"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))

@@ -117,22 +117,26 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "a4_exact_duplicates_resolved",
-    """SELECT count(*) AS kept, CAST(sum(copies - 1) AS BIGINT) AS dropped FROM (
-      SELECT security_id, trading_date, count(*) AS copies FROM copies WHERE line < 200000 GROUP BY 1, 2) g""",
-    "copies",
+    """SELECT count(*) FILTER (WHERE NOT conflict) AS kept,
+      CAST(sum(copies - 1) FILTER (WHERE NOT conflict) AS BIGINT) AS dropped,
+      count(*) FILTER (WHERE conflict) AS refused, TRUE AS refuses_all FROM copy_groups""",
+    "copy_groups",
 )
 def _(t: Tables) -> DataFrame:
-    groups = dedupe.key_groups(
-        copies(t).filter("line < 200000"),
-        ["security_id", "trading_date"],
-        PRICE_OBSERVATION,
-        F.col("line"),
-        ["line"],
-    )
-    clean = dedupe.require_no_conflicts(groups, ["security_id", "trading_date"])
-    return clean.agg(
-        F.count(F.lit(1)).alias("kept"), F.sum(F.col("copies") - 1).alias("dropped")
-    )
+    key = ["security_id", "trading_date"]
+    groups = durable(copy_groups(t))
+    try:
+        dedupe.require_no_conflicts(groups, key)
+        refuses = groups.filter("conflict").isEmpty()
+    except dedupe.ConflictingDuplicates:
+        refuses = True
+    dedupe.require_no_conflicts(dedupe.accepted(groups), key)
+    clean = ~F.col("conflict")
+    return groups.agg(
+        F.count(F.when(clean, 1)).alias("kept"),
+        F.sum(F.when(clean, F.col("copies") - 1)).alias("dropped"),
+        F.count(F.when(F.col("conflict"), 1)).alias("refused"),
+    ).withColumn("refuses_all", F.lit(refuses))
 
 
 @query(

@@ -336,32 +336,37 @@ def _(t: Tables) -> DataFrame:
     return factors.factor_counts(b.factors).unionByName(rows).unionByName(dates)
 
 
+_ROUND = "CAST(round(CAST(factor AS DOUBLE) * 1e9) AS BIGINT)"
+#: Every factor column in both engines' SQL; the factor to nine places, amounts to four.
+_DIGESTED = (
+    *((c, c) for c in ("security_id", "effective_date", "factor_kind", "classification", "status")),
+    (_ROUND, _ROUND),
+    *(
+        (f"CAST({c} AS DECIMAL(30,4))",) * 2
+        for c in ("reference_price", "close", "prev_close", "dividend_amount")
+    ),
+    *((c, c) for c in ("prev_trading_date", "source_ex_date")),
+    ("event_id", "corporate_action_event_id"),
+    *((c, c) for c in ("file_id", "source_line", "prev_file_id", "prev_source_line")),
+    ("'bench'", "price_source_id"),
+    ("'ref-v1'", "method_version"),
+)
+
+
 @query(
     "a15_factor_digest",
-    """SELECT count(*) AS rows, sha256(CAST(count(*) AS VARCHAR) || ':' || string_agg(s, ':' ORDER BY i)) AS digest
-    FROM (SELECT i, CAST(sum(CAST('0x' || substr(h, 1 + 16 * i, 15) AS BIGINT)) AS VARCHAR) AS s, count(*) AS n
-          FROM (SELECT sha256(concat_ws(chr(31), CAST(security_id AS VARCHAR), CAST(effective_date AS VARCHAR),
-                  factor_kind, classification, status, CAST(CAST(reference_price AS DECIMAL(20,4)) AS VARCHAR),
-                  coalesce(CAST(event_id AS VARCHAR), '␀'))) AS h FROM all_factors) f,
-               (SELECT unnest([0, 1, 2, 3]) AS i) k GROUP BY i) g, LATERAL (SELECT n) z""".replace(
-        "SELECT count(*) AS rows, sha256(CAST(count(*) AS VARCHAR)",
-        "SELECT CAST(max(g.n) AS BIGINT) AS rows, sha256(CAST(max(g.n) AS VARCHAR)",
-    ).replace(", LATERAL (SELECT n) z", ""),
+    """SELECT CAST(max(n) AS BIGINT) AS rows,
+      sha256(CAST(max(n) AS VARCHAR) || ':' || string_agg(s, ':' ORDER BY i)) AS digest
+    FROM (SELECT i, count(*) AS n, CAST(sum(CAST('0x' || substr(h, 1 + 16 * i, 15) AS BIGINT)) AS VARCHAR) AS s
+      FROM (SELECT sha256(concat_ws(chr(31), """
+    + ", ".join(f"coalesce(CAST({sql} AS VARCHAR), '␀')" for sql, _ in _DIGESTED)
+    + """)) AS h FROM all_factors) f, (SELECT unnest([0, 1, 2, 3]) AS i) k GROUP BY i) g""",
     "all_factors",
 )
 def _(t: Tables) -> DataFrame:
     from tickerloom.functions.digest import multiset_digest
 
-    names = (
-        "security_id",
-        "effective_date",
-        "factor_kind",
-        "classification",
-        "status",
-        "reference_price",
-        "corporate_action_event_id",
-    )
-    return multiset_digest(build(t).factors, [F.col(c) for c in names])
+    return multiset_digest(build(t).factors, [F.expr(spark) for _, spark in _DIGESTED])
 
 
 @query(
@@ -441,12 +446,12 @@ def _(t: Tables) -> DataFrame:
 @query(
     "p21_total_return",
     """SELECT security_id, trading_date, round(total_return, 6) AS total_return,
-    CAST(dividend AS DOUBLE) AS dividend FROM series WHERE dividend > 0""",
+    CAST(dividend AS DOUBLE) AS dividend FROM series""",
     "series",
 )
 def _(t: Tables) -> DataFrame:
     b = build(t)
-    bars = series.adjusted_bars(t.bars, b.factors, b.anomalies).filter("dividend > 0")
+    bars = series.adjusted_bars(t.bars, b.factors, b.anomalies)
     return rounded(
         bars.select("security_id", "trading_date", "total_return", "dividend"), 6, "total_return"
     )
@@ -477,8 +482,7 @@ def _(t: Tables) -> DataFrame:
       AND p.factor_kind = 'price' AND p.status = 'applied'
     LEFT JOIN all_factors d ON d.security_id = b.security_id AND d.effective_date = b.trading_date
       AND d.factor_kind = 'cash_dividend' AND d.status = 'applied'
-    LEFT JOIN anomalies a ON a.trading_date = b.trading_date
-    WHERE p.factor IS NOT NULL OR d.factor IS NOT NULL""",
+    LEFT JOIN anomalies a ON a.trading_date = b.trading_date""",
     "all_factors",
 )
 def _(t: Tables) -> DataFrame:
@@ -489,7 +493,7 @@ def _(t: Tables) -> DataFrame:
     )
     flagged = b.anomalies.select("trading_date", F.lit(True).alias("a"))
     return rounded(
-        t.bars.join(steps, ["security_id", "trading_date"])
+        t.bars.join(steps, ["security_id", "trading_date"], "left")
         .join(applied, ["security_id", "trading_date"], "left")
         .join(F.broadcast(flagged), "trading_date", "left")
         .select(

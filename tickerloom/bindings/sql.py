@@ -87,7 +87,7 @@ cte(
 )
 cte(
     "ca_events",
-    """SELECT o_orderkey AS event_id, o_custkey % 100 AS security_id,
+    """SELECT o_orderkey AS event_id, o_custkey % (SELECT count(*) FROM supplier) AS security_id,
     CAST(o_orderdate AS DATE) AS registration_date,
     CASE o_orderpriority WHEN '1-URGENT' THEN 'stockSplit' WHEN '2-HIGH' THEN 'reverseStock'
       WHEN '3-MEDIUM' THEN 'hmetd' WHEN '4-NOT SPECIFIED' THEN 'sahamBonus'
@@ -95,7 +95,7 @@ cte(
     CASE o_orderpriority WHEN '1-URGENT' THEN 'split' WHEN '2-HIGH' THEN 'reverse_split'
       WHEN '3-MEDIUM' THEN 'rights' WHEN '4-NOT SPECIFIED' THEN 'bonus'
       WHEN '5-LOW' THEN 'stock_dividend' END AS label
-  FROM orders WHERE o_orderkey % 20 = 0""",
+  FROM orders""",
 )
 cte(
     "matched",
@@ -123,10 +123,10 @@ cte(
 )
 cte(
     "raw_div",
-    """SELECT o_orderkey AS dividend_id, o_custkey % 100 AS security_id,
+    """SELECT o_orderkey AS dividend_id, o_custkey % (SELECT count(*) FROM supplier) AS security_id,
     CAST(o_orderdate AS DATE) + CAST(CASE o_orderkey % 4 WHEN 3 THEN -30 WHEN 1 THEN 120 ELSE 0 END AS INTEGER) AS ex_date,
     CAST(CAST(o_totalprice AS DECIMAL(18,2)) * CAST(0.0001 AS DECIMAL(5,4)) AS DECIMAL(18,2)) AS amount
-  FROM orders WHERE o_orderkey % 30 IN (7, 8, 9)""",
+  FROM orders""",
 )
 cte(
     "div_by_ex",
@@ -204,7 +204,7 @@ cte(
     CAST(sum(CAST(l_extendedprice AS DECIMAL(20,4))) AS DECIMAL(20,4)) AS close
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
   JOIN region ON n_regionkey = r_regionkey
-  WHERE l_shipdate < TIMESTAMP '1997-01-01' GROUP BY 1, 2""",
+  GROUP BY 1, 2""",
 )
 cte(
     "index_prev",

@@ -10,19 +10,27 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickerloom.schemas import MONEY, PRICE
 
 # ---- fixed values: source formats -----------------------------------------
-KEY_PATTERN = "^[A-Z0-9]+$"
-TRADE_DATE_PATTERN = r"^([0-9]{4}-[0-9]{2}-[0-9]{2})(?:[T ]00:00:00(?:\.0+)?)?$"
-ISO_DATE_PATTERN = r"^([0-9]{4}-[0-9]{2}-[0-9]{2})$"
-MIDNIGHT_PATTERN = r"^([0-9]{4}-[0-9]{2}-[0-9]{2})T00:00:00$"
-AMOUNT_PATTERN = r"^[0-9]+(\.[0-9]+)?$"
-YEAR_PATTERN = r"^[0-9]{4}$"
-TICKER_SUFFIX_PATTERN = r"\.JK$"
+KEY_PATTERN = r"^[A-Z0-9]+\z"
+TRADE_DATE_PATTERN = r"^([0-9]{4}-[0-9]{2}-[0-9]{2})(?:[T ]00:00:00(?:\.0+)?)?\z"
+ISO_DATE_PATTERN = r"^([0-9]{4}-[0-9]{2}-[0-9]{2})\z"
+MIDNIGHT_PATTERN = r"^([0-9]{4}-[0-9]{2}-[0-9]{2})T00:00:00\z"
+AMOUNT_PATTERN = r"^[0-9]+(\.[0-9]+)?\z"
+YEAR_PATTERN = r"^[0-9]{4}\z"
+TICKER_SUFFIX_PATTERN = r"\.JK\z"
 BOM = "﻿"
-WHITESPACE = " \t\r\n\f\u000b"
+#: What surrounds a cell without being part of it: ASCII and Unicode blanks.
+WHITESPACE = (
+    " \t\r\n\f\u000b\u001c\u001d\u001e\u001f\u0085\u00a0\u1680"
+    + "".join(map(chr, range(0x2000, 0x200B)))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
+#: A fraction that is not zero, written without an exponent.
+FRACTION_PATTERN = r"^[^eE]*\.[0-9]*[1-9]"
 
 NUMBER = "decimal(38,10)"  # wide enough to test a value before it is rounded
 
@@ -76,9 +84,13 @@ def is_whole(value: Column) -> Column:
 
 
 def integer(text: Column) -> Column:
-    """Whole number in `text` (``5`` or ``5.0``), NULL otherwise."""
+    """Whole number in `text` (``5`` or ``5.0``), NULL otherwise.
+
+    The text is asked as well: a fraction too small for `NUMBER` is rounded away in it.
+    """
     value = number(text)
-    return F.when(is_whole(value), value).try_cast("bigint")
+    whole = is_whole(value) & ~text.rlike(FRACTION_PATTERN)
+    return F.when(whole, value).try_cast("bigint")
 
 
 def positive_or_null(value: Column) -> Column:
@@ -166,13 +178,29 @@ def _number_reason(header: Sequence[str], name: str) -> Column:
 
 def _integer_reason(header: Sequence[str], name: str) -> Column:
     text = cell(F.col("cells"), header, name)
-    fraction = ~is_whole(F.col(f"_n_{name}"))
+    fraction = ~is_whole(F.col(f"_n_{name}")) | text.rlike(FRACTION_PATTERN)
     return F.coalesce(
         _number_reason(header, name),
         F.when(fraction, F.concat(F.lit(f"{name}="), _quoted(text), F.lit(" is not an integer"))),
+        _range_reason(header, name, "bigint"),
     )
 
 
+def _range_reason(header: Sequence[str], name: str, stored: T.DataType | str) -> Column:
+    """A number that the stored column cannot hold."""
+    value = F.col(f"_n_{name}")
+    return F.when(
+        value.isNotNull() & value.try_cast(stored).isNull(),
+        F.concat(
+            F.lit(f"{name}="), _quoted(cell(F.col("cells"), header, name)), F.lit(" is out of range")
+        ),
+    )
+
+
+def _stored_reason(header: Sequence[str], name: str, stored: T.DataType) -> Column:
+    return F.coalesce(_number_reason(header, name), _range_reason(header, name, stored))
+
+
 PRICE_NUMBERS = (
     "High", "Low", "Volume", "NonRegularVolume", "Close", "Open", "Previous", "Value", "Frequency",
 )
@@ -200,14 +228,14 @@ def price_rows(rows: DataFrame, header: Sequence[str], key: str) -> DataFrame:
             F.concat(F.lit("Ticker "), _quoted(ticker), F.lit(" does not match the file key")),
         ),
         F.when(date.isNull(), F.concat(F.lit("malformed date "), _quoted(raw("Date")))),
-        _number_reason(header, "High"),
-        _number_reason(header, "Low"),
+        _stored_reason(header, "High", PRICE),
+        _stored_reason(header, "Low", PRICE),
         _integer_reason(header, "Volume"),
         _integer_reason(header, "NonRegularVolume"),
-        _number_reason(header, "Close"),
-        _number_reason(header, "Open"),
-        _number_reason(header, "Previous"),
-        _number_reason(header, "Value"),
+        _stored_reason(header, "Close", PRICE),
+        _stored_reason(header, "Open", PRICE),
+        _stored_reason(header, "Previous", PRICE),
+        _stored_reason(header, "Value", MONEY),
         _integer_reason(header, "Frequency"),
     )
     return parsed.select(
@@ -263,11 +291,13 @@ def index_rows(rows: DataFrame, header: Sequence[str]) -> DataFrame:
         )
     )
     later = first_reason(
+        *[_range_reason(header, x, PRICE) for x in ("Previous", "Highest", "Lowest", "Close")],
         _integer_reason(header, "Constituent"),
+        _range_reason(header, "Constituent", "int"),
         _integer_reason(header, "Volume"),
-        _number_reason(header, "Value"),
+        _stored_reason(header, "Value", MONEY),
         _integer_reason(header, "Frequency"),
-        _number_reason(header, "Capitalization"),
+        _stored_reason(header, "Capitalization", MONEY),
     )
     staged = parsed.withColumns({"_unreadable": unreadable, "_problems": problems})
     reasons = (

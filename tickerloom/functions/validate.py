@@ -195,7 +195,7 @@ def index_rules() -> dict[str, Column]:
     for name in counts:
         non_negative = non_negative & _null_or(name, c(name) >= 0)
     return {
-        "index_code_format": c("index_code").rlike("^[A-Za-z0-9-]+$"),
+        "index_code_format": c("index_code").rlike(r"^[A-Za-z0-9-]+\z"),
         "values_positive": F.least("previous", "high", "low", "close") > 0,
         "high_low_close_shape": (c("high") >= c("low")) & c("close").between(c("low"), c("high")),
         "counts_non_negative": non_negative,
@@ -204,11 +204,11 @@ def index_rules() -> dict[str, Column]:
     }
 
 
-SHA256_PATTERN = "^[0-9a-f]{64}$"
+SHA256_PATTERN = r"^[0-9a-f]{64}\z"
 
 
 def source_rules() -> dict[str, Column]:
-    return {"source_id_format": c("source_id").rlike("^[a-z0-9][a-z0-9-]*$")}
+    return {"source_id_format": c("source_id").rlike(r"^[a-z0-9][a-z0-9-]*\z")}
 
 
 def snapshot_rules() -> dict[str, Column]:

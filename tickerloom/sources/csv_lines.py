@@ -126,10 +126,14 @@ def data_rows(records: Column) -> Column:
 
 
 def with_data_row_count(files: DataFrame) -> DataFrame:
-    """Add ``row_count``, the records after the header, without splitting cells."""
+    """Add ``row_count``, the records after the header, without splitting cells.
+
+    Bytes that are no UTF-8 are replaced, as they do not matter for a count.
+    """
     records = F.coalesce(F.size(_multiline_records("_spanning")), F.size("_lines"))
+    lenient = F.make_valid_utf8(F.col("content").cast("string")).cast("binary")
     return (
-        _with_lines(files)
+        _with_lines(files.withColumn("content", lenient))
         .withColumn("row_count", F.greatest(records - 1, F.lit(0)))
         .drop("_text", "_lines", "_spanning")
     )

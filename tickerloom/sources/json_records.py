@@ -106,7 +106,7 @@ def _shares(field: str) -> tuple[Column, Column]:
     """Share count and the reason it is unusable; a null count is allowed."""
     text = _text(field)
     value = number(text)
-    bad = text.isNotNull() & (value.isNull() | (value < 0))
+    bad = text.isNotNull() & (value.isNull() | (value < 0) | value.try_cast(SHARES).isNull())
     reason = F.when(bad, F.concat(F.lit(f"{field}: invalid share count '"), text, F.lit("'")))
     return value.try_cast(SHARES), reason
 

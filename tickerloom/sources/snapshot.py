@@ -2,7 +2,7 @@
 
 A file is the unit of hashing (SHA-256 of its bytes), so a file is read whole by
 one task; files are spread over tasks. Spark's file sources skip names that
-start with ``.`` or ``_``, so a snapshot must not contain such files.
+start with ``.`` or ``_``, so a snapshot that contains such files is refused.
 """
 
 from __future__ import annotations
@@ -84,6 +84,25 @@ def qualified(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(hadoop).toString()
 
 
+def hidden_names(spark: SparkSession, root: str) -> list[str]:
+    """Up to five files or folders below `root` that Spark's file sources would skip.
+
+    One listing a level; only the names found travel to Python.
+    """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    top = hadoop(root)
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    base, level = fs.makeQualified(top).toString().rstrip("/"), ""
+    while True:
+        found = fs.globStatus(hadoop(f"{base}{level}/[._]*")) or ()
+        if len(found):
+            names = [found[i].getPath().toString() for i in range(min(5, len(found)))]
+            return [n.removeprefix(base + "/") for n in names]
+        level += "/*"
+        if not len(fs.globStatus(hadoop(base + level)) or ()):
+            return []
+
+
 def snapshot_files(spark: SparkSession, root: str) -> DataFrame:
     """``(relative_path, size_bytes, sha256, content)`` of every file but the manifest.
 
@@ -98,6 +117,8 @@ def snapshot_files(spark: SparkSession, root: str) -> DataFrame:
         if not _missing(exc):
             raise
         raise StructuralError(f"snapshot folder {root} does not exist") from exc
+    if hidden := hidden_names(spark, root):
+        raise StructuralError(f"snapshot holds names that cannot be read: {', '.join(hidden)}")
     relative = F.substring("path", F.lit(len(base) + 1), F.length("path"))
     return files.select(
         relative.alias("relative_path"),
