@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 CHUNK_BYTES = 4 << 20
 
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)

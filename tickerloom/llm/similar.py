@@ -6,9 +6,9 @@ short lists. As in DivideSkip the short lists are merged, with a heap, for candi
 and the T - 1 long ones are never merged: candidates are probed for them by binary
 search until T is reached or out of reach.
 
-Equal sets are one vertex. Candidates are first tested against one leader a list; lists
-whose documents are connected by then are done, and only pairs that could still join
-two components follow. So a large group of copies never becomes all its pairs.
+Equal sets are one vertex. A document is first tested against one leader, the one it
+shares most lists with; lists whose documents are connected by then are done, and only
+pairs that could still join two components follow. So a large group of copies never becomes all its pairs.
 """
 
 from __future__ import annotations
@@ -174,14 +174,11 @@ def _heads(batch: pa.RecordBatch) -> list[np.ndarray]:
     return [np.frombuffer(h.as_py(), np.int64) for h in batch.column("head")]
 
 
-def _postings(described: DataFrame) -> DataFrame:
+def _postings(distinct: DataFrame) -> DataFrame:
     """``(o, pos, n, v)`` for the short lists of every distinct set that another may be in.
 
     A count-min sketch of the short lists leaves out lists of one, without a shuffle of all.
     """
-    distinct = staged(
-        described.where("n > 0").groupBy("v").agg(F.first("n").alias("n"), F.first("head").alias("head"))
-    )
     entries = distinct.agg(F.sum(F.length("head"))).first()[0] or 0
     log2 = min(MAX_CELLS_LOG2, max(12, int(entries).bit_length()))
     cells = repeated_cells(
@@ -189,7 +186,7 @@ def _postings(described: DataFrame) -> DataFrame:
         lambda batch: iter([K._mix(h.astype(np.uint64)) for h in [np.concatenate(_heads(batch) or [np.empty(0, np.int64)])]]),
         log2,
     )
-    shared = described.sparkSession.sparkContext.broadcast(cells)
+    shared = distinct.sparkSession.sparkContext.broadcast(cells)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -218,6 +215,47 @@ def _possible(a: str, b: str, percent: int) -> F.Column:
     return F.lit(1) + F.least(n_a - F.col(f"{a}pos"), n_b - F.col(f"{b}pos")) - 1 >= need
 
 
+def heads_allow(a: np.ndarray, n_a: int, b: np.ndarray, n_b: int, percent: int) -> bool:
+    """Whether two sets can link, from their short lists alone.
+
+    The heads are merged by a heap, as far as both reach. What they share there is known;
+    behind it each set has so many shingles left.
+    """
+    if not len(a) or not len(b):
+        return False
+    reach = min(a[-1], b[-1])
+    merged = heapq.merge(a[a <= reach].tolist(), b[b <= reach].tolist())
+    seen = shared = 0
+    before = None
+    for item in merged:
+        seen += 1
+        shared += item == before
+        before = item
+    in_a = int(np.searchsorted(a, reach, side="right"))
+    return shared + min(n_a - in_a, n_b - (seen - in_a)) >= required(n_a, n_b, percent)
+
+
+def _merged(pairs: DataFrame, distinct: DataFrame, percent: int) -> DataFrame:
+    """The pairs that the merge of their short lists leaves."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = [batch.column(c).to_pylist() for c in ("n_a", "n_b")]
+            heads = [[np.frombuffer(h.as_py(), np.int64) for h in batch.column(c)] for c in ("head_a", "head_b")]
+            keep = [
+                heads_allow(a, n_a, b, n_b, percent)
+                for a, n_a, b, n_b in zip(heads[0], sizes[0], heads[1], sizes[1], strict=True)
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    for side in ("a", "b"):
+        head = distinct.select(
+            F.col("v").alias(side), F.col("n").alias(f"n_{side}"), F.col("head").alias(f"head_{side}")
+        )
+        pairs = pairs.join(head, side)
+    return pairs.select("a", "b", "n_a", "n_b", "head_a", "head_b").mapInArrow(run, "a bigint, b bigint")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` that link."""
 
@@ -279,7 +317,10 @@ def linked(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> Dat
     sketch = spark.sparkContext.broadcast(frequency_sketch(rows, width, log2))
     described = staged(_described(rows, sketch, width, percent, log2))
 
-    postings = _postings(described)
+    distinct = staged(
+        described.where("n > 0").groupBy("v").agg(F.first("n").alias("n"), F.first("head").alias("head"))
+    )
+    postings = _postings(distinct)
     shared = postings.groupBy("o").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("o")
     lists = staged(postings.join(shared, "o"))
     leader = lists.groupBy("o").agg(F.min(F.struct("pos", "n", "v")).alias("l"))
@@ -287,10 +328,12 @@ def linked(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> Dat
         lists.join(leader.select("o", F.col("l.pos").alias("l_pos"), F.col("l.n").alias("l_n"), F.col("l.v").alias("l_v")), "o")
         .where(F.col("v") != F.col("l_v"))
         .where(_possible("", "l_", percent))
-        .select(F.col("v").alias("a"), F.col("l_v").alias("b"))
-        .distinct()
+        .groupBy(F.col("v").alias("a"), F.col("l_v").alias("b"))
+        .agg(F.count(F.lit(1)).alias("m"))
+        .groupBy("a")
+        .agg(F.max_by("b", F.struct("m", "b")).alias("b"))
     )
-    first = staged(first)
+    first = staged(_merged(first, distinct, percent))
     sets = _sets_of(rows, described, first, sketch, width, log2)
     stars = staged(_verified(first, sets, percent))
     labels = components(stars)
@@ -311,7 +354,7 @@ def linked(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> Dat
         .join(first, ["a", "b"], "left_anti")
         .join(first.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
     )
-    rest = staged(rest)
+    rest = staged(_merged(rest, distinct, percent))
     if not rest.isEmpty():
         more = _verified(rest, _sets_of(rows, described, rest, sketch, width, log2), percent)
         labels = components(stars.union(more))
