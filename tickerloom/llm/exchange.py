@@ -58,17 +58,21 @@ def joined(series: pd.Series, kind: type) -> np.ndarray:
 
 
 def exchange(
-    asked: DataFrame, combine: np.ufunc, tells: Callable[[np.ndarray, np.ndarray], np.ndarray]
+    asked: DataFrame,
+    combine: np.ufunc,
+    tells: Callable[[np.ndarray, np.ndarray], np.ndarray],
+    low_type: type = np.uint64,
+    known_type: type = np.int64,
 ) -> DataFrame:
     """Rows of `ANSWER`: per chunk the keys whose joint value tells it something.
 
     `combine` joins what the chunks know about a key; ``tells(known, joint)`` says for
-    which entries the answer goes back.
+    which entries the answer goes back. Shorter types make for less to move.
     """
 
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
-        high, low = joined(frame["high"], np.uint64), joined(frame["low"], np.uint64)
-        known = joined(frame["known"], np.int64)
+        high, low = joined(frame["high"], np.uint64), joined(frame["low"], low_type)
+        known = joined(frame["known"], known_type).astype(np.int64)
         chunk = np.repeat(frame["chunk"].to_numpy(), frame["high"].str.len() // 8)
         order, group = groups(high, low)
         first = np.flatnonzero(np.diff(group, prepend=-1))
@@ -79,7 +83,7 @@ def exchange(
         at, joint = at[by], joint[by]
         edges = np.flatnonzero(np.diff(chunk[at], prepend=-1))
         rows = [
-            (int(chunk[at[a]]), high[at[a:b]].tobytes(), low[at[a:b]].tobytes(), joint[a:b].tobytes())
+            (int(chunk[at[a]]), high[at[a:b]].tobytes(), low[at[a:b]].tobytes(), joint[a:b].astype(known_type).tobytes())
             for a, b in zip(edges, [*edges[1:], len(at)], strict=True)
         ]
         return pd.DataFrame(rows, columns=["chunk", "high", "low", "value"])
@@ -90,12 +94,19 @@ def exchange(
 class Told:
     """The answers one chunk got, for lookups by key."""
 
-    def __init__(self, high: bytes, low: bytes, value: bytes) -> None:
+    def __init__(
+        self,
+        high: bytes,
+        low: bytes,
+        value: bytes,
+        low_type: type = np.uint64,
+        value_type: type = np.int64,
+    ) -> None:
         keys = np.frombuffer(high, np.uint64)
         order = np.argsort(keys, kind="stable")
         self._high = keys[order]
-        self._low = np.frombuffer(low, np.uint64)[order]
-        self._value = np.frombuffer(value, np.int64)[order]
+        self._low = np.frombuffer(low, low_type)[order]
+        self._value = np.frombuffer(value, value_type).astype(np.int64)[order]
 
     def find(self, high: np.ndarray, low: np.ndarray, missing: int) -> np.ndarray:
         out = np.full(len(high), missing, np.int64)

@@ -6,7 +6,7 @@ follows from its bytes alone, so equal strings have equal sites, at equal distan
 
 Only sites are ranked. Strings of a site that are all repeated together are done first.
 The others are ranked by 64 bytes, then in rounds by pairs of ranks: their own and that
-of the site 1, 2, 4 sites on. A rank is the name of a string, 64 bits of hash, as only
+of the site 1, 2 sites on. A rank is the name of a string, 64 bits of hash, as only
 equality matters; Spark brings equal pairs together, and a site leaves when its rank is
 unique or when the next pair would reach past what all its strings hold. The strings of
 the sites that stay are compared one by one.
@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +33,7 @@ GRAM = 16
 STRETCH = 160
 #: Bytes of the first rank.
 FIRST = 64
-ROUNDS = 3
+ROUNDS = 2
 FAR = 1 << 30
 FILTER_LOG2 = 23
 _LOW = np.uint64(0xFFFFFFFF)
@@ -128,16 +129,18 @@ def _sites(rows: DataFrame, length: int, first_bits, whole_bits, log2: int) -> D
 
 
 def doubled(sites: DataFrame) -> DataFrame:
-    """Of `sites` with a weight those whose strings may be repeated.
+    """Of `sites` with a weight those whose strings may be repeated, with what names these.
 
     Each round keeps the sites whose rank has a weight of two or more together, and those
     that stopped before; the next one ranks them by the pair twice as long.
     """
+    sites = sites.withColumn("name", F.lit(0).cast("bigint"))
     for k in range(ROUNDS + 1):
         rank = f"rank{k}"
         live = sites.where(F.col(rank) != 0)
         again = live.groupBy(rank).agg(F.sum("weight").alias("n")).where("n > 1").select(rank)
-        sites = staged(live.join(again, rank).unionByName(sites.where(F.col(rank) == 0)))
+        kept = live.join(again, rank).withColumn("name", F.col(rank))
+        sites = staged(kept.unionByName(sites.where(F.col(rank) == 0)).drop(rank))
     return sites
 
 
@@ -159,72 +162,83 @@ def _bit_filter(keys: DataFrame) -> np.ndarray:
     return np.packbits(bits)
 
 
-def _chosen_texts(rows: DataFrame, keys: DataFrame) -> DataFrame:
-    """The rows whose text may be in `keys`."""
+def _texts(rows: DataFrame, keys: DataFrame, inside: bool, once: bool = False) -> DataFrame:
+    """The rows whose text may be in `keys`, or all others; with `once` one of each a task."""
     shared = rows.sparkSession.sparkContext.broadcast(_bit_filter(keys))
+    at = rows.columns.index("text_hash")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            cells = batch.column("text_hash").to_numpy() % (1 << FILTER_LOG2)
-            hit = (shared.value[cells >> 3] >> (7 - (cells & 7)) & 1).astype(bool)
+            hashes = batch.column(at).to_numpy()
+            cells = hashes % (1 << FILTER_LOG2)
+            hit = (shared.value[cells >> 3] >> (7 - (cells & 7)) & 1).astype(bool) == inside
+            if once:
+                for k in np.flatnonzero(hit):
+                    hit[k] = hashes[k] not in seen
+                    seen.add(hashes[k])
             yield batch.filter(pa.array(hit))
 
     return rows.mapInArrow(run, rows.schema)
 
 
+#: Types of a string's key beside its first 64 bits, and of its count, two at most.
+_LOW_TYPE, _COUNT_TYPE = np.uint32, np.uint8
+
+
+def _keys_of(texts: pa.Table, sites: pa.Table, length: int) -> tuple[np.ndarray, ...]:
+    """Text, start, weight and key of every string of the sites in one chunk."""
+    hashes = texts.column("text_hash").to_numpy()
+    _, one = np.unique(hashes, return_index=True)
+    text_hash = sites.column("text_hash").to_numpy()
+    order = np.argsort(text_hash, kind="stable")
+    columns = [sites.column(c).to_numpy()[order].astype(np.int64) for c in ("low", "high", "weight")]
+    edges = np.searchsorted(text_hash[order], hashes[one]), np.searchsorted(
+        text_hash[order], hashes[one], side="right"
+    )
+    out: list[list[np.ndarray]] = [[], [], [], [], []]
+    column = texts.column("text").take(pa.array(one))
+    for first, last, data, offsets in K.text_slices(column):
+        begin, count = edges[0][first:last], (edges[1] - edges[0])[first:last]
+        at = K.ragged(begin, count)
+        of = np.repeat(np.arange(last - first), count)
+        low, high, weight = (c[at] for c in columns)
+        n = high - low + 1
+        p = K.ragged(low + offsets[of], n)
+        parts = (
+            np.repeat(hashes[one[first:last]][of], n),
+            K.ragged(low, n),
+            np.repeat(weight, n),
+            K.Ranges(K.BYTE_VALUE[0][data]).hash(p, p + length),
+            K.Ranges(K.BYTE_VALUE[1][data], 1).hash(p, p + length).astype(_LOW_TYPE),
+        )
+        for held, part in zip(out, parts, strict=True):
+            held.append(part)
+    kinds = (np.int64, np.int64, np.int64, np.uint64, _LOW_TYPE)
+    return tuple(np.concatenate(c) if c else np.empty(0, k) for c, k in zip(out, kinds, strict=True))
+
+
 def _single_strings(rows: DataFrame, work: DataFrame, length: int, size: int) -> DataFrame:
     """``(text_hash, low, high)`` of the strings in `work` that occur twice.
 
     `work` has one site for each distinct whole; `weight` is 2 where that whole itself
     occurs more than once.
     """
-    chunks = max(8, -(-size // K.CHUNK_BYTES))
-    by_text = staged(
-        work.groupBy("text_hash").agg(F.collect_list(F.struct("low", "high", "weight")).alias("sites"))
-    )
-    texts = (
-        _chosen_texts(rows, by_text)
-        .join(by_text, "text_hash")
-        .dropDuplicates(["text_hash"])
-        .withColumn("chunk", K.chunk_of(chunks, "text_hash"))
-    )
+    chunk = K.chunk_of(max(8, -(-size // K.CHUNK_BYTES)), "text_hash")
     strings = work.agg(F.sum(F.col("high") - F.col("low") + 1)).first()[0] or 0
     buckets = bucket_count(strings)
+    texts = _texts(rows, work.select("text_hash").distinct(), True, once=True).withColumn("chunk", chunk)
+    sites = work.withColumn("chunk", chunk)
 
-    def keyed(table: pa.Table) -> tuple[np.ndarray, ...]:
-        row, start, weight, high, low = [], [], [], [], []
-        sites = table.column("sites").combine_chunks()
-        if isinstance(sites, pa.ChunkedArray):
-            sites = pa.concat_arrays(sites.chunks)
-        edges = sites.offsets.to_numpy().astype(np.int64)
-        flat = sites.values
-        columns = [flat.field(c).to_numpy().astype(np.int64) for c in ("low", "high", "weight")]
-        for first, last, data, offsets in K.text_slices(table.column("text")):
-            at = slice(edges[first], edges[last])
-            of = np.repeat(np.arange(last - first), np.diff(edges[first : last + 1]))
-            lows, highs, weights = (c[at] for c in columns)
-            n = highs - lows + 1
-            p = K.ragged(lows + offsets[of], n)
-            row.append(np.repeat(of, n) + first)
-            start.append(K.ragged(lows, n))
-            weight.append(np.repeat(weights, n))
-            high.append(K.Ranges(K.BYTE_VALUE[0][data]).hash(p, p + length))
-            low.append(K.Ranges(K.BYTE_VALUE[1][data], 1).hash(p, p + length))
-        kinds = (np.int64, np.int64, np.int64, np.uint64, np.uint64)
-        return tuple(
-            np.concatenate(c) if c else np.empty(0, k)
-            for c, k in zip((row, start, weight, high, low), kinds, strict=True)
-        )
-
-    def ask(key: tuple, table: pa.Table) -> pa.Table:
-        _, _, weight, high, low = keyed(table)
+    def ask(texts: pa.Table, sites: pa.Table) -> pa.Table:
+        _, _, weight, high, low = _keys_of(texts, sites, length)
         rows = []
         if len(high):
             order, group = groups(high, low)
             first = np.flatnonzero(np.diff(group, prepend=-1))
             at = order[first]
-            total = np.add.reduceat(weight[order], first)
-            rows = pack(key[0].as_py(), buckets, high[at], low[at], total)
+            total = np.minimum(np.add.reduceat(weight[order], first), 2).astype(_COUNT_TYPE)
+            rows = pack(texts.column("chunk")[0].as_py(), buckets, high[at], low[at], total)
         columns = list(zip(*rows, strict=True)) if rows else [[], [], [], [], []]
         kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
         return pa.table(
@@ -232,24 +246,36 @@ def _single_strings(rows: DataFrame, work: DataFrame, length: int, size: int) ->
             names=["bucket", "chunk", "high", "low", "known"],
         )
 
-    texts = staged(texts)
+    asked = texts.groupBy("chunk").cogroup(sites.groupBy("chunk")).applyInArrow(ask, ASK)
     answers = exchange(
-        texts.groupBy("chunk").applyInArrow(ask, ASK), np.add, lambda known, joint: joint > 1
+        asked, np.add, lambda known, joint: joint > 1, _LOW_TYPE, _COUNT_TYPE
+    )
+    none = {c: F.lit(None) for c in ("high_key", "low_key", "value")}
+    told = sites.select("chunk", "text_hash", "low", "high", "weight").withColumns(
+        {c: v.cast("binary") for c, v in none.items()}
+    )
+    told = told.unionByName(
+        answers.select(
+            "chunk", F.col("high").alias("high_key"), F.col("low").alias("low_key"), "value"
+        ),
+        allowMissingColumns=True,
     )
 
-    def spans(table: pa.Table, told: pa.Table) -> pa.Table:
-        known = Told(*(b"".join(told.column(c).to_pylist()) for c in ("high", "low", "value")))
-        row, start, _, high, low = keyed(table)
+    def spans(texts: pa.Table, told: pa.Table) -> pa.Table:
+        is_site = pc.is_null(told.column("value"))
+        answered = told.filter(pc.invert(is_site))
+        packed = (b"".join(answered.column(c).to_pylist()) for c in ("high_key", "low_key", "value"))
+        known = Told(*packed, _LOW_TYPE, _COUNT_TYPE)
+        text, start, _, high, low = _keys_of(texts, told.filter(is_site), length)
         hit = known.find(high, low, 0) > 1
-        row, start = row[hit], start[hit]
-        new = np.ones(len(row), bool)
-        new[1:] = (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1)
+        text, start = text[hit], start[hit]
+        new = np.ones(len(text), bool)
+        new[1:] = (text[1:] != text[:-1]) | (start[1:] != start[:-1] + 1)
         first = np.flatnonzero(new)
-        last = np.append(first[1:], len(row)) - 1 if len(row) else first
-        at = pa.array(row[first])
+        last = np.append(first[1:], len(text)) - 1 if len(text) else first
         return pa.table(
             [
-                table.column("text_hash").take(at),
+                pa.array(text[first]),
                 pa.array(start[first].astype(np.int32)),
                 pa.array(start[last].astype(np.int32)),
             ],
@@ -258,7 +284,7 @@ def _single_strings(rows: DataFrame, work: DataFrame, length: int, size: int) ->
 
     return (
         texts.groupBy("chunk")
-        .cogroup(answers.groupBy("chunk"))
+        .cogroup(told.groupBy("chunk"))
         .applyInArrow(spans, "text_hash bigint, low int, high int")
     )
 
@@ -289,25 +315,28 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     likely = sites.where("repeated")
     counts = likely.groupBy("whole").agg(F.count(F.lit(1)).alias("n"), F.min("text_hash").alias("one"))
     counts = staged(counts.where("n > 1"))
-    sure = likely.select("whole", "text_hash", "low", "high").join(counts.select("whole"), "whole").drop("whole")
-    alone = sites.join(counts.select("whole"), "whole", "left_anti").withColumn("weight", F.lit(1))
-    alone = staged(alone)
+    flagged = staged(likely.drop("repeated").join(counts.select("whole", "one"), "whole", "left"))
+    sure = flagged.where("one IS NOT NULL").select("text_hash", "low", "high")
+    alone = flagged.where("one IS NULL").drop("one").unionByName(sites.where("NOT repeated").drop("repeated"))
+    alone = alone.withColumn("weight", F.lit(1))
     # of a repeated whole one site stands for all, and only where a lone one may equal it
-    lone = alone.select("rank0").distinct()
     one_each = (
-        likely.join(lone, "rank0", "left_semi")
-        .join(counts.select("whole", F.col("one").alias("text_hash")), ["whole", "text_hash"])
+        flagged.where("one = text_hash")
+        .drop("one")
+        .join(alone.select("rank0").distinct(), "rank0", "left_semi")
         .dropDuplicates(["whole"])
         .withColumn("weight", F.lit(2))
     )
-    named = doubled(alone.unionByName(one_each))
-    deepest = F.coalesce(*[F.nullif(F.col(f"rank{k}"), F.lit(0)) for k in range(ROUNDS, -1, -1)])
-    named = named.withColumn("name", deepest)
+    named = doubled(alone.unionByName(one_each).drop("whole"))
     mixed = named.groupBy("name").agg(F.min("weight").alias("least")).where("least = 1").select("name")
     work = staged(named.join(mixed, "name").select("text_hash", "low", "high", "weight"))
     single = _single_strings(rows, work, length, size)
     removed = staged(_spans_by_text(sure.unionByName(single)))
-    marked = base.join(removed, "text_hash", "left").select("doc_id", "text", "spans")
+    untouched = _texts(base, removed, False).select(
+        "doc_id", "text", F.lit(None).cast(removed.schema["spans"].dataType).alias("spans")
+    )
+    touched = _texts(base, removed, True).join(removed, "text_hash", "left")
+    marked = untouched.unionByName(touched.select("doc_id", "text", "spans"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
