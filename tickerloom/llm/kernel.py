@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 1 << 20
@@ -144,6 +144,13 @@ def word_hashes(
     return Ranges(BYTE_VALUE[salt][data], salt).hash(starts, ends)
 
 
+def modest_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let this session's Arrow batches hold few rows, as these rows are whole texts."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, rows)
+
+
 def total_bytes(docs: DataFrame, column: str = "text") -> int:
     """UTF-8 bytes of the whole column."""
     return docs.agg(F.sum(F.octet_length(column).cast("bigint"))).first()[0] or 0

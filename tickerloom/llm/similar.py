@@ -311,6 +311,7 @@ def linked(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> Dat
     own id. Null ids take part but are never the least id of a component, unless all are
     null. Repeated rows are one vertex. Texts are read whole.
     """
+    K.modest_batches(docs.sparkSession)
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("bigint"), "text").withColumn("text_hash", F.xxhash64("text"))
     log2 = min(CELLS_LOG2, max(12, K.total_bytes(rows).bit_length() - 3))

@@ -67,6 +67,7 @@ def repeated_words(
     text has no words; a null id counts as larger than all ids, rows of one id as one
     document. Texts shorter than a window stay. Kept words are joined by one space.
     """
+    K.modest_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("bigint"), "text")
     size = K.total_bytes(rows)
     chunks = max(8, -(-size // K.CHUNK_BYTES))

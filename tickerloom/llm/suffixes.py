@@ -298,6 +298,7 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """
     if length < STRETCH + FIRST + GRAM:
         raise ValueError(f"length must be at least {STRETCH + FIRST + GRAM}")
+    K.modest_batches(docs.sparkSession)
     base = docs.select(F.col("doc_id").cast("bigint"), "text").withColumn("text_hash", F.xxhash64("text"))
     rows = base.select("text", "text_hash")
     size = K.total_bytes(base)
