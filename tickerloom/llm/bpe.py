@@ -21,13 +21,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickerloom.llm.kernel import ragged
+from tickerloom.llm.kernel import modest_batches, ragged
 
 ROOT = 0
 END = 256
 NEVER = 1 << 60
 #: Rows of one output batch.
-ROWS = 512
+ROWS = 256
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -39,7 +39,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Transducer:
     """Encodes byte strings; `max_states` bounds memory, at the bound all states are dropped."""
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 200_000) -> None:
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 160_000) -> None:
         self.ranks = ranks
         self.tokens = {r: t for t, r in ranks.items()}
         self._max = max_states
@@ -198,7 +198,7 @@ class Utf8:
 class Encoder:
     """Encodes texts by pattern and transducer; caches the ids of pieces up to a bound."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, max_pieces: int = 150_000) -> None:
+    def __init__(self, ranks: dict[bytes, int], pattern: str, max_pieces: int = 120_000) -> None:
         self._fst = Transducer(ranks)
         self._split = regex.compile(pattern).findall
         self._max = max_pieces
@@ -250,6 +250,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     Texts are encoded whole; memory follows the longest text. The ranks travel with the
     tasks, their size is that of one vocabulary.
     """
+    modest_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
