@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+
 import pytest
-from snapshots import (
+from market import (
+    FRI,
+    MON,
     PRICE_ID,
     REV,
-    csv_bytes,
-    halted,
-    row,
-    standard_stocks,
-    stock_bytes,
+    THU,
+    TUE,
+    WED,
+    csv_line,
+    few_stocks,
+    line,
+    packed,
+    silent,
+    stock_file,
     write_prices,
 )
 
@@ -22,9 +31,10 @@ from tickerloom.plans.registration import (
     report_json,
 )
 from tickerloom.sources.adapters import STOCK_HEADER, StockCsvSource
-from tickerloom.sources.snapshot import StructuralError
+from tickerloom.sources.snapshot import StructuralError, snapshot_files
 
 SOURCE = StockCsvSource(PRICE_ID)
+STOCKS = "dataset/stocks/csv"
 
 
 def prepared(spark, root, **kw):
@@ -35,206 +45,216 @@ def load(store, root, revision=REV):
     return load_prices(store, prepared(store.spark, root), confirm_revision=revision)
 
 
-def incidents(store):
-    return store.read("data_quality_incidents").collect()
-
+def incidents(store, kind=None):
+    rows = store.read("data_quality_incidents").collect()
+    return [r for r in rows if kind in (None, r.incident_type)]
 
-def test_identity_ignores_retrieval_time_and_follows_content(spark, tmp_path):
-    a = prepared(spark, write_prices(tmp_path / "a", standard_stocks()))
-    b = prepared(spark, write_prices(tmp_path / "b", standard_stocks(), retrieved="2030-01-01T00:00:00Z"))
-    assert a.snapshot_id == b.snapshot_id == f"{PRICE_ID}:{REV}:{a.content_sha256[:16]}"
-    changed = standard_stocks() | {"BBBB": [row(Ticker="BBBB", Close="5725.0")]}
-    assert prepared(spark, write_prices(tmp_path / "c", changed)).snapshot_id != a.snapshot_id
 
+def test_identity(spark, tmp_path):
+    first = prepared(spark, write_prices(tmp_path / "a", few_stocks()))
+    later = prepared(spark, write_prices(tmp_path / "b", few_stocks(), fetched="2021-07-01T00:00:00Z"))
+    other = prepared(spark, write_prices(tmp_path / "c", few_stocks() | {"RIVR": [line("RIVR", FRI, 13)]}))
+    assert first.snapshot_id == later.snapshot_id != other.snapshot_id
+    assert first.snapshot_id == f"{PRICE_ID}:{REV}:{first.content_sha256[:16]}"
 
-def test_content_hash_is_the_hash_of_the_sorted_listing(spark, tmp_path):
-    import hashlib
 
+def test_content_hash_covers_every_file(spark, tmp_path):
     root = tmp_path / "s"
-    p = prepared(spark, write_prices(root, standard_stocks()))
-    digest = hashlib.sha256()
-    names = sorted(
-        (f.relative_to(root).as_posix() for f in root.rglob("*") if f.is_file()),
-        key=lambda n: n.encode(),
-    )
-    for name in names:
-        if name != "manifest.json":
-            sha = hashlib.sha256((root / name).read_bytes()).hexdigest()
-            digest.update(f"{name}\0{sha}\n".encode())
-    assert p.content_sha256 == digest.hexdigest()
+    write_prices(root, few_stocks())
+    (root / "LICENSE").write_bytes(b"")
+    listing = {
+        f.relative_to(root).as_posix(): hashlib.sha256(f.read_bytes()).hexdigest()
+        for f in root.rglob("*")
+        if f.is_file() and f.name != "manifest.json"
+    }
+    p = prepared(spark, str(root))
+    text = "".join(f"{n}\0{h}\n" for n, h in sorted(listing.items()))
+    assert p.content_sha256 == hashlib.sha256(text.encode()).hexdigest()
     assert p.roles() == {"stock": 3, "index": 1, "preview": 1, "other": 2}
+    assert snapshot_files(spark, str(root)).count() == len(listing)
+
+
+@pytest.mark.parametrize("name", [".gitattributes", "_notes.csv", "_older/x.txt", "dataset/.cache/y.txt"])
+def test_names_that_cannot_be_read_are_refused(spark, tmp_path, name):
+    root = write_prices(tmp_path / "s", few_stocks())
+    path = tmp_path / "s" / name
+    path.parent.mkdir(exist_ok=True)
+    path.write_text("x")
+    with pytest.raises(StructuralError, match="cannot be read"):
+        snapshot_files(spark, root)
 
 
 @pytest.mark.parametrize(
     ("name", "content", "message"),
     [
-        ("aaaa-old.csv", stock_bytes([row()]), "unexpected file"),
-        ("notes.txt", b"x", "unexpected file"),
-        ("AAAA.csv", b"Date,Close\n2026-05-29,1\n", "unexpected header"),
-        ("AAAA.csv", b"\xef\xbb\xbfDate\xff\xfe", "not valid UTF-8"),
+        ("moon.csv", stock_file([line("MOON", MON, 1)]), "unexpected file"),
+        ("MOON.csv.orig", b"-", "unexpected file"),
+        ("RIVR.csv", b"Date,Ticker\r\n", "unexpected header"),
+        ("DUNE.csv", stock_file([line("DUNE", MON, 1)]) + b"\x80\r\n", "not valid UTF-8"),
     ],
 )
-def test_structural_problems_stop_everything(spark, tmp_path, name, content, message):
-    root = write_prices(tmp_path / "s", standard_stocks())
-    (tmp_path / "s" / "dataset" / "stocks" / "csv" / name).write_bytes(content)
+def test_structural_problems(spark, tmp_path, name, content, message):
+    root = write_prices(tmp_path / "s", few_stocks())
+    (tmp_path / "s" / STOCKS / name).write_bytes(content)
     with pytest.raises(StructuralError, match=message):
         prepared(spark, root)
 
 
-def test_expected_file_count_and_manifest_source(spark, tmp_path):
-    root = write_prices(tmp_path / "s", standard_stocks())
-    with pytest.raises(StructuralError, match="expected 983 stock files, found 3"):
-        prepared(spark, root, expect_stock_files=983)
-    with pytest.raises(StructuralError, match="manifest is for"):
-        prepare_prices(spark, StockCsvSource("other"), root)
-
-
-def test_dry_run_is_deterministic(store, tmp_path):
-    p = prepared(store.spark, write_prices(tmp_path / "s", standard_stocks()))
-    first, second = dry_run(store, p), dry_run(store, p)
-    assert report_json(first) == report_json(second)
-    assert first["counters_consistent"]
-    assert first["counters"]["rows_seen"] == first["counters"]["rows_inserted"] == 6
-    seen = first["observations"]
-    assert seen["status_counts"] == {"traded": 5, "no_regular_market_trade": 1, "unknown": 0}
-    assert seen["flag_counts"] == {
-        "non_regular_activity_present": 2,
-        "unverified_trading_date": 1,
-    }
-    assert seen["missing_open"] == 2
-    assert store.read("daily_prices").isEmpty()
+def test_bytes_that_are_no_text_are_still_counted(spark, tmp_path):
+    root = write_prices(tmp_path / "s", few_stocks(), indices={"OLD": b"Date\r\n\xff1\r\n2\r\n"})
+    rows = {r.relative_path: r.row_count for r in prepared(spark, root).inventory.collect()}
+    assert rows["dataset/indices/csv/OLD.csv"] == 2
 
 
-def test_first_load_then_rerun(store, tmp_path):
-    root = write_prices(tmp_path / "s", standard_stocks())
-    first = load(store, root)["counters"]
-    assert (first["rows_seen"], first["rows_inserted"], first["securities_created"]) == (6, 6, 3)
-    assert first["incidents_created"] == 1  # the ticker column differs by case
+def test_expectations(spark, tmp_path):
+    root = write_prices(tmp_path / "s", few_stocks())
+    with pytest.raises(StructuralError, match="expected 4 stock files, found 3"):
+        prepared(spark, root, expect_stock_files=4)
+    with pytest.raises(StructuralError, match="manifest is for"):
+        prepare_prices(spark, StockCsvSource("elsewhere"), root)
+
+
+def test_dry_run(store, tmp_path):
+    p = prepared(store.spark, write_prices(tmp_path / "s", few_stocks()))
+    report = dry_run(store, p)
+    assert report_json(report) == report_json(dry_run(store, p))
+    assert report["counters_consistent"] and store.read("daily_prices").isEmpty()
+    assert (report["counters"]["rows_seen"], report["counters"]["rows_inserted"]) == (7, 7)
+    seen = report["observations"]
+    assert seen["status_counts"] == {"traded": 6, "no_regular_market_trade": 1, "unknown": 0}
+    assert seen["flag_counts"] == {"non_regular_activity_present": 2, "unverified_trading_date": 1}
+    assert seen["missing_open"] == 6
+
+
+def test_load_twice(store, tmp_path):
+    root = write_prices(tmp_path / "s", few_stocks())
+    names = ("rows_seen", "rows_inserted", "rows_unchanged", "securities_created", "incidents_created")
+    runs = [load(store, root)["counters"] for _ in range(2)]
+    # the one incident: DUNE's ticker column says Dune
+    assert [[c[n] for n in names] for c in runs] == [[7, 7, 0, 3, 1], [7, 0, 7, 0, 0]]
     keys = {r.source_key: r for r in store.read("security_source_keys").collect()}
-    assert [keys[k].security_id for k in ("AAAA", "BBBB", "TRUE")] == [1, 2, 3]
-    assert keys["TRUE"].quality_flags == ["source_ticker_column_mismatch"]
-    stored = store.read("daily_prices").filter("security_id = 1").orderBy("trading_date").collect()
-    assert stored[0].trading_status == "no_regular_market_trade"
-    assert (stored[0].open, stored[0].high, stored[0].volume) == (None, None, 0)
-    assert stored[0].quality_flags == ["non_regular_activity_present", "unverified_trading_date"]
-    assert [r.source_line for r in stored] == [4, 3, 2]
-    again = load(store, root)["counters"]
-    assert (again["rows_inserted"], again["rows_unchanged"], again["incidents_created"]) == (0, 6, 0)
-    assert again["securities_created"] == 0
-    assert store.read("daily_prices").count() == 6
-    runs = store.current("ingestion_runs", ["ingestion_run_id"])
-    assert {r.status for r in runs.collect()} == {"succeeded"} and runs.count() == 2
-
-
-def test_number_format_alone_is_not_a_conflict(store, tmp_path):
-    load(store, write_prices(tmp_path / "a", {"AAAA": [row(Close="5700.0")]}))
-    stocks = {"AAAA": [row(Close="5700.0000", Volume="1015296600.0")]}
-    again = load(store, write_prices(tmp_path / "b", stocks, revision="b" * 40), "b" * 40)
-    assert again["counters"]["rows_unchanged"] == 1
-
-
-def test_conflict_is_recorded_once_and_never_overwrites(store, tmp_path):
-    load(store, write_prices(tmp_path / "a", standard_stocks()))
-    stocks = standard_stocks() | {"BBBB": [row(Ticker="BBBB", Close="5725.0")]}
-    for folder, rev in (("b", "b" * 40), ("c", "c" * 40)):
-        result = load(store, write_prices(tmp_path / folder, stocks, revision=rev), rev)
-        assert result["counters"]["rows_conflicted"] == 1
-    found = [i for i in incidents(store) if i.incident_type == "conflicting_observation"]
-    assert len(found) == 1 and '"close":"5725.0000"' in found[0].details
-    assert '"close":"5700.0000"' in found[0].details
-    stored = store.read("daily_prices").filter("security_id = 2").first()
-    assert str(stored.close) == "5700.0000"
-
-
-def test_name_changes_only_with_newer_data(store, tmp_path):
-    load(store, write_prices(tmp_path / "a", {"AAAA": [row()]}))
-    old = {"AAAA": [row(Date="2026-05-01", Name="Old Name")]}
-    load(store, write_prices(tmp_path / "b", old, revision="b" * 40), "b" * 40)
-    assert store.current("securities", ["security_id"]).first().name == "Alpha Tbk."
-    new = {"AAAA": [row(Date="2026-06-02", Name="New Name")]}
-    load(store, write_prices(tmp_path / "c", new, revision="c" * 40), "c" * 40)
-    assert store.current("securities", ["security_id"]).first().name == "New Name"
-
-
-def test_bad_rows_are_quarantined_and_the_file_continues(store, tmp_path):
-    rows = [
-        row(),
-        row(Date="2026-05-28", High="10.0"),  # high below low
-        row(Date="2026-05-27", Close="abc"),
-        row(Date="2026-05-2"),
-        row(Date="2026-05-25", Volume="1.5"),
+    assert {k: r.security_id for k, r in keys.items()} == {"DUNE": 1, "MOON": 2, "RIVR": 3}
+    assert keys["DUNE"].quality_flags == ["source_ticker_column_mismatch"]
+    moon = store.read("daily_prices").filter("security_id = 2").orderBy("trading_date").collect()
+    assert [(r.source_line, r.trading_status) for r in moon] == [
+        (5, "no_regular_market_trade"), (4, "traded"), (3, "traded"), (2, "traded"),
     ]
-    short = ",".join(["2026-05-24", "AAAA"])
-    lines = [",".join(r[c] for c in STOCK_HEADER) for r in rows] + [short, ""]
-    content = csv_bytes(STOCK_HEADER, lines)
-    result = load(store, write_prices(tmp_path / "s", {"AAAA": content}))["counters"]
-    assert (result["rows_seen"], result["rows_inserted"], result["rows_rejected"]) == (7, 1, 6)
-    reasons = {i.source_line: i.details for i in incidents(store)}
-    assert sorted(reasons) == [3, 4, 5, 6, 7, 8]
-    assert "high_below_low" in reasons[3] and "Close='abc' is not a number" in reasons[4]
-    assert "malformed date" in reasons[5] and "is not an integer" in reasons[6]
-    assert "2 fields, expected 26" in reasons[7] and "0 fields, expected 26" in reasons[8]
-
-
-def test_exact_duplicate_collapses_to_the_lowest_line(store, tmp_path):
-    result = load(store, write_prices(tmp_path / "s", {"AAAA": [row(), row()]}))["counters"]
-    assert (result["rows_inserted"], result["rows_collapsed_duplicates"]) == (1, 1)
+    assert (moon[0].high, moon[0].low, moon[0].volume) == (None, None, 0)
+    assert moon[0].quality_flags == ["non_regular_activity_present", "unverified_trading_date"]
+    assert store.read("daily_prices").count() == 7
+    done = store.current("ingestion_runs", ["ingestion_run_id"]).collect()
+    assert [r.status for r in done] == ["succeeded"] * 2
+
+
+def test_equal_numbers_in_another_notation(store, tmp_path):
+    load(store, write_prices(tmp_path / "a", {"MOON": [line("MOON", FRI, "64")]}))
+    again = {"MOON": [line("MOON", FRI, "64.00", Volume="1.2e3", Value=" 360000.0 ")]}
+    c = load(store, write_prices(tmp_path / "b", again, revision="2" * 40), "2" * 40)["counters"]
+    assert (c["rows_unchanged"], c["rows_conflicted"], c["rows_rejected"]) == (1, 0, 0)
+
+
+def test_conflicts_keep_what_is_stored(store, tmp_path):
+    load(store, write_prices(tmp_path / "a", few_stocks()))
+    changed = few_stocks()
+    changed["RIVR"][1] = line("RIVR", THU, "11.75")
+    for revision in ("2" * 40, "3" * 40):
+        root = write_prices(tmp_path / revision[0], changed, revision=revision)
+        assert load(store, root, revision)["counters"]["rows_conflicted"] == 1
+    [one] = incidents(store, "conflicting_observation")
+    details = json.loads(one.details)
+    assert (details["stored"]["close"], details["incoming"]["close"]) == ("11.5000", "11.7500")
+    stored = store.read("daily_prices").filter(f"security_id = 3 AND trading_date = '{THU}'").first()
+    assert float(stored.close) == 11.5
+
+
+def test_names_follow_the_newest_row(store, tmp_path):
+    names = []
+    for k, (day, name) in enumerate([(WED, "Moon One"), (MON, "Moon Zero"), (THU, "Moon Two")]):
+        root = write_prices(tmp_path / str(k), {"MOON": [line("MOON", day, 9, Name=name)]}, revision=str(k) * 40)
+        load(store, root, str(k) * 40)
+        names.append(store.current("securities", ["security_id"]).first().name)
+    assert names == ["Moon One", "Moon One", "Moon Two"]
+
+
+#: Each line's fault, the first line is good.
+FAULTS = [
+    (csv_line(line("MOON", FRI, 64)), None),
+    (csv_line(line("MOON", THU, 63, Low=64)), "high_below_low"),
+    (csv_line(line("MOON", WED, "6x3")), "High='6x3' is not a number"),
+    (csv_line(line("MOON", "05/03/2019", 63)), "malformed date"),
+    (csv_line(line("MOON", MON, 63, Volume="5.00000000001")), "Volume='5.00000000001' is not an integer"),
+    (csv_line(line("MOON", "2019-03-01", "1e17")), "is out of range"),
+    (csv_line(line("MOON", "2019-02-28", 63, "1e17")), "Previous='1e17' is out of range"),
+    (csv_line(line("MOON", "2019-02-27", 63, Value="1e21")), "Value='1e21' is out of range"),
+    (csv_line(line("MOON", "2019-02-26", 63, Volume="1e20")), "Volume='1e20' is out of range"),
+    ("2019-02-25,MOON,x", "3 fields, expected 26"),
+    ("", "0 fields, expected 26"),
+]
+
+
+def test_bad_rows_leave_the_good_ones(store, tmp_path):
+    content = packed(STOCK_HEADER, [text for text, _ in FAULTS])
+    c = load(store, write_prices(tmp_path / "s", {"MOON": content}))["counters"]
+    bad = len(FAULTS) - 1
+    assert (c["rows_seen"], c["rows_inserted"], c["rows_rejected"]) == (bad + 1, 1, bad)
+    found = {i.source_line: i.details for i in incidents(store)}
+    for number, (_, reason) in enumerate(FAULTS, 2):
+        assert reason is None or reason in found[number], found[number]
+    assert sorted(found) == list(range(3, len(FAULTS) + 2))
+
+
+def test_equal_copies_become_one(store, tmp_path):
+    copies = {"RIVR": [line("RIVR", FRI, 12), line("RIVR", FRI, "12.0"), line("RIVR", FRI, 12)]}
+    c = load(store, write_prices(tmp_path / "s", copies))["counters"]
+    assert (c["rows_inserted"], c["rows_collapsed_duplicates"]) == (1, 2)
     assert store.read("daily_prices").first().source_line == 2
 
 
-def test_conflicting_duplicate_rejects_the_whole_file(store, tmp_path):
+def test_copies_that_differ_refuse_their_file(store, tmp_path):
     stocks = {
-        "AAAA": [row(), row(Close="5725.0"), row(Date="2026-05-28"), row(Date="2026-05-27", High="1")],
-        "BBBB": [row(Ticker="BBBB")],
+        "MOON": [line("MOON", FRI, 64), line("MOON", THU, 63), line("MOON", FRI, 65)],
+        "RIVR": [line("RIVR", FRI, 12), line("RIVR", THU, 13, High=1)],
     }
-    summary = load(store, write_prices(tmp_path / "s", stocks))
-    result = summary["counters"]
-    assert (result["rows_seen"], result["rows_inserted"], result["rows_rejected"]) == (5, 1, 4)
-    assert result["files_failed"] == 1 and summary["rejected_security_batches"] == ["AAAA"]
-    found = {i.incident_type: i.details for i in incidents(store)}
-    assert '{"2026-05-29":[2,3]}' in found["conflicting_duplicate_in_snapshot"]
-    assert set(found) == {"conflicting_duplicate_in_snapshot", "hard_invalid_record"}
-
-
-def test_quoted_fields_and_quoted_newlines(store, tmp_path):
-    def line(r):
-        return ",".join(r[c] for c in STOCK_HEADER)
-
-    one = line(row(Name='"Alpha, ""The"" Tbk."'))
-    two = line(row(Date="2026-05-28", Name='"Alpha\r\nTbk."'))
-    three = line(row(Date="2026-05-27"))
-    load(store, write_prices(tmp_path / "a", {"AAAA": csv_bytes(STOCK_HEADER, [one, three])}))
-    assert store.read("securities").first().name == 'Alpha, "The" Tbk.'
-    stocks = {"BBBB": csv_bytes(STOCK_HEADER, [two.replace("AAAA", "BBBB"), three.replace("AAAA", "BBBB")])}
-    load(store, write_prices(tmp_path / "b", stocks, revision="b" * 40), "b" * 40)
-    lines = {
-        str(r.trading_date): r.source_line
-        for r in store.read("daily_prices").filter("security_id = 2").collect()
-    }
-    assert lines == {"2026-05-28": 3, "2026-05-27": 4}
+    done = load(store, write_prices(tmp_path / "s", stocks))
+    c = done["counters"]
+    assert [c[n] for n in ("rows_seen", "rows_inserted", "rows_rejected", "files_failed")] == [5, 1, 4, 1]
+    assert done["rejected_security_batches"] == ["MOON"]
+    [twice] = incidents(store, "conflicting_duplicate_in_snapshot")
+    assert f'"{FRI}":[2,4]' in twice.details
+    assert len(incidents(store, "hard_invalid_record")) == 1
+
+
+def test_quotes_and_lines_within_them(store, tmp_path):
+    rows = [
+        line("MOON", FRI, 64, Name='"Moon, ""Old"" Works"'),
+        line("MOON", THU, 63, Name='"Moon\nWorks"'),
+        line("MOON", WED, 62),
+    ]
+    load(store, write_prices(tmp_path / "s", {"MOON": packed(STOCK_HEADER, map(csv_line, rows))}))
+    assert store.read("securities").first().name == 'Moon, "Old" Works'
+    stored = {str(r.trading_date): r.source_line for r in store.read("daily_prices").collect()}
+    assert stored == {FRI: 2, THU: 4, WED: 5}
 
 
-def test_revision_must_be_confirmed(store, tmp_path):
-    p = prepared(store.spark, write_prices(tmp_path / "s", standard_stocks()))
-    with pytest.raises(LoadNotConfirmed):
-        load_prices(store, p, confirm_revision=REV[:7])
+def test_the_revision_has_to_be_named(store, tmp_path):
+    p = prepared(store.spark, write_prices(tmp_path / "s", few_stocks()))
+    for wrong in ("", REV[:-1], "9" * 40):
+        with pytest.raises(LoadNotConfirmed):
+            load_prices(store, p, confirm_revision=wrong)
     assert store.read("ingestion_runs").isEmpty()
 
 
-def test_changed_bytes_fail_the_run_and_publish_nothing(store, tmp_path):
-    root = write_prices(tmp_path / "s", standard_stocks())
-    p = prepared(store.spark, root)
-    path = tmp_path / "s" / "dataset" / "stocks" / "csv" / "BBBB.csv"
-    path.write_bytes(stock_bytes([row(Ticker="BBBB", Close="5725.0")]))
+def test_a_file_that_changes_on_the_way_fails_the_run(store, tmp_path):
+    p = prepared(store.spark, write_prices(tmp_path / "s", few_stocks()))
+    (tmp_path / "s" / STOCKS / "DUNE.csv").write_bytes(stock_file([silent("DUNE", TUE, 8, Ticker="Dune")]))
     with pytest.raises(LoadFailed, match="changed since"):
         load_prices(store, p, confirm_revision=REV)
     assert store.read("daily_prices").isEmpty() and store.read("securities").isEmpty()
-    assert store.current("ingestion_runs", ["ingestion_run_id"]).first().status == "failed"
+    [run] = store.current("ingestion_runs", ["ingestion_run_id"]).collect()
+    assert run.status == "failed"
 
 
-def test_same_revision_with_other_content_is_reported(store, tmp_path):
-    load(store, write_prices(tmp_path / "a", standard_stocks()))
-    stocks = standard_stocks() | {"CCCC": [halted(Ticker="CCCC")]}
-    load(store, write_prices(tmp_path / "b", stocks))
-    found = [i for i in incidents(store) if i.incident_type == "snapshot_content_mismatch"]
-    assert len(found) == 1
+def test_one_revision_with_two_contents(store, tmp_path):
+    load(store, write_prices(tmp_path / "a", few_stocks()))
+    load(store, write_prices(tmp_path / "b", few_stocks() | {"LAKE": [line("LAKE", FRI, 3)]}))
+    assert len(incidents(store, "snapshot_content_mismatch")) == 1

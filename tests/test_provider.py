@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from snapshots import PRICE_ID, row, standard_stocks, write_prices
+from market import FRI, MON, PRICE_ID, THU, WED, few_stocks, line, write_prices
 
 from tickerloom.operators.dedupe import ConflictingDuplicates
 from tickerloom.sources.adapters import StockCsvSource
@@ -19,37 +19,40 @@ def provider(spark, root):
     return SnapshotPrices(spark, StockCsvSource(PRICE_ID), root)
 
 
-def test_securities_ranges_and_errors(spark, tmp_path):
-    p = provider(spark, write_prices(tmp_path, standard_stocks()))
-    listed = {r.ticker: (r.security_id, r.name) for r in p.list_securities().collect()}
-    assert listed["AAAA"] == (f"dev:{PRICE_ID}:AAAA", "Alpha Tbk.") and len(listed) == 3
-    one = p.daily_prices("2026-05-01", "2026-05-28", f"dev:{PRICE_ID}:AAAA").collect()
-    assert [str(r.trading_date) for r in one] == ["2026-05-28"] and one[0].open is None
-    assert one[0].raw_record_ref.startswith("dataset/stocks/csv/AAAA.csv@sha256:")
-    assert one[0].raw_record_ref.endswith("#line=3")
-    assert p.daily_prices("2000-01-01", "2030-01-01").count() == 6
+def test_reading_by_security_and_range(spark, tmp_path):
+    p = provider(spark, write_prices(tmp_path, few_stocks()))
+    moon = f"dev:{PRICE_ID}:MOON"
+    names = {r.ticker: (r.security_id, r.name) for r in p.list_securities().collect()}
+    assert names["MOON"] == (moon, "Moon Works") and set(names) == {"MOON", "RIVR", "DUNE"}
+    [one] = p.daily_prices(WED, WED, moon).collect()
+    assert float(one.close) == 61 and one.open is None
+    head, _, tail = one.raw_record_ref.partition("@sha256:")
+    assert head == "dataset/stocks/csv/MOON.csv" and tail.endswith("#line=4")
+    assert p.daily_prices("1999-01-01", "2029-01-01").count() == 7
     with pytest.raises(ValueError, match="after end"):
-        p.daily_prices("2026-05-02", "2026-05-01")
-    for unknown in (f"dev:{PRICE_ID}:NONE", "other:AAAA"):
+        p.daily_prices(FRI, MON)
+    for unknown in (f"dev:{PRICE_ID}:LAKE", "MOON"):
         with pytest.raises(UnknownSecurity):
-            p.daily_prices("2026-05-01", "2026-05-02", unknown)
+            p.daily_prices(MON, FRI, unknown)
     for missing in (p.dividends, p.corporate_actions, p.index_history):
         with pytest.raises(NotProvided):
-            missing("AAAA", "2026-05-01", "2026-05-02")
+            missing("MOON", MON, FRI)
 
 
-def test_bad_rows_and_conflicts_raise(spark, tmp_path):
-    bad = {"AAAA": [row(), row(Date="2026-05-28", High="1")]}
+def test_what_cannot_be_read_raises(spark, tmp_path):
+    good = line("MOON", FRI, 64)
+
+    def read(name, *rows):
+        root = write_prices(tmp_path / name, {"MOON": list(rows)})
+        return provider(spark, root).daily_prices(MON, FRI).count()
+
+    assert read("copies", good, good, line("MOON", THU, 63)) == 2
     with pytest.raises(InvalidPrices, match="high_below_low"):
-        provider(spark, write_prices(tmp_path / "a", bad)).daily_prices("2026-01-01", "2026-12-31")
-    twice = {"AAAA": [row(), row(Close="5800.0")]}
+        read("range", good, line("MOON", THU, 63, Low=70))
     with pytest.raises(ConflictingDuplicates):
-        provider(spark, write_prices(tmp_path / "b", twice)).daily_prices("2026-01-01", "2026-12-31")
-    equal = {"AAAA": [row(), row()]}
-    kept = provider(spark, write_prices(tmp_path / "c", equal)).daily_prices("2026-01-01", "2026-12-31")
-    assert kept.count() == 1
-    with pytest.raises(InvalidPrices, match="2 fields, expected 26"):
-        root = write_prices(tmp_path / "d", {"AAAA": [row()]})
-        path = tmp_path / "d" / "dataset" / "stocks" / "csv" / "AAAA.csv"
-        path.write_bytes(path.read_bytes() + b"2026-05-01,AAAA\r\n")
+        read("conflict", good, line("MOON", FRI, 65))
+    root = write_prices(tmp_path / "width", {"MOON": [good]})
+    with (tmp_path / "width" / "dataset" / "stocks" / "csv" / "MOON.csv").open("ab") as file:
+        file.write(b"2019-03-04\r\n")
+    with pytest.raises(InvalidPrices, match="1 fields, expected 26"):
         provider(spark, root).strict_rows()

@@ -30,8 +30,11 @@ SAMPLE = (
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
 
-def test_every_query_has_check_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+def test_every_query_of_the_library_has_check_sql():
+    from tickerloom.bindings import catalog
+
+    assert set(catalog.queries()) == set(catalog.oracle_sql())
+    assert set(catalog.queries()) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("name", SAMPLE)

@@ -30,7 +30,7 @@ WHITESPACE = (
     + "\u2028\u2029\u202f\u205f\u3000"
 )
 #: A fraction that is not zero, written without an exponent.
-FRACTION_PATTERN = r"^[^eE]*\.[0-9]*[1-9]"
+FRACTION_PATTERN = r"^[^eE.]*\.[0-9]*[1-9][^eE]*\z"
 
 NUMBER = "decimal(38,10)"  # wide enough to test a value before it is rounded
 

@@ -132,6 +132,7 @@ class FactorMethod:
     listing_lag_days: int = 28
 
 
+# ---- fixed values: table and column names ------------------------------------
 TABLES: dict[str, str] = {
     "data_sources": ("source_id STRING, source_name STRING, homepage_url STRING"),
     "source_snapshots": (

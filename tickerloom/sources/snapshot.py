@@ -103,6 +103,23 @@ def hidden_names(spark: SparkSession, root: str) -> list[str]:
             return []
 
 
+def empty_files(spark: SparkSession, root: str, read: int) -> list[str]:
+    """Paths of files without bytes, which Spark's file sources leave out.
+
+    They are looked for only where the folder holds more files than were read.
+    """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    top = hadoop(root)
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.getContentSummary(top).getFileCount() == read:
+        return []
+    base, level, out = fs.makeQualified(top).toString().rstrip("/"), "/*", []
+    while len(found := fs.globStatus(hadoop(base + level)) or ()):
+        out += [f.getPath().toString() for f in found if f.isFile() and f.getLen() == 0]
+        level += "/*"
+    return [p.removeprefix(base + "/") for p in out]
+
+
 def snapshot_files(spark: SparkSession, root: str) -> DataFrame:
     """``(relative_path, size_bytes, sha256, content)`` of every file but the manifest.
 
@@ -120,11 +137,12 @@ def snapshot_files(spark: SparkSession, root: str) -> DataFrame:
     if hidden := hidden_names(spark, root):
         raise StructuralError(f"snapshot holds names that cannot be read: {', '.join(hidden)}")
     relative = F.substring("path", F.lit(len(base) + 1), F.length("path"))
-    return files.select(
-        relative.alias("relative_path"),
-        F.col("length").alias("size_bytes"),
-        F.sha2("content", 256).alias("sha256"),
-        "content",
+    found = files.select(relative.alias("relative_path"), F.col("length").alias("size_bytes"), "content")
+    if empty := empty_files(spark, root, files.select("length").count()):
+        rows = [(name, 0, b"") for name in empty]
+        found = found.union(spark.createDataFrame(rows, found.schema))
+    return found.select(
+        "relative_path", "size_bytes", F.sha2("content", 256).alias("sha256"), "content"
     ).filter(F.col("relative_path") != MANIFEST_NAME)
 
 
