@@ -226,7 +226,7 @@ def _single_strings(rows: DataFrame, work: DataFrame, length: int, size: int) ->
     """
     chunk = K.chunk_of(max(8, -(-size // K.CHUNK_BYTES)), "text_hash")
     strings = work.agg(F.sum(F.col("high") - F.col("low") + 1)).first()[0] or 0
-    buckets = bucket_count(strings)
+    buckets = bucket_count(4 * strings)  # a quarter of the usual memory a bucket
     texts = _texts(rows, work.select("text_hash").distinct(), True, once=True).withColumn("chunk", chunk)
     sites = work.withColumn("chunk", chunk)
 
