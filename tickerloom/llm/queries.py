@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 import public_tokenizers
 from tickerloom.llm import bpe, chat, contamination, html, lm, pii, quality, similar, substrings, suffixes
+from tickerloom.llm.sql import ORACLES  # noqa: F401  (read by __spark_entry__)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
