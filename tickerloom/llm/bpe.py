@@ -243,8 +243,10 @@ class Decoder:
             yield rest
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
-    """``(doc_id, ids)`` of every row.
+def encode(
+    docs: DataFrame, ranks: dict[bytes, int], pattern: str, back: bool = False
+) -> DataFrame:
+    """``(doc_id, ids)`` of every row; with `back` also the ``text`` they decode to.
 
     Null text reads as empty and has no ids. Repeated rows and null ids give a row each.
     Texts are encoded whole; memory follows the longest text. The ranks travel with the
@@ -254,20 +256,24 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = worker_encoder(shared.value, pattern)
+        codec, decoder = worker_encoder(shared.value, pattern), Decoder(shared.value)
         for batch in batches:
             for at in range(0, len(batch), ROWS):
                 part = batch.slice(at, ROWS)
                 ids = [codec.encode(t.as_py() or "") for t in part.column("text")]
                 offsets = np.concatenate(([0], np.cumsum([len(i) for i in ids]))).astype(np.int32)
                 flat = pa.array(np.concatenate(ids), pa.int32())
-                yield pa.record_batch(
-                    [part.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), flat)],
-                    names=["doc_id", "ids"],
-                )
+                columns = {
+                    "doc_id": part.column("doc_id"),
+                    "ids": pa.ListArray.from_arrays(pa.array(offsets), flat),
+                }
+                if back:
+                    texts = ["".join(decoder.decode(i.astype(np.int64))) for i in ids]
+                    columns["text"] = pa.array(texts, pa.string())
+                yield pa.RecordBatch.from_pydict(columns)
 
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(
-        run, "doc_id bigint, ids array<int>"
+        run, "doc_id bigint, ids array<int>" + ", text string" * back
     )
 
 
@@ -301,7 +307,7 @@ def bpe_digests(
     docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep_ids: bool = False
 ) -> DataFrame:
     """Number of ids, digest of the ids and digest of what they decode to."""
-    back = decode(encode(docs, ranks, pattern), ranks)
+    back = encode(docs, ranks, pattern, back=True)
     return back.select(
         "doc_id",
         *(["ids"] if keep_ids else []),
