@@ -411,7 +411,7 @@ _SERIES = """SELECT security_id, trading_date, CAST(close AS DOUBLE) AS close,
 @query("c3_adjusted_series", _SERIES, "series")
 def _(t: Tables) -> DataFrame:
     b = build(t)
-    bars = series.adjusted_bars(t.bars, b.factors, b.anomalies)
+    bars = series.adjusted_bars(t.bars, b.factors, b.anomalies, SOURCE, METHOD.version)
     return rounded(
         rounded(bars, 6, "price_return", "total_return"), 3, "adj_close", "tr_adj_close"
     )
@@ -424,7 +424,7 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     b = build(t)
-    bars = series.adjusted_bars(t.bars, b.factors, b.anomalies)
+    bars = series.adjusted_bars(t.bars, b.factors, b.anomalies, SOURCE, METHOD.version)
     return rounded(bars.select("security_id", "trading_date", "adj_close"), 3, "adj_close")
 
 
@@ -451,7 +451,7 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     b = build(t)
-    bars = series.adjusted_bars(t.bars, b.factors, b.anomalies)
+    bars = series.adjusted_bars(t.bars, b.factors, b.anomalies, SOURCE, METHOD.version)
     return rounded(
         bars.select("security_id", "trading_date", "total_return", "dividend"), 6, "total_return"
     )

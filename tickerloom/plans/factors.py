@@ -414,13 +414,13 @@ def succeeded_snapshots(store: Store, source_id: str) -> DataFrame:
 def write_build(store: Store, build: FactorBuild) -> str:
     """Replace the stored factors of the build's scope and record the build."""
     build_id = str(uuid.uuid4())
-    for table, df in (
-        ("price_adjustment_factors", build.factors),
-        ("reference_price_anomaly_dates", build.anomalies),
+    for table, df, order in (
+        ("price_adjustment_factors", build.factors, ("security_id", "effective_date", "factor_kind")),
+        ("reference_price_anomaly_dates", build.anomalies, ("trading_date",)),
     ):
         store.replace_scope(
             table,
-            df.withColumn("build_id", F.lit(build_id)),
+            df.withColumn("build_id", F.lit(build_id)).sortWithinPartitions(*order),
             {
                 "price_source_id": build.price_source_id,
                 "method_version": build.method.version,

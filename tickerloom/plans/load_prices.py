@@ -389,6 +389,10 @@ def _load(store: Store, prepared: Prepared, run: Run) -> dict[str, Any]:
         .withColumn("ingestion_run_id", F.lit(run.run_id))
         .sortWithinPartitions("security_id", "trading_date"),
     )
+    own = F.col("ingestion_run_id") == run.run_id
+    written = store.read("daily_prices").filter(own).count()
+    if written != counters.rows_inserted:
+        raise RuntimeError(f"{written} rows were written, {counters.rows_inserted} are new")
     summary = {
         "mode": "load",
         "identity": {**prepared.identity(), "files_by_role": prepared.roles()},

@@ -30,13 +30,39 @@ def applied_steps(factors: DataFrame) -> DataFrame:
     )
 
 
-def adjusted_bars(prices: DataFrame, factors: DataFrame, anomalies: DataFrame) -> DataFrame:
+class AmbiguousScope(ValueError):
+    """Factors of several sources or methods where one is needed."""
+
+
+def adjusted_bars(
+    prices: DataFrame,
+    factors: DataFrame,
+    anomalies: DataFrame,
+    source_id: str | None = None,
+    method_version: str | None = None,
+) -> DataFrame:
     """Raw, price-adjusted and total-return series of every security.
 
+    Tables that hold several sources or methods need `source_id` and `method_version`:
+    without them, factors of more than one scope raise, as their mixture is no history.
+
     A factor dated t multiplies every close before t and never the close of t,
     so the last bar of a security equals its raw close. Adjusted levels contain
     later information: use them for ratios, not as prices known at the time.
     """
+    if source_id is None or method_version is None:
+        scopes = factors.select("price_source_id", "method_version").distinct().limit(2).collect()
+        if len(scopes) > 1:
+            raise AmbiguousScope(f"factors of several scopes, e.g. {[tuple(s) for s in scopes]}")
+    if source_id is not None:
+        prices = prices.filter(F.col("source_id") == source_id)
+        factors, anomalies = (
+            t.filter(F.col("price_source_id") == source_id) for t in (factors, anomalies)
+        )
+    if method_version is not None:
+        factors, anomalies = (
+            t.filter(F.col("method_version") == method_version) for t in (factors, anomalies)
+        )
     scanned = suffix_products(
         prices.select("security_id", "trading_date", "close", "reference_price"),
         applied_steps(factors),
