@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -302,6 +303,19 @@ def test_suffixes_short_overlaps(spark):
     assert rows(suffixes.dedup_digests(df)) == brute_bytes(some, 400)
 
 
+def test_suffixes_cut_copies(spark):
+    """Strings that repeat right before different bytes or an end, in two texts only."""
+    rng = random.Random(11)
+    some = []
+    for _ in range(1200):
+        same = "".join(rng.choice("abcdefghij ") for _ in range(400 + rng.randrange(90)))
+        for _ in range(2):
+            behind = "".join(rng.choice("klmnop ") for _ in range(rng.randrange(3) * 60))
+            some.append((len(some), same + behind))
+    df = spark.createDataFrame(some, "doc_id bigint, text string").repartition(3)
+    assert rows(suffixes.dedup_digests(df)) == brute_bytes(some, 400)
+
+
 def test_suffixes_empty(no_documents):
     assert suffixes.dedup_digests(no_documents).count() == 0
 

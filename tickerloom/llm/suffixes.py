@@ -74,13 +74,17 @@ def sites_of(data: np.ndarray, offsets: np.ndarray) -> Sites:
 
 
 def names(s: Sites, core: int) -> list[np.ndarray]:
-    """Per round the rank of every site, 0 where it would reach past `core` bytes."""
+    """Per round the rank of every site, 0 where it would reach past `core` bytes.
+
+    Which site comes next after one at x follows from the bytes up to x + STRETCH + GRAM,
+    so a pair reaches that far even where the strings it names end before.
+    """
     out, reach = [s.first], np.full(len(s.at), FIRST)
     count = len(s.at)
     for k in range(ROUNDS):
         to = np.minimum(np.arange(count) + (1 << k), max(0, count - 1))
         gap = np.where((s.row[to] == s.row) & (to > np.arange(count)), s.at[to] - s.at, FAR)
-        longer = np.minimum(gap + reach[to], FAR)
+        longer = np.minimum(np.maximum(gap + reach[to], STRETCH + GRAM), FAR)
         pair = K._mix(out[-1] * np.uint64(3) + K._mix(out[-1][to] + gap.astype(np.uint64)))
         out.append(np.where(longer <= core, pair | np.uint64(1), np.uint64(0)))
         reach = np.where(longer <= core, longer, FAR)
