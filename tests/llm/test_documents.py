@@ -416,6 +416,30 @@ def test_quality_thresholds_adapt(spark):
     assert not kept.pop(900) and kept.pop(901) and all(kept.values())
 
 
+def test_quality_limits_follow_the_group(spark):
+    rng = random.Random(6)
+    make = lambda n, size: [
+        "".join(rng.choice("abcdefgh") for _ in range(size + rng.randrange(3))) for _ in range(n)
+    ]
+    rows_ = []
+    for source, n in (("short", 60), ("long", 400)):
+        for _ in range(60):
+            w = make(n, 4)
+            rows_.append((len(rows_), "\n".join(" ".join(w[k : k + 10]) for k in range(0, n, 10)), "en", source))
+    for k in range(8):
+        rows_.append((len(rows_), " ".join(make(60, 4)), "en", "few"))
+    passage = make(40, 4)
+    rows_.append((900, " ".join([*make(300, 4), *passage, *passage]), "en", "long"))
+    rows_.append((901, " ".join([*make(60, 4), *passage[:10], *passage[:10]]), "en", "short"))
+    rows_ += [(902, " ".join(make(60, 1)), "en", "short"), (903, " ".join(make(60, 1)), "en", "few")]
+    df = spark.createDataFrame(rows_, "doc_id bigint, text string, lang string, source string")
+    got = {r["doc_id"]: r for r in quality.judged(df).collect()}
+    for name in ("symbols_per_word", "dup_line_share", "repeat_share", "word_length"):
+        assert got[0][f"{name}_limit"] > got[60][f"{name}_limit"] > 0
+    assert got[60]["repeat_share_limit"] < 0.3 and not got[900]["base_failed"]
+    assert {i for i in got if not got[i]["kept"]} == {900, 902, 903}
+
+
 def test_quality_empty(no_documents):
     assert quality.judged(no_documents).count() == 0
     assert quality.quality_filter(no_documents).count() == 0

@@ -18,25 +18,32 @@ SALTS = 16
 SKETCH_K = 400
 
 
+#: Groups with fewer rows take the quantiles of all rows of their language, their own included.
+SMALL = 30
+
+
 @dataclass(frozen=True)
 class Rule:
-    """Reject a value above ``median + reach * max(median - low quantile, slack)``.
+    """Reject a value above ``upper quartile + reach * spread`` of its group.
 
-    The lower half of a group says how far its good rows spread, so junk in up to
-    half of a group does not move the threshold. `slack` is the least spread, as a
-    group whose values are all alike would otherwise reject any other value.
+    The spread is the wider of the two quarters beside the median, so junk in up to a
+    quarter of a group does not move the threshold, but no less than one `event` in the
+    group's median text: where most texts have none, `reach` events are its limit. An
+    event is so many words or lines, or one word as long as the measure's median. With `both`, a value below ``lower quartile - reach * spread`` goes too.
     """
 
     measure: str
     reach: float
-    slack: float
+    event: float | str
+    size: str
+    both: bool = False
 
 
 RULES = (
-    Rule("symbols_per_word", 6.0, 0.05),
-    Rule("dup_line_share", 6.0, 0.06),
-    Rule("repeat_share", 6.0, 0.05),
-    Rule("word_length", 6.0, 1.0),
+    Rule("symbols_per_word", 6.0, 1.0, "n_words"),
+    Rule("dup_line_share", 3.0, 1.0, "n_lines"),
+    Rule("repeat_share", 3.0, 2.0 * WINDOW, "n_words"),
+    Rule("word_length", 6.0, "word_length", "n_words", both=True),
 )
 
 
@@ -111,6 +118,7 @@ def measured(docs: DataFrame) -> DataFrame:
         F.col("n_words").cast("bigint").alias("n_words"),
         "word_chars",
         "n_symbols",
+        "n_lines",
         "n_dup_lines",
         "n_repeat_words",
         (F.col("n_symbols") / words).alias("symbols_per_word"),
@@ -124,7 +132,7 @@ def measured(docs: DataFrame) -> DataFrame:
 
 
 def thresholds(rows: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """Per language and source one threshold a rule, from merged KLL sketches.
+    """Per language and source the thresholds of each rule, from merged KLL sketches.
 
     Sketches are built per (language, source, salt) and merged, so that a source with
     a third of all rows is spread over tasks. Only rows that pass the base rules count.
@@ -132,20 +140,35 @@ def thresholds(rows: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     kept = rows.where(~F.col("base_failed")).withColumn(
         "salt", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(SALTS))
     )
+    names = sorted({name for r in rules for name in (r.measure, r.size)})
     part = kept.groupBy("lang", "source", "salt").agg(
-        *[F.kll_sketch_agg_double(r.measure, F.lit(SKETCH_K)).alias(r.measure) for r in rules]
+        F.count(F.lit(1)).alias("n"),
+        *[F.kll_sketch_agg_double(F.col(c).cast("double"), F.lit(SKETCH_K)).alias(c) for c in names],
+    )
+    own = durable(
+        part.groupBy("lang", "source").agg(
+            F.sum("n").alias("n"), *[F.kll_merge_agg_double(c).alias(c) for c in names]
+        )
     )
-    merged = part.groupBy("lang", "source").agg(
-        *[F.kll_merge_agg_double(r.measure).alias(r.measure) for r in rules]
+    whole = own.groupBy(F.col("lang").alias("_lang")).agg(
+        *[F.kll_merge_agg_double(c).alias(f"{c}_whole") for c in names]
+    )
+    merged = own.join(whole, F.col("lang").eqNullSafe(F.col("_lang"))).select(
+        "lang",
+        "source",
+        *[F.when(F.col("n") < SMALL, F.col(f"{c}_whole")).otherwise(F.col(c)).alias(c) for c in names],
     )
 
-    def limit(r: Rule) -> Column:
-        at = [F.kll_sketch_get_quantile_double(r.measure, F.lit(q)) for q in (0.5, 0.1)]
-        return (at[0] + r.reach * F.greatest(at[0] - at[1], F.lit(r.slack))).alias(
-            f"{r.measure}_limit"
-        )
+    def limits(r: Rule) -> list[Column]:
+        at = lambda c, q: F.kll_sketch_get_quantile_double(c, F.lit(q))
+        low, middle, high = (at(r.measure, q) for q in (0.25, 0.5, 0.75))
+        event = at(r.event, 0.5) if isinstance(r.event, str) else F.lit(r.event)
+        event = event / F.greatest(at(r.size, 0.5), F.lit(1.0))
+        reach = r.reach * F.greatest(high - middle, middle - low, event)
+        out = [(high + reach).alias(f"{r.measure}_limit")]
+        return [*out, (low - reach).alias(f"{r.measure}_floor")] if r.both else out
 
-    return merged.select("lang", "source", *[limit(r) for r in rules])
+    return merged.select("lang", "source", *[c for r in rules for c in limits(r)])
 
 
 def judged(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -163,6 +186,7 @@ def judged(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         F.col("source").alias("_source"),
         salts,
         *[f"{r.measure}_limit" for r in rules],
+        *[f"{r.measure}_floor" for r in rules if r.both],
     )
     salted = rows.withColumn("_salt_of", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(SALTS)))
     joined = salted.join(
@@ -175,8 +199,10 @@ def judged(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     fits = F.lit(True)
     for r in rules:
         fits = fits & (F.col(r.measure) <= F.col(f"{r.measure}_limit"))
+        if r.both:
+            fits = fits & (F.col(r.measure) >= F.col(f"{r.measure}_floor"))
     kept = ~F.col("base_failed") & F.coalesce(fits, F.lit(False))
-    return joined.withColumn("kept", kept).drop("_lang", "_source", "_salt", "_salt_of")
+    return joined.withColumn("kept", kept).drop("n_lines", "_lang", "_source", "_salt", "_salt_of")
 
 
 def quality_filter(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
