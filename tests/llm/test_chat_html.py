@@ -90,6 +90,26 @@ def test_main_text():
         assert html.main_text(page) == want, name
 
 
+def test_layout_classes_do_not_lose_articles():
+    body = f"<p>{GOOD * 3}</p><p>{GOOD * 4}</p>"
+    whole = f"{(GOOD * 3).strip()}\n{(GOOD * 4).strip()}"
+    for page in (
+        f'<div style="overflow:hidden">{body}</div>',
+        f'<div class="overflow-hidden" title="The hidden cost">{body}</div>',
+        f'<body class="page no-sidebar">{body}</body>',
+        f'<html class="modal"><body class="sticky-header">{body}</body></html>',
+        f'<article class="widget"><section id="related-work">{body}</section></article>',
+        f'<form id="page"><div class="widget"><article>{body}</article></div></form>',
+        f'<div class="has-sidebar"><div class="promo">{body}</div><p>x</p></div>',
+    ):
+        assert html.main_text(page) == whole, page
+    assert html.main_text(f'<article><h2 class="section-header">Head</h2>{body}</article>') == f"Head\n{whole}"
+    for mark in ("hidden", "style='color:red; display:none'", 'aria-hidden="true"', "class='comment-list'"):
+        assert html.main_text(f"<article><div {mark}>{body}</div><p>ab</p></article>") == "ab", mark
+    long = f"<div class='comments'>{body * 3}</div>"
+    assert html.main_text(f"<div>{body}</div>{long}<aside><article>{body}</article></aside>") == whole
+
+
 def test_neighbours_decide_short_blocks():
     long = f"<p>{GOOD * 3}</p>"
     assert html.main_text(f"{long}<p>mid</p>{long}").count("\n") == 2

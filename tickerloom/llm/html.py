@@ -60,8 +60,27 @@ _TOKEN = re.compile(
     r"|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^>]*)>",
     re.S,
 )
-_MARKS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"(?:\bhidden\b(?!=)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true)", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_NOT_SHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none\s*(?:!\s*important\s*)?(?:;|$)", re.I)
+#: Words after a chrome word that keep its sense, as in ``comment-list``.
+PART_WORDS = frozenset(
+    """
+    area articles bar block bottom box button buttons container content form inner item items left
+    link links list outer panel posts primary right secondary section slot stories top unit widget
+    wrap wrapper
+    """.split()
+)
+#: Words before a chrome word that say something of a page's layout, as in ``no-sidebar``.
+LAYOUT_WORDS = frozenset("fixed has hide is no off on show sticky with without".split())
+#: What stays out even where it holds most of a page's text.
+BESIDE = frozenset(
+    """
+    aside comment comments complementary disqus footer nav navigation related replies reply respond
+    sidebar
+    """.split()
+)
+HEADS = frozenset("h1 h2 h3 h4 h5 h6".split())
+ROOTS = LANDMARK | frozenset(("html", "body"))
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -72,24 +91,66 @@ class Block:
     chrome: bool
     inside: int
     label: str = ""
+    region: int = -1
+
+
+@dataclass
+class Region:
+    """An element that is not part of an article by its name, class, id or role.
+
+    It is part of one after all if it holds the main text and is not `fixed`.
+    """
+
+    parent: int
+    fixed: bool
+
+
+def _chrome_word(name: str, in_article: bool) -> str | None:
+    """The chrome word that a whole class, id or role stands for."""
+    words = re.split(r"[^a-z]+", name)
+    if len(words) == 1:
+        found = words[0]
+    elif words[0] in LAYOUT_WORDS:
+        return None
+    elif words[-1] in CHROME_WORDS:
+        found = words[-1]
+        if found == "header" and words[0] not in ("site", "page", "top", "main"):
+            return None
+    elif words[0] in CHROME_WORDS and words[1] in PART_WORDS:
+        found = words[0]
+    else:
+        return None
+    return found if found in CHROME_WORDS and not (found == "header" and in_article) else None
 
 
-def _is_chrome(name: str, attributes: str, in_article: bool) -> bool:
-    if name in CHROME and not (name == "header" and in_article):
-        return True
+def _chrome(name: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
+    """Whether an element is chrome, and whether it is even with the main text in it."""
+    chrome = name in CHROME and not (name == "header" and in_article)
+    fixed = name in BESIDE
     if not attributes:
-        return False
-    for m in _MARKS.finditer(attributes):
-        value = (m[1] or m[2] or m[3] or "").lower()
-        if any(w in CHROME_WORDS for w in re.split(r"[^a-z]+", value)):
-            return True
-    return bool(_HIDDEN.search(attributes))
+        return chrome, fixed
+    for m in _ATTRIBUTE.finditer(attributes):
+        key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        if (
+            key == "hidden"
+            or (key == "aria-hidden" and value.strip() == "true")
+            or (key == "style" and _NOT_SHOWN.search(value))
+        ):
+            return True, True
+        if key in ("class", "id", "role") and name not in ROOTS and name not in HEADS:
+            for mark in value.split():
+                word = _chrome_word(mark, in_article)
+                chrome = chrome or word is not None
+                fixed = fixed or word in BESIDE
+    return chrome, fixed
 
 
 def blocks(page: str) -> list[Block]:
     """The page's blocks in order, with white space and character references resolved."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, int]] = []
+    stack: list[tuple[str, int, int]] = []
+    regions: list[Region] = []
+    landmarks: dict[int, int] = {}
     text: list[str] = []
     links: list[str] = []
     in_link = marked = False
@@ -101,8 +162,7 @@ def blocks(page: str) -> list[Block]:
         whole = " ".join(entities.unescape("".join(text)).split())
         if whole:
             linked = len(" ".join(entities.unescape("".join(links)).split()))
-            chrome = marked or bool(stack and stack[-1][1])
-            out.append(Block(whole, linked, chrome, article))
+            out.append(Block(whole, linked, marked, article, region=stack[-1][1] if stack else -1))
         text, links = [], []
 
     while at < size:
@@ -134,12 +194,17 @@ def blocks(page: str) -> list[Block]:
         flush()
         marked = False
         if name not in CONTAINER:
-            marked = not closing and _is_chrome(name, attributes, bool(article))
+            marked = not closing and _chrome(name, attributes, bool(article))[0]
         elif not closing:
-            chrome = bool(stack and stack[-1][1]) or _is_chrome(name, attributes, bool(article))
-            stack.append((name, chrome, article))
-            if name in LANDMARK and not chrome:
+            region = stack[-1][1] if stack else -1
+            chrome, fixed = _chrome(name, attributes, bool(article))
+            if chrome:
+                regions.append(Region(region, fixed))
+                region = len(regions) - 1
+            stack.append((name, region, article))
+            if name in LANDMARK:
                 articles += 1
+                landmarks[articles] = region
                 article = article or articles
         elif any(n == name for n, _, _ in stack):
             while stack:
@@ -148,9 +213,50 @@ def blocks(page: str) -> list[Block]:
                 if opened == name:
                     break
     flush()
+    _settle(out, regions, landmarks)
     return out
 
 
+def _settle(found: list[Block], regions: list[Region], landmarks: dict[int, int]) -> None:
+    """Mark the blocks in regions that do not hold the main text.
+
+    That is more than half of the good text, or the article with the most of it. `landmarks`
+    has the region that each article stands in.
+    """
+    if not regions:
+        return
+    open_ = [not r.fixed for r in regions]
+    for k, r in enumerate(regions):
+        open_[k] = open_[k] and (r.parent < 0 or open_[r.parent])
+    shown = [b for b in found if not b.chrome and (b.region < 0 or open_[b.region])]
+    articles: dict[int, list[int]] = {}
+    good = [0] * len(regions)
+    total = 0
+    for b in shown:
+        size = len(b.text) if first_pass(b) == "good" else 0
+        total += size
+        if b.region >= 0:
+            good[b.region] += size
+        if b.inside:
+            sizes = articles.setdefault(b.inside, [0, 0])
+            sizes[0] += size
+            sizes[1] += len(b.text)
+    best = max(articles, key=lambda a: articles[a], default=0)
+    holds = [False] * len(regions)
+    if best and (articles[best][0] or not total) and landmarks[best] >= 0:
+        holds[landmarks[best]] = True
+    for k in range(len(regions) - 1, -1, -1):
+        up = regions[k].parent
+        if up >= 0:
+            good[up] += good[k]
+            holds[up] = holds[up] or holds[k]
+    out = [not holds[k] and 2 * good[k] <= total for k in range(len(regions))]
+    for k, r in enumerate(regions):
+        out[k] = out[k] or not open_[k] or (r.parent >= 0 and out[r.parent])
+    for b in found:
+        b.chrome = b.chrome or (b.region >= 0 and out[b.region])
+
+
 def first_pass(block: Block) -> str:
     """``good``, ``bad``, or the ambiguous ``near`` and ``short``."""
     size = len(block.text)
