@@ -81,6 +81,23 @@ def test_lm_windows_score_each_subword_once_and_causally():
     assert np.allclose((total * share).sum(axis=1), 1, atol=1e-3)
 
 
+def test_lm_trains_on_every_block_once(documents, texts):
+    subwords = lm.Subwords(RANKS, public_tokenizers.PATTERN)
+    got, want = Counter(), Counter()
+    for r in lm._statistics(documents, subwords).where("slice < 0").collect():
+        parts = lm._windows([bytes(r["cells"])], subwords.end)
+        assert len(parts[0]) == r["blocks"] and 0 <= r["draw"] < lm.ROUNDS
+        got.update(tuple(np.concatenate([np.ravel(x) for x in w]).tolist()) for w in zip(*parts, strict=True))
+    data = [(t or "").encode() for _, t in texts]
+    offsets = np.concatenate(([0], np.cumsum([len(d) for d in data])))
+    t = lm.Tokens.read(np.frombuffer(b"".join(data), np.uint8), offsets, subwords)
+    inputs, targets, place = t.blocks(subwords, np.arange(len(data)))
+    for k, p in enumerate(place):
+        before = inputs[k - 1] if p else np.zeros(lm.BLOCK, np.int64)
+        want[tuple(np.concatenate((before, inputs[k], targets[k], [p == 0])).tolist())] += 1
+    assert got == want
+
+
 def test_lm_gradients_and_training():
     subwords = lm.Subwords(RANKS, public_tokenizers.PATTERN)
     rng = np.random.default_rng(4)
