@@ -54,6 +54,7 @@ def compare(spark, con, name, fn, sql, sf_dir) -> str:
         return f"columns {sorted(df.columns)} != {sorted(columns)}"
     types = {
         "bigint": "BIGINT",
+        "int": "INTEGER",
         "double": "DOUBLE",
         "string": "VARCHAR",
         "date": "DATE",
