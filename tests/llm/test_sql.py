@@ -20,4 +20,4 @@ def test_query(spark, name):
 
 def test_one_query_an_operator():
     numbers = [name.split("_")[0] for name in queries.QUERIES]
-    assert sorted(numbers) == sorted([*(f"op{n}" for n in range(1, 11)), "pipeline"])
+    assert sorted(numbers) == sorted([*(f"op{n}" for n in range(1, 14)), "pipeline"])

@@ -8,7 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 import public_tokenizers
-from tickerloom.llm import bpe, chat, contamination, html, lm, pii, quality, similar, substrings, suffixes
+from tickerloom.llm import (
+    bpe,
+    centroids,
+    chat,
+    contamination,
+    html,
+    lm,
+    negatives,
+    pii,
+    quality,
+    simhash,
+    similar,
+    substrings,
+    suffixes,
+)
 from tickerloom.llm.sql import ORACLES  # noqa: F401  (read by __spark_entry__)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,6 +100,21 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.scored(_table(spark, sf_dir, "documents"), subwords)
 
 
+@query("op11_hard_negatives")
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mined(_table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_centroid_clustering")
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clustered(_table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_simhash_near_dedup")
+def op13_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.linked(_table(spark, sf_dir, "documents"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir).drop("ids")

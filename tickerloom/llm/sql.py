@@ -73,7 +73,60 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(h.n, 0) AS n_hit, co
   coalesce(h.n, 0) > 0 AND 20 * coalesce(h.n, 0) >= len(ws) AS contaminated
 FROM doc LEFT JOIN hits h USING (doc_id) LEFT JOIN named m USING (doc_id)"""
 
+_FINITE = "len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0"
+
+NEGATIVES = f"""
+WITH part AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND {_FINITE}
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+    CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM part a JOIN part b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+), positive AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM positive JOIN scored USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3"""
+
+
+def _round(before: str, n: int) -> str:
+    """Assign the vectors to the centroids `before`, then move these (tables a<n> and c<n>)."""
+    return f"""
+a{n} AS (
+  SELECT vec_id, q, c, d FROM (
+    SELECT vec_id, q, c, xx - 2 * list_inner_product(q, m) + list_inner_product(m, m) AS d FROM kept, {before})
+  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, c) = 1
+), c{n} AS (
+  SELECT c, coalesce(n.m, b.m) AS m FROM {before} b LEFT JOIN (
+    SELECT c, list(v ORDER BY i) AS m
+    FROM (SELECT c, i, floor(sum(q[i]) / count(*)) AS v FROM a{n}, range(1, 65) r(i) GROUP BY c, i)
+    GROUP BY c) n USING (c)
+)"""
+
+
+CENTROIDS = f"""
+WITH kept AS (
+  SELECT *, list_inner_product(q, q) AS xx FROM (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS q
+    FROM embeddings WHERE len(embedding) = 64 AND {_FINITE})
+), c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS c, q AS m FROM kept ORDER BY c LIMIT 16
+), {_round("c0", 1)}, {_round("c1", 2)}, {_round("c2", 3)}, {_round("c3", 4)}
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+  CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(list_transform(m, lambda x: CAST(x AS BIGINT)), ',')) AS centroid_sha256
+FROM a4 JOIN c3 USING (c)"""
+
 ORACLES = {
+    "op11_hard_negatives": NEGATIVES,
+    "op12_centroid_clustering": CENTROIDS,
     "op2_benchmark_decontamination": CONTAMINATION,
     "op4_chat_format": CHAT,
     "op7_substring_dedup": SUBSTRINGS,
