@@ -17,8 +17,8 @@ from tickerloom.operators.quality import role_counts
 from tickerloom.plans import factors, load_records, verify
 from tickerloom.plans.durable import durable
 from tickerloom.plans.incidents import draft, new_incidents
-from tickerloom.plans.load_prices import conflict_drafts, resolve_securities
-from tickerloom.plans.registration import Counters
+from tickerloom.plans.load_prices import compared_rows, conflict_drafts, resolve_securities
+from tickerloom.plans.registration import balance, outcome_rows
 from tickerloom.plans.store import Store
 from tickerloom.schemas import (
     DIVIDEND_OBSERVATION,
@@ -26,6 +26,7 @@ from tickerloom.schemas import (
     PRICE_KEY,
     PRICE_OBSERVATION,
     PRICE_PROVENANCE,
+    ROW_OUTCOMES,
 )
 from tickerloom.sources.adapters import StockCsvSource
 from tickerloom.sources.snapshot import listing_hashes, snapshot_id
@@ -166,24 +167,12 @@ def _(t: Tables) -> DataFrame:
     "outcomes",
 )
 def _(t: Tables) -> DataFrame:
-    counts = upsert.outcome_counts(durable(classified(t))).first()
-    counters = Counters(
-        rows_seen=t.bars.count(),
-        rows_inserted=counts["new"],
-        rows_unchanged=counts["unchanged"],
-        rows_conflicted=counts["conflict"],
+    found = balance(outcome_rows(compared_rows(classified(t))))
+    seen = t.bars.agg(F.count(F.lit(1)).alias("rows_seen"))
+    # One row on either side.
+    return seen.join(found, F.col("rows_accounted") == F.col("rows_seen"), "full_outer").select(
+        "rows_seen", *ROW_OUTCOMES, F.col("rows_accounted").eqNullSafe(F.col("rows_seen")).alias("consistent")
     )
-    names = (
-        "rows_seen",
-        "rows_inserted",
-        "rows_unchanged",
-        "rows_rejected",
-        "rows_conflicted",
-        "rows_collapsed_duplicates",
-    )
-    values = tuple(getattr(counters, n) for n in names) + (counters.consistent(),)
-    schema = ", ".join(f"{n} bigint" for n in names) + ", consistent boolean"
-    return t.spark.createDataFrame([values], schema)
 
 
 @query(
@@ -473,7 +462,7 @@ def _(t: Tables) -> DataFrame:
     "files",
 )
 def _(t: Tables) -> DataFrame:
-    return verify.rows_per_file(derived.derive_files(t.table("supplier"), t.bars), t.bars)
+    return verify.rows_per_file(derived.derive_files(t.table("supplier"), t.bars), verify.price_facts(t.bars))
 
 
 @query(

@@ -15,6 +15,7 @@ from tickerloom.operators import dedupe, quality
 from tickerloom.plans import factors, verify
 from tickerloom.plans.durable import durable
 from tickerloom.plans.load_prices import newest_dates, quarantine
+from tickerloom.schemas import ROW_FLAGS, TRADING_STATUSES
 
 
 def dirty(t: Tables) -> DataFrame:
@@ -90,9 +91,8 @@ def _(t: Tables) -> DataFrame:
     )
 
 
-_STATUS = "trading_status SIMILAR TO 'traded|no_regular_market_trade|unknown'"
-_KNOWN_FLAGS = """len(list_filter(fl,
-  lambda x: coalesce(x, '') SIMILAR TO 'non_regular_activity_present|unverified_trading_date'))"""
+_STATUS = f"trading_status IN ({', '.join(repr(s) for s in TRADING_STATUSES)})"
+_KNOWN_FLAGS = f"len(list_filter(fl, lambda x: x IN ({', '.join(repr(f) for f in ROW_FLAGS)})))"
 # greatest and least leave NULL out, as the rules do with what was not supplied
 
 
@@ -341,7 +341,7 @@ def _(t: Tables) -> DataFrame:
     "dirty",
 )
 def _(t: Tables) -> DataFrame:
-    return verify.row_integrity(dirty(t))
+    return verify.row_integrity(verify.price_facts(dirty(t)))
 
 
 @query(
@@ -383,7 +383,7 @@ def _(t: Tables) -> DataFrame:
     )
     supplier = t.table("supplier")
     return verify.provenance_integrity(
-        dirty(t),
+        verify.price_facts(dirty(t)),
         derived.derive_files(supplier, t.bars),
         derived.derive_keys(supplier),
         runs,
@@ -399,7 +399,9 @@ def _(t: Tables) -> DataFrame:
     "files",
 )
 def _(t: Tables) -> DataFrame:
-    return verify.lines_outside_files(dirty(t), derived.derive_files(t.table("supplier"), t.bars))
+    rows = dirty(t)
+    files = derived.derive_files(t.table("supplier"), t.bars)
+    return verify.lines_outside_files(verify.price_facts(rows), rows, files)
 
 
 @query(

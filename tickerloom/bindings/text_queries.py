@@ -209,7 +209,7 @@ def _(t: Tables) -> DataFrame:
     parts = [
         rows.groupBy(
             F.lit(kind).alias("kind"),
-            F.col(source.provenance_column).cast("string").alias("record_ref"),
+            F.col(source.kept.place).cast("string").alias("record_ref"),
         ).agg(F.count(F.lit(1)).alias("n"))
         for kind, source, rows in sides
     ]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickerloom.plans.store import Store
+from tickerloom.plans.store import Publication, Store
 
 NULLS = {"ignoreNullFields": "false"}
 def draft(
@@ -62,37 +62,34 @@ def new_incidents(drafts: DataFrame, stored: DataFrame) -> DataFrame:
 
 def append_incidents(
     store: Store,
+    publication: Publication,
     drafts: DataFrame,
     source_id: str,
     run_id: str,
     keys: DataFrame,
     files: DataFrame,
-    step: str,
 ) -> int:
-    """Store the new drafts with security and file ids; returns how many.
+    """Add the new drafts with security and file ids to a publication; returns how many.
 
-    `keys` maps source_key to security_id, `files` relative_path to file_id. The
-    rows are staged first, because the anti-join reads the table being appended.
+    `keys` maps source_key to security_id, `files` relative_path to file_id. Drafts
+    without a key meet none, so they stay out of that join and never gather in its tasks.
     """
     stored = store.read("data_quality_incidents").filter(F.col("source_id") == source_id)
     fresh = new_incidents(drafts, stored)
+    keyed = fresh.filter("source_key IS NOT NULL").join(
+        keys.select("source_key", "security_id"), "source_key", "left"
+    )
+    loose = fresh.filter("source_key IS NULL").withColumn("security_id", F.lit(None).cast("bigint"))
     linked = (
-        fresh.join(keys.select("source_key", "security_id"), "source_key", "left")
+        keyed.unionByName(loose)
         .join(files.select("relative_path", "file_id"), "relative_path", "left")
-        .select(
-            "fingerprint",
-            F.lit(run_id).alias("ingestion_run_id"),
-            "incident_type",
-            "severity",
-            F.lit("open").alias("status"),
-            "security_id",
-            "trading_date",
-            "file_id",
-            "source_line",
-            "details",
-            F.lit(source_id).alias("source_id"),
+        .withColumns(
+            {
+                "ingestion_run_id": F.lit(run_id),
+                "status": F.lit("open"),
+                "source_id": F.lit(source_id),
+            }
         )
     )
-    staged = store.stage(run_id, step, linked)
-    store.append("data_quality_incidents", staged)
-    return staged.count()
+    publication.append("data_quality_incidents", linked)
+    return publication.written("data_quality_incidents").count()

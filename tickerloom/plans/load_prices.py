@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from dataclasses import asdict, dataclass
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -14,23 +14,26 @@ from tickerloom.functions.validate import hard_codes, price_issues
 from tickerloom.operators.dedupe import accepted, batch_conflicts, duplicate_keys, key_groups
 from tickerloom.operators.ids import with_dense_ids
 from tickerloom.operators.quality import flag_counts, observation_stats, status_counts
-from tickerloom.operators.upsert import CONFLICT, NEW, UNCHANGED, classify, outcome_counts
+from tickerloom.operators.upsert import CONFLICT, NEW, UNCHANGED, classify
 from tickerloom.plans.incidents import append_incidents, as_text, draft
 from tickerloom.plans.registration import (
-    Counters,
     LoadFailed,
     Prepared,
     Run,
+    balance,
+    balanced,
     changed_files,
     confirm,
-    finish,
     mark_failed,
-    mismatch_incident,
+    mismatch_drafts,
+    outcome_rows,
     register,
+    run_row,
+    staging,
 )
-from tickerloom.plans.store import Store
+from tickerloom.plans.store import Publication, Store
 from tickerloom.schemas import KEY_FLAGS, PRICE_KEY, PRICE_OBSERVATION, PRICE_PROVENANCE
-from tickerloom.sources.snapshot import StructuralError, snapshot_files
+from tickerloom.sources.snapshot import StructuralError
 
 
 @dataclass(frozen=True)
@@ -129,31 +132,63 @@ def price_drafts(rows: DataFrame, groups: DataFrame, inventory: DataFrame) -> Da
     return invalid.unionByName(conflicts).unionByName(mismatched)
 
 
-def file_counters(outcome: Outcome) -> dict[str, int]:
-    """Row and file outcomes as one aggregate over per-file counts."""
+def file_outcomes(outcome: Outcome) -> DataFrame:
+    """Per file: rows seen, rejected, collapsed and accepted, and whether it is refused.
+
+    A refused file has conflicting copies of a key; all its rows are rejected.
+    """
     seen = outcome.rows.groupBy("relative_path").agg(
         F.count(F.lit(1)).alias("seen"), F.count_if(F.size("reasons") > 0).alias("invalid")
     )
     kept = outcome.groups.groupBy("relative_path").agg(
         F.count(F.lit(1)).alias("keys"),
-        F.sum(F.col("copies") - 1).alias("collapsed"),
-        F.max("conflict").alias("failed"),
+        F.sum(F.col("copies") - 1).alias("copies"),
+        F.max("conflict").alias("conflict"),
     )
-    failed = F.coalesce("failed", F.lit(False))
-    row = (
-        seen.join(kept, "relative_path", "left")
-        .agg(
-            F.sum("seen").alias("rows_seen"),
-            F.sum(F.when(failed, F.col("seen")).otherwise(F.col("invalid"))).alias("rows_rejected"),
-            F.sum(F.when(~failed, F.col("collapsed"))).alias("rows_collapsed_duplicates"),
-            F.sum(F.when(~failed, F.col("keys"))).alias("rows_accepted"),
-            F.count_if(failed).alias("files_failed"),
-        )
-        .first()
+    refused = F.coalesce("conflict", F.lit(False))
+    none = F.lit(0).cast("bigint")
+    return seen.join(kept, "relative_path", "left").select(
+        "relative_path",
+        "seen",
+        refused.alias("refused"),
+        F.when(refused, F.col("seen")).otherwise(F.col("invalid")).alias("rejected"),
+        F.when(refused, none).otherwise(F.coalesce("copies", none)).alias("collapsed"),
+        F.when(refused, none).otherwise(F.coalesce("keys", none)).alias("accepted"),
     )
+
+
+def file_totals(files: DataFrame) -> dict[str, int]:
+    """Sums over `file_outcomes`: rows seen and accepted, files refused."""
+    row = files.agg(
+        F.sum("seen").alias("seen"),
+        F.sum("accepted").alias("accepted"),
+        F.count_if("refused").alias("refused"),
+    ).first()
     return {k: v or 0 for k, v in row.asDict().items()}
 
 
+def lost_rows(files: DataFrame) -> DataFrame:
+    """``(outcome, rows)`` of the rows that reach no comparison."""
+    return files.select(
+        F.explode(
+            F.array(
+                F.struct(F.lit("rows_rejected").alias("outcome"), F.col("rejected").alias("rows")),
+                F.struct(F.lit("rows_collapsed_duplicates").alias("outcome"), F.col("collapsed").alias("rows")),
+            )
+        ).alias("o")
+    ).select("o.*")
+
+
+#: Names of the outcomes of a comparison with the stored table.
+COMPARED = {NEW: "rows_inserted", UNCHANGED: "rows_unchanged", CONFLICT: "rows_conflicted"}
+
+
+def compared_rows(classified: DataFrame) -> DataFrame:
+    """``(outcome, rows)`` of the rows that were compared."""
+    names = F.create_map(*[F.lit(x) for pair in COMPARED.items() for x in pair])
+    return classified.groupBy(names[F.col("outcome")].alias("outcome")).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def staged_rows(store: Store, prepared: Prepared, stage_id: str) -> DataFrame:
     """All data lines of the snapshot, parsed, judged and written to staging.
 
@@ -162,7 +197,7 @@ def staged_rows(store: Store, prepared: Prepared, stage_id: str) -> DataFrame:
     rows = store.stage(
         stage_id,
         "rows",
-        quarantine(prepared.source.rows(snapshot_files(store.spark, prepared.root))),
+        quarantine(prepared.source.rows(prepared.read())),
     )
     changed = changed_files(rows, prepared.inventory)
     if not changed.isEmpty():
@@ -189,29 +224,34 @@ def _stats(accepted_rows: DataFrame) -> dict[str, Any]:
 
 
 def dry_run(store: Store, prepared: Prepared) -> dict[str, Any]:
-    """What a load into empty tables would do; only staging is written."""
-    stage_id = f"dry-run-{prepared.content_sha256[:16]}"
-    rows = staged_rows(store, prepared, stage_id)
-    outcome = process(store, stage_id, rows, prepared.inventory)
-    counted = file_counters(outcome)
-    stock = prepared.inventory.filter("role = 'stock'")
-    files = stock.count()
-    counters = Counters(
-        rows_inserted=counted.pop("rows_accepted"),
-        files_processed=files,
-        securities_created=files,
-        securities_resolved=files,
-        incidents_created=outcome.drafts.select("fingerprint").distinct().count(),
-        **counted,
-    )
-    return {
-        "mode": "dry_run",
-        "identity": {**prepared.identity(), "files_by_role": prepared.roles()},
-        "counters": asdict(counters),
-        "counters_consistent": counters.consistent(),
-        "observations": _stats(outcome.accepted),
-        "rejected_security_batches": _rejected_keys(outcome),
-    }
+    """What a load into empty tables would do; only staging is written, and removed again."""
+    with staging(store, "dry-run") as stage_id:
+        rows = staged_rows(store, prepared, stage_id)
+        outcome = process(store, stage_id, rows, prepared.inventory)
+        files = store.stage(stage_id, "files", file_outcomes(outcome))
+        totals = file_totals(files)
+        inserted = store.spark.range(1).select(
+            F.lit("rows_inserted").alias("outcome"), F.lit(totals["accepted"]).cast("bigint").alias("rows")
+        )
+        counted = balance(outcome_rows(inserted, lost_rows(files))).first().asDict()
+        accounted = counted.pop("rows_accounted")
+        stock = prepared.inventory.filter("role = 'stock'").count()
+        return {
+            "mode": "dry_run",
+            "identity": prepared.described(),
+            "counters_consistent": accounted == totals["seen"],
+            "counters": {
+                "rows_seen": totals["seen"],
+                **counted,
+                "files_processed": stock,
+                "files_failed": totals["refused"],
+                "securities_created": stock,
+                "securities_resolved": stock,
+                "incidents_created": outcome.drafts.select("fingerprint").distinct().count(),
+            },
+            "observations": _stats(outcome.accepted),
+            "rejected_security_batches": _rejected_keys(outcome),
+        }
 
 
 def dry_run_incidents(outcome: Outcome) -> DataFrame:
@@ -254,7 +294,9 @@ def newest_dates(prices: DataFrame) -> DataFrame:
     return prices.groupBy("security_id").agg(F.max("trading_date").alias("stored_date"))
 
 
-def _publish_securities(store: Store, prepared: Prepared, resolved: DataFrame) -> None:
+def _publish_securities(
+    store: Store, publication: Publication, prepared: Prepared, resolved: DataFrame
+) -> None:
     version = F.lit(time.time_ns()).cast("bigint")
     changed = resolved.filter("created OR renamed").select(
         "security_id",
@@ -286,8 +328,8 @@ def _publish_securities(store: Store, prepared: Prepared, resolved: DataFrame) -
             version.alias("version"),
         )
     )
-    store.append("securities", changed)
-    store.append("security_source_keys", keys)
+    publication.append("securities", changed)
+    publication.append("security_source_keys", keys)
 
 
 # --------------------------------------------------------------------------- load
@@ -296,9 +338,10 @@ def _publish_securities(store: Store, prepared: Prepared, resolved: DataFrame) -
 def load_prices(store: Store, prepared: Prepared, *, confirm_revision: str) -> dict[str, Any]:
     """Load a prepared snapshot; returns the run's summary.
 
-    Everything is decided on staged copies first. Only then are securities,
-    incidents and prices appended, prices last, each by one committed append. A
-    rerun finds what is stored and adds only what is missing.
+    Everything is decided on staged copies. Securities, incidents, prices and the run's
+    success then appear together, by one publication; a failed load leaves its run marked
+    and nothing else. A rerun finds what is stored and adds only what is missing. Of two
+    loads at the same time the one that publishes later fails, as its decisions are stale.
     """
     confirm(prepared, confirm_revision)
     run = register(store, prepared)
@@ -307,9 +350,16 @@ def load_prices(store: Store, prepared: Prepared, *, confirm_revision: str) -> d
     except Exception as exc:
         mark_failed(store, prepared, run, exc)
         raise LoadFailed(f"ingestion run {run.run_id} failed: {exc}") from exc
+    finally:
+        store.clear(run.run_id)
+
+
+#: Tables that a load reads to decide what it adds to them.
+DECIDED_BY = ("daily_prices", "securities", "security_source_keys", "data_quality_incidents")
 
 
 def _load(store: Store, prepared: Prepared, run: Run) -> dict[str, Any]:
+    publication = store.begin()
     source_id = prepared.source.source_id
     prices = store.read("daily_prices").filter(F.col("source_id") == source_id)
     stock = prepared.inventory.filter("role = 'stock'")
@@ -362,45 +412,44 @@ def _load(store: Store, prepared: Prepared, run: Run) -> dict[str, Any]:
     )
     if not duplicate_keys(classified, PRICE_KEY).isEmpty():
         raise StructuralError("duplicate keys reached staging")
-    outcomes = outcome_counts(classified).first()
-    counted = file_counters(outcome)
-    counted.pop("rows_accepted")
-    created = resolved.filter("created").count()
-    counters = Counters(
-        rows_inserted=outcomes[NEW],
-        rows_unchanged=outcomes[UNCHANGED],
-        rows_conflicted=outcomes[CONFLICT],
-        files_processed=stock.count(),
-        securities_created=created,
-        securities_resolved=resolved.count(),
-        **counted,
-    )
-    counters.require_consistent()
-
-    _publish_securities(store, prepared, resolved)
-    counters.incidents_created = mismatch_incident(store, prepared, run, resolved)
-    drafts = outcome.drafts.unionByName(conflict_drafts(classified.filter(F.col("outcome") == CONFLICT)))
-    counters.incidents_created += append_incidents(
-        store, drafts, source_id, run.run_id, resolved, run.files, "incidents"
-    )
-    store.append(
-        "daily_prices",
-        classified.filter(F.col("outcome") == NEW)
-        .withColumn("ingestion_run_id", F.lit(run.run_id))
-        .sortWithinPartitions("security_id", "trading_date"),
-    )
-    own = F.col("ingestion_run_id") == run.run_id
-    written = store.read("daily_prices").filter(own).count()
-    if written != counters.rows_inserted:
-        raise RuntimeError(f"{written} rows were written, {counters.rows_inserted} are new")
-    summary = {
-        "mode": "load",
-        "identity": {**prepared.identity(), "files_by_role": prepared.roles()},
-        "observations_accepted": _stats(outcome.accepted),
-        "rejected_security_batches": _rejected_keys(outcome),
-        "run_id": run.run_id,
+    files = store.stage(run.run_id, "files", file_outcomes(outcome))
+    totals = file_totals(files)
+    counters = balanced(outcome_rows(compared_rows(classified), lost_rows(files)), totals["seen"])
+    counters |= {
+        "files_processed": stock.count(),
+        "files_failed": totals["refused"],
+        "securities_created": resolved.filter("created").count(),
+        "securities_resolved": resolved.count(),
     }
-    return finish(store, prepared, run, counters, summary)
+    drafts = outcome.drafts.unionByName(conflict_drafts(classified.filter(F.col("outcome") == CONFLICT)))
+    mismatch = mismatch_drafts(prepared, run)
+    if mismatch is not None:
+        drafts = drafts.unionByName(mismatch)
+    with publication:
+        _publish_securities(store, publication, prepared, resolved)
+        counters["incidents_created"] = append_incidents(
+            store, publication, drafts, source_id, run.run_id, resolved, run.files
+        )
+        publication.append(
+            "daily_prices",
+            classified.filter(F.col("outcome") == NEW)
+            .withColumn("ingestion_run_id", F.lit(run.run_id))
+            .sortWithinPartitions("security_id", "trading_date"),
+        )
+        written = publication.written("daily_prices").count()
+        if written != counters["rows_inserted"]:
+            raise RuntimeError(f"{written} rows were written, {counters['rows_inserted']} are new")
+        summary = {
+            "mode": "load",
+            "identity": prepared.described(),
+            "observations_accepted": _stats(outcome.accepted),
+            "rejected_security_batches": _rejected_keys(outcome),
+            "run_id": run.run_id,
+            "counters": counters,
+        }
+        publication.append_rows("ingestion_runs", [run_row(prepared, run, "succeeded", counters, summary)])
+        publication.publish(unchanged=DECIDED_BY)
+    return summary
 
 
 def conflict_drafts(conflicts: DataFrame) -> DataFrame:

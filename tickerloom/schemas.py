@@ -24,6 +24,14 @@ ROW_FLAGS = ("non_regular_activity_present", "unverified_trading_date")
 KEY_FLAGS = ("source_ticker_column_mismatch",)
 INDEX_FLAGS = ("unverified_trading_date",)
 RUN_STATUSES = ("running", "succeeded", "failed")
+# What becomes of a row of a run.
+ROW_OUTCOMES = (
+    "rows_collapsed_duplicates",
+    "rows_conflicted",
+    "rows_inserted",
+    "rows_rejected",
+    "rows_unchanged",
+)
 INCIDENT_TYPES = (
     "conflicting_observation",
     "conflicting_duplicate_in_snapshot",
@@ -50,6 +58,25 @@ FACTOR_CLASSIFICATIONS = (
 FACTOR_STATUSES = ("applied", "excluded_market_wide_anomaly")
 FILE_ROLES = ("stock", "index", "preview", "other")
 
+# ---- fixed values: names of the rules that stored rows must keep ------------
+ROW_RULES = (
+    "ohlc_relationship",
+    "non_positive_price",
+    "negative_volume_value_frequency",
+    "invalid_trading_status",
+    "status_inconsistent_with_volume",
+    "zero_volume_with_open_high_low",
+    "invalid_row_flags",
+    "unsorted_or_duplicate_row_flags",
+)
+PLACE_RULES = (
+    "price_from_unregistered_or_non_stock_file",
+    "price_file_key_differs_from_security_key",
+    "price_without_source_key",
+    "price_from_unsuccessful_run",
+    "file_snapshot_of_other_source",
+)
+
 # ---- fixed values: event categories and the label each one gives a factor --
 SAME_DAY_LABELS = {"stockSplit": "split", "reverseStock": "reverse_split"}
 LISTING_LAG_LABELS = {
@@ -58,7 +85,7 @@ LISTING_LAG_LABELS = {
     "dividenSaham": "stock_dividend",
 }
 
-# ---- column groups ---------------------------------------------------------
+# ---- fixed values: column groups -------------------------------------------
 PRICE_KEY = ("source_id", "security_id", "trading_date")
 PRICE_OBSERVATION = (
     "open",
