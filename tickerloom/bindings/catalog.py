@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tickerloom.bindings import (  # noqa: F401
+    job_queries,
     load_queries,
     quality_queries,
     registry,

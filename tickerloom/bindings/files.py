@@ -46,11 +46,10 @@ def stock_key(year: Column) -> Column:
     return F.concat(F.lit("S"), F.col("security_id").cast("string"), F.lit("Y"), year.cast("string"))
 
 
-def _stock_files(t: Tables) -> DataFrame:
-    """Bars written the way a source publishes them, with planted bad lines."""
+def _stock_lines(bars: DataFrame) -> DataFrame:
+    """Bars as lines the way a source publishes them, with planted bad ones."""
     rn, sid = F.col("rn"), F.col("security_id")
-    year = F.year("trading_date")
-    key = stock_key(year)
+    key = stock_key(F.year("trading_date"))
     day = F.col("trading_date").cast("string")
     cells = {
         "Date": F.when(rn % 97 == 0, F.replace(day, F.lit("-"), F.lit("/")))
@@ -78,10 +77,49 @@ def _stock_files(t: Tables) -> DataFrame:
     full = F.concat_ws(",", *[cells.get(h, F.lit("0")) for h in STOCK_HEADER])
     line = F.when(rn % 83 == 0, F.concat(day, F.lit(",short"))).otherwise(full)
     path = F.concat(F.lit("dataset/stocks/csv/"), key, F.lit(".csv"))
-    return _as_files(
-        t.numbered_bars.select(path.alias("relative_path"), "trading_date", line.alias("line")),
-        STOCK_HEADER,
+    return bars.select(path.alias("relative_path"), "trading_date", line.alias("line"))
+
+
+def _stock_files(t: Tables) -> DataFrame:
+    return _as_files(_stock_lines(t.numbered_bars), STOCK_HEADER, "relative_path")
+
+
+def stock_edition(t: Tables, edition: int) -> DataFrame:
+    """Two snapshots of the same securities.
+
+    The first lacks every tenth row; one file in ten repeats its last line, and one in 23
+    has that line once more with another flag. The second is whole, without copies, and
+    prints another reference price on some rows.
+    """
+    rn, sid = F.col("rn"), F.col("security_id")
+    bars = t.numbered_bars
+    if edition == 1:
+        bars = bars.filter(rn % 10 != 9)
+    else:
+        other = (F.col("reference_price") + 1).cast("decimal(20,4)")
+        changed = F.when((sid + rn) % 37 == 0, other).otherwise(F.col("reference_price"))
+        bars = bars.withColumn("reference_price", changed)
+    files = _as_files(_stock_lines(bars), STOCK_HEADER, "relative_path")
+    if edition != 1:
+        return files
+    named = F.regexp_extract("relative_path", r"S(\d+)Y(\d+)\.csv$", 1).cast("bigint") + F.regexp_extract(
+        "relative_path", r"Y(\d+)\.csv$", 1
+    ).cast("bigint")
+    text = F.col("content").cast("string")
+    last = F.element_at(F.split(text, "\r\n"), -2)
+    flipped = F.when(last.endswith(",5,0,0"), F.regexp_replace(last, ",5,0,0$", ",0,0,0")).otherwise(
+        F.regexp_replace(last, ",0,0,0$", ",5,0,0")
+    )
+    extra = F.concat(
+        F.when(named % 10 == 0, F.concat(last, F.lit("\r\n"))).otherwise(""),
+        F.when(named % 23 == 0, F.concat(flipped, F.lit("\r\n"))).otherwise(""),
+    )
+    content = F.encode(F.concat(text, extra), "UTF-8")
+    return files.select("relative_path", content.alias("content")).select(
         "relative_path",
+        F.sha2("content", 256).alias("sha256"),
+        F.octet_length("content").alias("size_bytes"),
+        "content",
     )
 
 
@@ -133,11 +171,10 @@ def _json_files(entries: DataFrame, name: str, wrap: Column) -> DataFrame:
     )
 
 
-def _event_files(t: Tables) -> DataFrame:
-    """Orders as event records, grouped by priority as category."""
+def _event_record(after: Column) -> Column:
     key = F.col("o_orderkey")
     day = F.to_date("o_orderdate").cast("string")
-    record = F.concat(
+    return F.concat(
         F.lit('{"id":'),
         key.cast("string"),
         F.lit(',"KodeEmiten":'),
@@ -153,13 +190,18 @@ def _event_files(t: Tables) -> DataFrame:
                 F.when(key % 5 == 0, "null").otherwise((key % 900 - F.when(key % 23 == 0, 1000).otherwise(0)).cast("string")),
             )
         ),
-        F.lit(',"JumlahSahamSetelahTindakan":"12.5"}'),
+        F.lit(',"JumlahSahamSetelahTindakan":"'),
+        after,
+        F.lit('"}'),
     )
-    block = F.floor(key / BLOCK)
-    records = t.table("orders").select(
-        block.alias("block"),
+
+
+def _event_documents(orders: DataFrame) -> DataFrame:
+    """Event records in ``r`` as documents of a block each, grouped by priority as category."""
+    records = orders.select(
+        F.floor(F.col("o_orderkey") / BLOCK).alias("block"),
         F.col("o_orderpriority").alias("category"),
-        F.struct(key.alias("k"), record.alias("r")).alias("s"),
+        F.struct(F.col("o_orderkey").alias("k"), "r").alias("s"),
     )
     categories = records.groupBy("block", "category").agg(
         F.count(F.lit(1)).alias("n"),
@@ -179,6 +221,25 @@ def _event_files(t: Tables) -> DataFrame:
     return _json_files(docs, "corporateActions.json", wrap)
 
 
+def _event_files(t: Tables) -> DataFrame:
+    return _event_documents(t.table("orders").withColumn("r", _event_record(F.lit("12.5"))))
+
+
+def event_edition(t: Tables, edition: int) -> DataFrame:
+    """Two snapshots of the same events.
+
+    The first lacks every tenth event; some are given twice, some with another share count.
+    The second is whole, without copies, and has other counts on some events.
+    """
+    key, orders = F.col("o_orderkey"), t.table("orders")
+    if edition != 1:
+        return _event_documents(orders.withColumn("r", _event_record(F.when(key % 7 == 0, "14.5").otherwise("12.5"))))
+    first = orders.filter(key % 10 != 9)
+    plain = first.withColumn("r", _event_record(F.lit("12.5")))
+    other = first.filter(key % 90 == 0).withColumn("r", _event_record(F.lit("13.5")))
+    return _event_documents(plain.unionByName(plain.filter(key % 40 == 0)).unionByName(other))
+
+
 def _dividend_files(t: Tables) -> DataFrame:
     """Orders as dividend records, grouped by ticker."""
     key = F.col("o_orderkey")
