@@ -13,6 +13,7 @@ from tickerloom.bindings import (  # noqa: F401
     registry,
     series_queries,
     text_queries,
+    verify_queries,
 )
 
 

@@ -172,3 +172,49 @@ def counters(store: Store) -> DataFrame:
     """``(source_id, run, name, value)`` of every counter in the runs' summaries."""
     found = F.from_json(F.get_json_object("validation_summary", "$.counters"), "map<string, bigint>")
     return runs(store).select("source_id", "run", F.explode(found).alias("name", "value"))
+
+
+def copied(source: Store, store: Store, *but: str) -> None:
+    """Every published table of `source`, except those named, in one publication."""
+    with store.begin() as publication:
+        for table in source.manifest().tables:
+            if table not in but:
+                publication.append(table, source.read(table))
+
+
+def tampered_prices(t: Tables) -> Store:
+    """The first load with rows taken out, changed, moved to no file, and copied far ahead."""
+
+    def fill(store: Store) -> None:
+        source = first_load(t)
+        line, day = F.col("source_line"), F.col("trading_date")
+        rows = source.read("daily_prices").filter(line % 41 != 3).withColumns(
+            {
+                "close": F.when(line % 43 == 4, F.lit(-1).cast("decimal(20,4)")).otherwise(F.col("close")),
+                "file_id": F.when(line % 37 == 6, F.lit(1 << 40)).otherwise(F.col("file_id")),
+            }
+        )
+        ahead = rows.filter(line % 59 == 7).withColumn("trading_date", F.date_add(day, 3653))
+        copied(source, store, "daily_prices")
+        store.append("daily_prices", rows.unionByName(ahead))
+        open_run = source.read("ingestion_runs").filter("status = 'succeeded'").limit(1)
+        store.append(
+            "ingestion_runs",
+            open_run.withColumns({"ingestion_run_id": F.lit("left open"), "status": F.lit("running")}),
+        )
+
+    return once(t, "tampered-prices", fill)
+
+
+def tampered_records(t: Tables) -> Store:
+    """The record loads with events taken out and changed."""
+
+    def fill(store: Store) -> None:
+        source = record_loads(t)
+        key = F.col("source_record_id").cast("bigint")
+        label = F.when(key % 13 == 1, "y").otherwise(F.col("source_action_label"))
+        rows = source.read("corporate_action_events").filter(key % 11 != 1).withColumn("source_action_label", label)
+        copied(source, store, "corporate_action_events")
+        store.append("corporate_action_events", rows)
+
+    return once(t, "tampered-records", fill)
