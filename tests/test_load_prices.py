@@ -75,13 +75,16 @@ def test_content_hash_covers_every_file(spark, tmp_path):
 
 
 @pytest.mark.parametrize("name", [".gitattributes", "_notes.csv", "_older/x.txt", "dataset/.cache/y.txt"])
-def test_names_that_cannot_be_read_are_refused(spark, tmp_path, name):
-    root = write_prices(tmp_path / "s", few_stocks())
-    path = tmp_path / "s" / name
+def test_hidden_names_are_files_like_any_other(spark, tmp_path, name):
+    root = write_prices(tmp_path / "s [1] {a}", few_stocks())
+    before = {r.relative_path for r in snapshot_files(spark, root).collect()}
+    path = tmp_path / "s [1] {a}" / name
     path.parent.mkdir(exist_ok=True)
     path.write_text("x")
-    with pytest.raises(StructuralError, match="cannot be read"):
-        snapshot_files(spark, root)
+    found = {r.relative_path: r for r in snapshot_files(spark, root).collect()}
+    assert set(found) - before == {name} and found[name].size_bytes == 1
+    assert found[name].sha256 == hashlib.sha256(b"x").hexdigest()
+    assert prepared(spark, root).roles()["other"] == 2
 
 
 @pytest.mark.parametrize(

@@ -55,11 +55,11 @@ def accepted(groups: DataFrame, batch: Sequence[str] | None = None) -> DataFrame
 
 
 def require_no_conflicts(groups: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """`groups` unchanged; raises with up to five examples when copies conflict."""
-    bad = groups.filter("conflict").select(*keys).limit(5).collect()
+    """`groups` unchanged; raises with the five least keys when copies conflict."""
+    bad = groups.filter("conflict").select(*keys).orderBy(*keys).limit(5).collect()
     if bad:
         raise ConflictingDuplicates(
-            "conflicting duplicate keys, e.g. " + "; ".join(str(tuple(r)) for r in bad)
+            "conflicting duplicate keys, e.g. " + "; ".join(", ".join(map(str, r)) for r in bad)
         )
     return groups
 

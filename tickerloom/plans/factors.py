@@ -420,7 +420,8 @@ def write_build(store: Store, build: FactorBuild) -> str:
     ):
         store.replace_scope(
             table,
-            df.withColumn("build_id", F.lit(build_id)).sortWithinPartitions(*order),
+            # Files hold disjoint ranges of keys, so a reader skips those it does not ask for.
+            df.withColumn("build_id", F.lit(build_id)).repartitionByRange(*order).sortWithinPartitions(*order),
             {
                 "price_source_id": build.price_source_id,
                 "method_version": build.method.version,

@@ -12,6 +12,17 @@ def _open(spark: SparkSession, path: str):
     return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    where, fs = _open(spark, path)
+    return fs.exists(where)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme."""
+    where, fs = _open(spark, path)
+    return fs.makeQualified(where).toString().rstrip("/")
+
+
 def names(spark: SparkSession, folder: str) -> list[str]:
     """Names in a folder, none if there is no such folder."""
     where, fs = _open(spark, folder)

@@ -33,6 +33,7 @@ from tickerloom.plans.registration import (
 )
 from tickerloom.plans.store import Publication, Store
 from tickerloom.schemas import KEY_FLAGS, PRICE_KEY, PRICE_OBSERVATION, PRICE_PROVENANCE
+from tickerloom.sources.adapters import RAW
 from tickerloom.sources.snapshot import StructuralError
 
 
@@ -192,8 +193,11 @@ def compared_rows(classified: DataFrame) -> DataFrame:
 def staged_rows(store: Store, prepared: Prepared, stage_id: str) -> DataFrame:
     """All data lines of the snapshot, parsed, judged and written to staging.
 
-    Files are hashed again from the bytes that are parsed; changed files are fatal.
+    Files are hashed again from the bytes that are parsed; changed files are fatal, and so
+    is a source whose prices are not raw: adjusted ones must never meet the stored rows.
     """
+    if prepared.source.basis != RAW:
+        raise StructuralError(f"prices are {prepared.source.basis}; only raw prices are loaded")
     rows = store.stage(
         stage_id,
         "rows",
@@ -201,7 +205,7 @@ def staged_rows(store: Store, prepared: Prepared, stage_id: str) -> DataFrame:
     )
     changed = changed_files(rows, prepared.inventory)
     if not changed.isEmpty():
-        paths = sorted(r[0] for r in changed.select("relative_path").limit(5).collect())
+        paths = [r[0] for r in changed.select("relative_path").orderBy("relative_path").limit(5).collect()]
         raise StructuralError(f"files changed since they were inventoried: {paths}")
     return rows
 

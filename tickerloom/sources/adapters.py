@@ -75,6 +75,8 @@ STOCK_HEADER = (
     "NonRegularValue",
     "NonRegularFrequency",
 )
+#: Basis of prices as they were traded.
+RAW = "raw"
 INDEX_HEADER = (
     "Date",
     "Previous",
@@ -107,7 +109,12 @@ class Source:
 
 
 class PriceSource(Source):
-    """A source of one price file per security."""
+    """A source of one price file per security.
+
+    `basis` says whether prices are as traded (`RAW`) or adjusted by the vendor.
+    """
+
+    basis: str = RAW
 
     def inspected(self, files: DataFrame) -> DataFrame:
         """Facts of every file: role, key, rows, newest name and date, problem."""
@@ -358,9 +365,9 @@ class DividendsJsonSource(_OneJsonFile):
 def data_files(source: RecordSource, files: DataFrame) -> DataFrame:
     """The files holding records; raises when there are none or strays exist."""
     path = F.col("relative_path")
-    strays = files.filter(source.is_unexpected(path)).select(path).limit(5).collect()
+    strays = files.filter(source.is_unexpected(path)).select(path).orderBy(path).limit(5).collect()
     if strays:
-        raise StructuralError(f"unexpected files {sorted(r[0] for r in strays)}")
+        raise StructuralError(f"unexpected files {[r[0] for r in strays]}")
     chosen = files.filter(source.is_data_file(path))
     if chosen.select(path).isEmpty():
         raise StructuralError("data files missing from the snapshot")

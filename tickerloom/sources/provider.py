@@ -12,8 +12,8 @@ from tickerloom.functions.validate import hard_codes, price_issues
 from tickerloom.operators.dedupe import key_groups, require_no_conflicts
 from tickerloom.plans.durable import durable
 from tickerloom.schemas import PRICE_OBSERVATION
-from tickerloom.sources.adapters import StockCsvSource
-from tickerloom.sources.snapshot import snapshot_files
+from tickerloom.sources.adapters import STOCK_PATH, StockCsvSource
+from tickerloom.sources.snapshot import StructuralError, listed_files, read_files, snapshot_files
 
 
 class NotProvided(NotImplementedError):
@@ -48,6 +48,24 @@ class SnapshotPrices:
     def _rows(self) -> DataFrame:
         return self.source.rows(snapshot_files(self.spark, self.root))
 
+    def security_file(self, security_id: str) -> DataFrame:
+        """The listed file of one security; raises if there is none."""
+        key = self.spark.range(1).select(self.source.source_key(F.lit(security_id))).first()[0]
+        named = self.source.classify(F.col("relative_path")) == "stock"
+        mine = F.regexp_extract("relative_path", STOCK_PATH, 1) == F.lit(key)
+        found = durable(listed_files(self.spark, self.root).filter(named & mine))
+        if key is None or found.isEmpty():
+            raise UnknownSecurity(security_id)
+        return found
+
+    def _security_rows(self, security_id: str) -> DataFrame:
+        """Rows of one security; no other file is opened."""
+        files = durable(read_files(self.security_file(security_id), self.root))
+        broken = self.source.inspected(files).filter("problem IS NOT NULL").select("problem").first()
+        if broken:
+            raise StructuralError(f"{security_id}: {broken[0]}")
+        return self.source.rows(files)
+
     def list_securities(self) -> DataFrame:
         """One row per stock file, named by its newest row."""
         stock = self.source.inspected(snapshot_files(self.spark, self.root)).filter("role = 'stock'")
@@ -72,12 +90,9 @@ class SnapshotPrices:
         Hard-invalid rows and conflicting duplicates raise with up to five
         examples. Expected conditions (no open, no trade) are returned.
         """
-        rows = self._rows()
-        if security_id is not None:
-            wanted = self.spark.range(1).select(self.source.source_key(F.lit(security_id))).first()[0]
-            rows = rows.filter(F.col("source_key") == F.lit(wanted))
-            if wanted is None or rows.isEmpty():
-                raise UnknownSecurity(security_id)
+        if str(start) > str(end):
+            raise ValueError(f"start {start} is after end {end}")
+        rows = self._rows() if security_id is None else self._security_rows(security_id)
         # Read three times below; written once so that files are parsed once.
         judged = durable(
             rows.withColumn(
@@ -115,7 +130,8 @@ class SnapshotPrices:
     @staticmethod
     def _require_none(bad: DataFrame) -> None:
         ref = record_ref(F.col("relative_path"), F.col("sha256"), F.col("source_line"))
-        found = bad.select(ref.alias("ref"), F.array_join("reasons", ",").alias("why")).limit(5).collect()
+        least = bad.orderBy("relative_path", "source_line").limit(5)
+        found = least.select(ref.alias("ref"), F.array_join("reasons", ",").alias("why")).collect()
         if found:
             raise InvalidPrices("; ".join(f"{r['ref']}: {r['why']}" for r in found))
 

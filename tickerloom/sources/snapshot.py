@@ -1,8 +1,9 @@
 """Files of an immutable snapshot folder: listing, hashes, identity, manifest.
 
-A file is the unit of hashing (SHA-256 of its bytes), so a file is read whole by
-one task; files are spread over tasks. Spark's file sources skip names that
-start with ``.`` or ``_``, so a snapshot that contains such files is refused.
+Folders are listed in tasks, and files are read in tasks, each once: its
+size, its SHA-256 and its content are those of the same bytes. Every file counts, whatever
+its name and also without bytes (Spark's own file sources leave out names that begin with
+``.`` or ``_``). A file is the unit of hashing, so one task reads it whole.
 """
 
 from __future__ import annotations
@@ -14,10 +15,14 @@ from dataclasses import dataclass
 from datetime import datetime
 
 import pandas as pd
-from pyspark.errors import AnalysisException
+import pyarrow as pa
+from py4j.protocol import Py4JJavaError
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickerloom.plans import folders
+
 MANIFEST_NAME = "manifest.json"
 
 
@@ -37,21 +42,14 @@ class Manifest:
     licence_reference: str
 
 
-def _missing(exc: AnalysisException) -> bool:
-    return exc.getCondition() in ("PATH_NOT_FOUND", "FAILED_READ_FILE.FILE_NOT_EXIST")
-
-
 def read_manifest(
     spark: SparkSession, root: str, source_id: str, default_url: str, default_licence: str
 ) -> Manifest:
     """The snapshot's manifest with defaults filled in."""
     path = f"{root.rstrip('/')}/{MANIFEST_NAME}"
     try:
-        text = spark.read.text(path, wholetext=True).first()
-        raw = json.loads(text["value"] if text else "")
-    except AnalysisException as exc:
-        if not _missing(exc):
-            raise
+        raw = json.loads(folders.read_text(spark, path))
+    except Py4JJavaError as exc:
         raise StructuralError(f"cannot read {path}") from exc
     except json.JSONDecodeError as exc:
         raise StructuralError(f"cannot read {path}: {exc}") from exc
@@ -77,73 +75,93 @@ def read_manifest(
     )
 
 
-def qualified(spark: SparkSession, path: str) -> str:
-    """The path the way Spark's file sources report it (scheme included)."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.makeQualified(hadoop).toString()
+def _opened(root: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a qualified folder, and the folder's path in it.
 
+    The path is taken as it is: characters that mean something in a pattern or in a URI do
+    not here.
+    """
+    scheme, _, rest = root.partition(":")
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    host, _, path = rest.removeprefix("//").partition("/")
+    system, base = fs.FileSystem.from_uri(f"{scheme}://{host}/")
+    return system, f"{base.rstrip('/')}/{path}"
 
-def hidden_names(spark: SparkSession, root: str) -> list[str]:
-    """Up to five files or folders below `root` that Spark's file sources would skip.
 
-    One listing a level; only the names found travel to Python.
-    """
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    top = hadoop(root)
-    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    base, level = fs.makeQualified(top).toString().rstrip("/"), ""
-    while True:
-        found = fs.globStatus(hadoop(f"{base}{level}/[._]*")) or ()
-        if len(found):
-            names = [found[i].getPath().toString() for i in range(min(5, len(found)))]
-            return [n.removeprefix(base + "/") for n in names]
-        level += "/*"
-        if not len(fs.globStatus(hadoop(base + level)) or ()):
-            return []
-
-
-def empty_files(spark: SparkSession, root: str, read: int) -> list[str]:
-    """Paths of files without bytes, which Spark's file sources leave out.
-
-    They are looked for only where the folder holds more files than were read.
+def listed_files(spark: SparkSession, root: str) -> DataFrame:
+    """``(relative_path, size_bytes)`` of every file below a folder but its manifest.
+
+    One task lists the first two levels; the folders found there are dealt to tasks, each
+    of which lists all that lies below. No name reaches the driver.
     """
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    top = hadoop(root)
-    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.getContentSummary(top).getFileCount() == read:
-        return []
-    base, level, out = fs.makeQualified(top).toString().rstrip("/"), "/*", []
-    while len(found := fs.globStatus(hadoop(base + level)) or ()):
-        out += [f.getPath().toString() for f in found if f.isFile() and f.getLen() == 0]
-        level += "/*"
-    return [p.removeprefix(base + "/") for p in out]
-
-
-def snapshot_files(spark: SparkSession, root: str) -> DataFrame:
+    if not folders.exists(spark, root):
+        raise StructuralError(f"snapshot folder {root} does not exist")
+    base = folders.qualified(spark, root)
+
+    def rows(found: list[fs.FileInfo], top: str) -> pa.RecordBatch:
+        return pa.record_batch(
+            [
+                pa.array([i.path[len(top) :].lstrip("/") for i in found], pa.string()),
+                pa.array([i.size if i.is_file else None for i in found], pa.int64()),
+            ],
+            names=["relative_path", "size_bytes"],
+        )
+
+    def first_levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, top = _opened(base)
+        for batch in batches:
+            for _ in range(batch.num_rows):
+                for info in system.get_file_info(fs.FileSelector(top)):
+                    deeper = fs.FileSelector(info.path)
+                    yield rows([info] if info.is_file else system.get_file_info(deeper), top)
+
+    def below(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, top = _opened(base)
+        for batch in batches:
+            paths, sizes = (batch.column(c).to_pylist() for c in ("relative_path", "size_bytes"))
+            waiting = [f"{top}/{p}" for p, s in zip(paths, sizes, strict=True) if s is None]
+            yield batch.filter(batch.column("size_bytes").is_valid())
+            while waiting:
+                found = system.get_file_info(fs.FileSelector(waiting.pop()))
+                waiting += [i.path for i in found if not i.is_file]
+                yield rows([i for i in found if i.is_file], top)
+
+    schema = "relative_path string, size_bytes bigint"
+    top = spark.range(1).mapInArrow(first_levels, schema)
+    spread = top.repartition(spark.sparkContext.defaultParallelism, "relative_path")
+    return spread.mapInArrow(below, schema).filter(F.col("relative_path") != MANIFEST_NAME)
+
+
+def read_files(files: DataFrame, root: str) -> DataFrame:
+    """``(relative_path, size_bytes, sha256, content)`` of listed files; others are not opened."""
+    spark = files.sparkSession
+    base = folders.qualified(spark, root)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, top = _opened(base)
+        for batch in batches:
+            for name in batch.column("relative_path").to_pylist():
+                with system.open_input_file(f"{top}/{name}") as file:
+                    content = file.read()
+                digest = hashlib.sha256(content).hexdigest()
+                yield pa.record_batch(
+                    [pa.array([name]), pa.array([len(content)], pa.int64()), pa.array([digest]), pa.array([content], pa.binary())],
+                    names=["relative_path", "size_bytes", "sha256", "content"],
+                )
+
+    # A folder may hold all files, so they are dealt to tasks by name, several to a core.
+    spread = files.select("relative_path").repartition(2 * spark.sparkContext.defaultParallelism, "relative_path")
+    return spread.mapInArrow(read, "relative_path string, size_bytes bigint, sha256 string, content binary")
+
+
+def snapshot_files(spark: SparkSession, root: str, only: Column | None = None) -> DataFrame:
     """``(relative_path, size_bytes, sha256, content)`` of every file but the manifest.
 
-    Hash and content come from the same read of the same bytes.
+    `only` is a condition on the path; files that do not meet it are listed, not opened.
     """
-    base = qualified(spark, root).rstrip("/") + "/"
-    try:
-        files = (
-            spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-        )
-    except AnalysisException as exc:
-        if not _missing(exc):
-            raise
-        raise StructuralError(f"snapshot folder {root} does not exist") from exc
-    if hidden := hidden_names(spark, root):
-        raise StructuralError(f"snapshot holds names that cannot be read: {', '.join(hidden)}")
-    relative = F.substring("path", F.lit(len(base) + 1), F.length("path"))
-    found = files.select(relative.alias("relative_path"), F.col("length").alias("size_bytes"), "content")
-    if empty := empty_files(spark, root, files.select("length").count()):
-        rows = [(name, 0, b"") for name in empty]
-        found = found.union(spark.createDataFrame(rows, found.schema))
-    return found.select(
-        "relative_path", "size_bytes", F.sha2("content", 256).alias("sha256"), "content"
-    ).filter(F.col("relative_path") != MANIFEST_NAME)
+    files = listed_files(spark, root)
+    return read_files(files if only is None else files.filter(only), root)
 
 
 def listing_hashes(files: DataFrame, group: Sequence[str] = ()) -> DataFrame:
@@ -154,14 +172,15 @@ def listing_hashes(files: DataFrame, group: Sequence[str] = ()) -> DataFrame:
     paths and hashes take part, never file content.
     """
     keys = list(group)
-    rows = files.select(*keys, "relative_path", "sha256")
+    line = F.concat("relative_path", F.lit("\0"), "sha256", F.lit("\n")).alias("line")
+    rows = files.select(*keys, "relative_path", line)
     spread = rows.repartition(*keys) if keys else rows.repartition(1)
     ordered = spread.sortWithinPartitions(*keys, "relative_path")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, digest, count = None, None, 0
         for batch in batches:
-            lines = [f"{p}\0{h}\n" for p, h in zip(batch["relative_path"], batch["sha256"])]
+            lines = batch["line"].tolist()
             owners = list(zip(*[batch[k] for k in keys])) if keys else [()] * len(batch)
             start = 0
             for i in range(1, len(owners) + 1):
