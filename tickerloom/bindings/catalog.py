@@ -12,6 +12,7 @@ from tickerloom.bindings import (  # noqa: F401
     quality_queries,
     registry,
     series_queries,
+    structure_queries,
     text_queries,
     verify_queries,
 )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, Window
@@ -135,9 +135,7 @@ def failed_load(t: Tables) -> Store:
             changed = whole.read().withColumn("content", content)
             return changed.withColumn("sha256", F.sha2("content", 256))
 
-        later = Prepared(
-            STOCK, whole.root, whole.manifest, altered, whole.inventory, whole.file_count, whole.content_sha256
-        )
+        later = replace(whole, read=altered)
         try:
             load_prices(store, later, confirm_revision="r1")
         except LoadFailed:
@@ -146,6 +144,23 @@ def failed_load(t: Tables) -> Store:
     return once(t, "failed-load", fill)
 
 
+def adjusted_load(t: Tables) -> Store:
+    """A load from a source that says its prices are adjusted."""
+
+    @dataclass(frozen=True)
+    class Adjusted(StockCsvSource):
+        basis: str = "adjusted"
+
+    def fill(store: Store) -> None:
+        whole = prices(t, 1)
+        try:
+            load_prices(store, replace(whole, source=Adjusted(SOURCE)), confirm_revision="r1")
+        except LoadFailed:
+            pass
+
+    return once(t, "adjusted-load", fill)
+
+
 def record_loads(t: Tables) -> Store:
     """Events (twice the first edition, then the second), dividends and indices (twice each)."""
 

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tickerloom.bindings import derived
 from tickerloom.bindings.derived import SOURCE, Tables
 from tickerloom.bindings.registry import query
-from tickerloom.bindings.series_queries import build
 from tickerloom.functions.digest import row_fingerprint
 from tickerloom.functions.normalize import normalize_ticker, record_ref
 from tickerloom.operators import compare, dedupe, upsert
@@ -19,7 +18,6 @@ from tickerloom.plans.durable import durable
 from tickerloom.plans.incidents import draft, new_incidents
 from tickerloom.plans.load_prices import compared_rows, conflict_drafts, resolve_securities
 from tickerloom.plans.registration import balance, outcome_rows
-from tickerloom.plans.store import Store
 from tickerloom.schemas import (
     DIVIDEND_OBSERVATION,
     FILE_ROLES,
@@ -490,22 +488,6 @@ def listing(t: Tables) -> DataFrame:
     )
 
 
-@query(
-    "s1_file_listing",
-    """SELECT 'docs/' || lang || '/' || doc_id AS relative_path, octet_length(encode(text)) AS size_bytes FROM documents""",
-)
-def _(t: Tables) -> DataFrame:
-    return listing(t).select("relative_path", "size_bytes")
-
-
-@query(
-    "s2_file_hashes",
-    "SELECT doc_id, sha256(text) AS sha256 FROM documents",
-)
-def _(t: Tables) -> DataFrame:
-    return listing(t).select("doc_id", "sha256")
-
-
 _HASHES = """SELECT doc_id // 1000 AS block, count(*) AS files,
     sha256(string_agg('docs/' || lang || '/' || doc_id || chr(0) || sha256(text) || chr(10), '' ORDER BY 'docs/' || lang || '/' || doc_id)) AS content_sha256
     FROM documents GROUP BY 1"""
@@ -614,23 +596,6 @@ def _(t: Tables) -> DataFrame:
     return factors.distinct_succeeded(snapshots, runs)
 
 
-@query(
-    "k6_rebuild_factors",
-    """SELECT factor_kind, status, count(*) AS n FROM all_factors GROUP BY factor_kind, status""",
-    "all_factors",
-)
-def _(t: Tables) -> DataFrame:
-    target = Store(t.spark, f"{t.store.root}-rebuild")
-    fresh = build(t)
-    factors.write_build(target, fresh)
-    factors.write_build(target, fresh)
-    return (
-        target.read("price_adjustment_factors")
-        .groupBy("factor_kind", "status")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-
-
 @query(
     "p9_record_ref",
     """SELECT doc_id, 'docs/' || lang || '/' || doc_id || '@sha256:' || sha256(text) || '#line=' || (doc_id % 50) AS ref

@@ -75,7 +75,7 @@ def read_manifest(
     )
 
 
-def _opened(root: str) -> tuple[fs.FileSystem, str]:
+def opened(root: str) -> tuple[fs.FileSystem, str]:
     """The file system of a qualified folder, and the folder's path in it.
 
     The path is taken as it is: characters that mean something in a pattern or in a URI do
@@ -109,7 +109,7 @@ def listed_files(spark: SparkSession, root: str) -> DataFrame:
         )
 
     def first_levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, top = _opened(base)
+        system, top = opened(base)
         for batch in batches:
             for _ in range(batch.num_rows):
                 for info in system.get_file_info(fs.FileSelector(top)):
@@ -117,7 +117,7 @@ def listed_files(spark: SparkSession, root: str) -> DataFrame:
                     yield rows([info] if info.is_file else system.get_file_info(deeper), top)
 
     def below(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, top = _opened(base)
+        system, top = opened(base)
         for batch in batches:
             paths, sizes = (batch.column(c).to_pylist() for c in ("relative_path", "size_bytes"))
             waiting = [f"{top}/{p}" for p, s in zip(paths, sizes, strict=True) if s is None]
@@ -139,7 +139,7 @@ def read_files(files: DataFrame, root: str) -> DataFrame:
     base = folders.qualified(spark, root)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, top = _opened(base)
+        system, top = opened(base)
         for batch in batches:
             for name in batch.column("relative_path").to_pylist():
                 with system.open_input_file(f"{top}/{name}") as file:
