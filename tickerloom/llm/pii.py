@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 #: Kinds in the order of a digest: the four base kinds, then those the method adds.
 BASE = ("email", "ip", "card", "phone")
-ADDED = ("url", "iban", "account")
+ADDED = ("url", "iban", "account", "secret")
 KINDS = BASE + ADDED
 MASKS = {k: f"<{k.upper()}>" for k in KINDS}
 
@@ -29,9 +29,15 @@ _PHONE = re.compile(r"[0-9][ ().0-9-]+")
 _URL = re.compile(r"[^\s<>\"'`|]+")
 _AUTHORITY = re.compile(r"[^\s<>\"'`|/]+")
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
-_ACCOUNT = re.compile(r"[ \t]*(?:number|no\.?|nr\.?|id)?[ \t]*[:=#][ \t]*([A-Za-z]{0,3}-?[0-9][0-9A-Za-z-]{4,33})")
-#: Words after which an identifier follows, lower case.
+_ACCOUNT = re.compile(
+    r"[ \t]*(?:number|no\.?|nr\.?|id)?[ \t]*[:=#]?[ \t]*([A-Za-z]{0,3}-?[0-9][0-9A-Za-z-]{4,33})", re.I
+)
+_SECRET = re.compile(r"[\"']?[ \t]*[:=][ \t]*[\"']?([A-Za-z0-9_+/=.~-]{8,512})")
+_KEY_BLOCK = re.compile(r"[A-Z ]{0,40}PRIVATE KEY-----")
+#: Words after which an identifier or a secret follows, lower case.
 CUES = ("account", "acct", "ssn", "passport", "tax id", "customer id", "member id")
+SECRET_CUES = ("token", "secret", "password", "passwd", "api_key", "api-key", "apikey", "access_key")
+_LOWER = {c: c + 32 for c in range(65, 91)}
 
 
 def _automaton() -> ahocorasick.Automaton:
@@ -42,8 +48,10 @@ def _automaton() -> ahocorasick.Automaton:
     out.add_word("+", "plus")
     out.add_word("://", "scheme")
     for cue in CUES:
-        for form in {cue, cue.capitalize(), cue.upper()}:
-            out.add_word(form, "cue")
+        out.add_word(cue, "cue")
+    for cue in SECRET_CUES:
+        out.add_word(cue, "secret")
+    out.add_word("-----begin ", "block")
     out.make_automaton()
     return out
 
@@ -77,7 +85,8 @@ class Finder:
         done = dict.fromkeys(KINDS, 0)
         found: list[tuple[str, int, int]] = []
         run_end = -1
-        for at, kind in self._anchors.iter(text):
+        # Cues are found in any case; lower-casing ASCII letters moves no position.
+        for at, kind in self._anchors.iter(text.translate(_LOWER)):
             if kind == "digit":
                 if at > run_end:
                     run_end = self._digits(text, at, done, found)
@@ -87,8 +96,12 @@ class Finder:
                 self._phone(text, at, found)
             elif kind == "scheme":
                 self._url(text, at - 2, done, found)
-            else:
+            elif kind == "cue":
                 self._account(text, at + 1, done, found)
+            elif kind == "secret":
+                self._secret(text, at + 1, done, found)
+            else:
+                self._key_block(text, at, done, found)
         order = {k: i for i, k in enumerate(KINDS)}
         return sorted(found, key=lambda s: (order[s[0]], s[1]))
 
@@ -99,7 +112,7 @@ class Finder:
             end += 1
         if at >= done["ip"] and text[end : end + 1] == "." and (m := _IP.match(text, at)):
             done["ip"] = m.end()
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+            if all(len(p) <= 3 and int(p or 0) <= 255 for p in (q.lstrip("0") for q in m[0].split("."))):
                 found.append(("ip", at, m.end()))
         if at >= done["card"] and (m := _CARD.match(text, at)):
             done["card"] = m.end()
@@ -156,6 +169,26 @@ class Finder:
                 found.append(("account", m.start(1), m.end(1)))
 
 
+    def _secret(self, text: str, at: int, done: dict, found: list) -> None:
+        """The value given to a name like ``token``: letters and digits, eight characters or more."""
+        if (m := _SECRET.match(text, at)) and m.start(1) >= done["secret"]:
+            if any(c.isdigit() for c in m[1]) and any(c.isalpha() for c in m[1]):
+                done["secret"] = m.end(1)
+                found.append(("secret", m.start(1), m.end(1)))
+
+    def _key_block(self, text: str, at: int, done: dict, found: list) -> None:
+        """A private key from its first line to its last."""
+        m = _KEY_BLOCK.match(text, at + 1)
+        if m and at - 10 >= done["secret"] and m[0] not in done:
+            end = text.find(f"-----END {m[0]}", m.end())
+            if end < 0:
+                # No later block of this name ends either.
+                done[m[0]] = at
+                return
+            done["secret"] = end + len("-----END ") + len(m[0])
+            found.append(("secret", at - 10, done["secret"]))
+
+
 def mask(text: str, spans: list[tuple[str, int, int]]) -> str:
     """`text` with every span replaced by its kind; of overlapping spans the union goes."""
     out, at = [], 0
@@ -241,4 +274,5 @@ def pii_digests(docs: DataFrame) -> DataFrame:
         *[count(k).alias(f"n_{k}") for k in BASE],
         F.sha2(text(base), 256).alias("base_sha256"),
         text(F.col("spans")).alias("spans"),
+        F.size("spans").cast("bigint").alias("n_spans"),
     )
