@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import time
 from collections import Counter
 
 import pytest
@@ -128,3 +129,30 @@ def test_extract(spark):
 def test_long_and_deep_pages():
     assert html.main_text("<div>" * 20000 + "x" + "</div>" * 20000) == ""
     assert len(html.main_text(f"<article>{'<p>word</p>' * 20000}</article>")) == 20000 * 5 - 1
+
+
+WORDS = "the keeper of the light was in the tower and it was for the boats that he lit it "
+
+
+@pytest.mark.parametrize("start", ['<a name="top">', '<a id="x"/>', '<a href="/home">Home</a><a name=top>'])
+def test_anchors_that_are_no_links_lose_no_text(start):
+    page = f"<body>{start}<article><p>{WORDS * 4}</p><p>{WORDS * 3}</p></article></body>"
+    assert (WORDS * 4).strip() in html.main_text(page)
+
+
+def test_a_link_ends_with_its_block():
+    page = f'<body><div><a href="/x">more</div><p>{WORDS * 4}</p></body>'
+    assert (WORDS * 4).strip() in html.main_text(page)
+
+
+def test_articles_in_other_languages():
+    text = "смотритель маяка каждый вечер зажигал огонь чтобы лодки видели берег " * 5
+    page = f'<body><ul><li><a href="/">главная</a></li></ul><p>{text}</p><p>{text}</p></body>'
+    assert html.main_text(page) == "\n".join([text.strip()] * 2)
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<", "<!--", "<p", "</"])
+def test_a_megabyte_of_unclosed_markup_is_quick(piece):
+    start = time.time()
+    html.main_text(f"<p>{WORDS}</p>" + piece * ((1 << 20) // len(piece)))
+    assert time.time() - start < 2

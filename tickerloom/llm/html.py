@@ -12,6 +12,7 @@ import html as entities
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,6 +21,8 @@ LENGTH_LOW = 70
 LENGTH_HIGH = 200
 STOP_LOW = 0.15
 STOP_HIGH = 0.30
+#: Share of stop words in a page's long blocks below which its language is not a known one.
+STOP_NONE = 0.05
 LINKS_HIGH = 0.5
 
 #: Frequent function words of English, German, French and Spanish (fixed values).
@@ -82,6 +85,7 @@ BESIDE = frozenset(
 HEADS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ROOTS = LANDMARK | frozenset(("html", "body"))
 _WORD = re.compile(r"[^\W\d_]+")
+_HREF = re.compile(r"(?:^|[\s\"'])href\s*=", re.I)
 
 
 @dataclass
@@ -93,6 +97,12 @@ class Block:
     label: str = ""
     region: int = -1
 
+    @cached_property
+    def stop_words(self) -> tuple[int, int]:
+        """Stop words, and all words."""
+        words = _WORD.findall(self.text.lower())
+        return sum(w in STOP_WORDS for w in words), len(words)
+
 
 @dataclass
 class Region:
@@ -156,6 +166,8 @@ def blocks(page: str) -> list[Block]:
     in_link = marked = False
     article = articles = 0
     at, size = 0, len(page)
+    # Behind the last closing sign nothing can be a tag.
+    last = page.rfind(">") + 1
 
     def flush() -> None:
         nonlocal text, links
@@ -166,14 +178,16 @@ def blocks(page: str) -> list[Block]:
         text, links = [], []
 
     while at < size:
-        m = _TOKEN.search(page, at)
-        piece = page[at : m.start() if m else size]
+        m = _TOKEN.search(page, at, last) if at < last else None
+        piece = page[at : m.start()] if m else page[at:].partition("<!--")[0]
         if piece:
             text.append(piece)
             if in_link:
                 links.append(piece)
         if m is None:
             break
+        if m[0].startswith("<!--") and not m[0].endswith("-->"):
+            break
         at = m.end()
         name = (m[2] or m[5] or "").lower()
         closing = bool(m[1] or m[4])
@@ -186,13 +200,14 @@ def blocks(page: str) -> list[Block]:
                 at = end.end() if end else (at if name == "head" else size)
             continue
         if name == "a":
-            in_link = not closing
+            # An anchor without an address, or an empty one, is no link.
+            in_link = not closing and not attributes.endswith("/") and _HREF.search(attributes) is not None
         elif name == "br":
             text.append(" ")
         if name not in BLOCK:
             continue
         flush()
-        marked = False
+        marked = in_link = False
         if name not in CONTAINER:
             marked = not closing and _chrome(name, attributes, bool(article))[0]
         elif not closing:
@@ -229,11 +244,12 @@ def _settle(found: list[Block], regions: list[Region], landmarks: dict[int, int]
     for k, r in enumerate(regions):
         open_[k] = open_[k] and (r.parent < 0 or open_[r.parent])
     shown = [b for b in found if not b.chrome and (b.region < 0 or open_[b.region])]
+    known = known_language(shown)
     articles: dict[int, list[int]] = {}
     good = [0] * len(regions)
     total = 0
     for b in shown:
-        size = len(b.text) if first_pass(b) == "good" else 0
+        size = len(b.text) if first_pass(b, known) == "good" else 0
         total += size
         if b.region >= 0:
             good[b.region] += size
@@ -257,15 +273,24 @@ def _settle(found: list[Block], regions: list[Region], landmarks: dict[int, int]
         b.chrome = b.chrome or (b.region >= 0 and out[b.region])
 
 
-def first_pass(block: Block) -> str:
-    """``good``, ``bad``, or the ambiguous ``near`` and ``short``."""
+def known_language(found: list[Block]) -> bool:
+    """Whether the long blocks have stop words at all."""
+    long = [b.stop_words for b in found if not b.chrome and len(b.text) >= LENGTH_LOW]
+    return sum(s for s, _ in long) >= STOP_NONE * sum(n for _, n in long)
+
+
+def first_pass(block: Block, known: bool = True) -> str:
+    """``good``, ``bad``, or the ambiguous ``near`` and ``short``.
+
+    Where the language is not `known`, length and link density decide.
+    """
     size = len(block.text)
     if block.link_chars > LINKS_HIGH * size:
         return "bad"
-    words = [w.lower() for w in _WORD.findall(block.text)]
-    density = sum(w in STOP_WORDS for w in words) / max(1, len(words))
     if size < LENGTH_LOW:
         return "short"
+    stop, words = block.stop_words
+    density = stop / max(1, words) if known else 1
     if density >= STOP_HIGH:
         return "good" if size > LENGTH_HIGH else "near"
     if density >= STOP_LOW or block.inside:
@@ -311,8 +336,9 @@ def second_pass(found: list[Block]) -> None:
 def main_text(page: str | None) -> str:
     """The article of a page, one line a block; empty where there is none."""
     found = blocks(page or "")
+    known = known_language(found)
     for block in found:
-        block.label = "bad" if block.chrome else first_pass(block)
+        block.label = "bad" if block.chrome else first_pass(block, known)
     second_pass(found)
     return "\n".join(b.text for b in found if b.label == "good")
 
