@@ -408,6 +408,9 @@ def keep_one(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> D
 
     Of rows that are alike in id and text one stays. Documents without words all stay.
     """
+    names = docs.columns
+    # Columns go by number meanwhile, so that none can be taken for one made here.
+    docs = docs.toDF(*[c if c in ("doc_id", "text") else f"c{k}" for k, c in enumerate(names)])
     rows = linked(docs, width, percent)
     filled = F.col("n") > 0
     group = F.struct(
@@ -428,7 +431,7 @@ def keep_one(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> D
     twice = rows.groupBy("doc_id", "text_hash").count().where("count > 1")
     twice = staged(twice.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")))
     if twice.isEmpty():
-        return single.drop("_text_hash")
+        return single.drop("_text_hash").toDF(*names)
     once = single.join(twice, same, "left_anti")
     again = single.join(twice, same, "left_semi").dropDuplicates(["doc_id", "_text_hash"])
-    return once.unionByName(again).drop("_text_hash")
+    return once.unionByName(again).drop("_text_hash").toDF(*names)
