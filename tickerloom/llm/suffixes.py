@@ -186,6 +186,8 @@ def _texts(rows: DataFrame, keys: DataFrame, inside: bool, once: bool = False) -
     return rows.mapInArrow(run, rows.schema)
 
 
+#: Text of one chunk of strings; each of them takes 29 bytes in the arrays of its chunk.
+CHUNK_BYTES = 3 << 19
 #: Types of a string's key beside its first 64 bits, and of its count, two at most.
 _LOW_TYPE, _COUNT_TYPE = np.uint32, np.uint8
 
@@ -228,7 +230,7 @@ def _single_strings(rows: DataFrame, work: DataFrame, length: int, size: int) ->
     `work` has one site for each distinct whole; `weight` is 2 where that whole itself
     occurs more than once.
     """
-    chunk = K.chunk_of(max(8, -(-size // K.CHUNK_BYTES)), "text_hash")
+    chunk = K.chunk_of(max(8, -(-size // CHUNK_BYTES)), "text_hash")
     strings = work.agg(F.sum(F.col("high") - F.col("low") + 1)).first()[0] or 0
     buckets = bucket_count(4 * strings)  # a quarter of the usual memory a bucket
     texts = _texts(rows, work.select("text_hash").distinct(), True, once=True).withColumn("chunk", chunk)
