@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -460,3 +461,43 @@ def test_quality_limits_follow_the_group(spark):
 def test_quality_empty(no_documents):
     assert quality.judged(no_documents).count() == 0
     assert quality.quality_filter(no_documents).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("text", "kind"),
+    [
+        ("Account Number: 12345678", "account"),
+        ("account number 12345678", "account"),
+        ("Tax ID: 12345678", "account"),
+        ('token = "f3ef4d6b2755a36d7d9c25bd72c4d5f67e061fda"', "secret"),
+        ("API_KEY: abcd1234efgh", "secret"),
+        ("x -----BEGIN RSA PRIVATE KEY-----\nMIIB\n-----END RSA PRIVATE KEY----- y", "secret"),
+    ],
+)
+def test_pii_added_kinds(text, kind):
+    assert [k for k, _, _ in pii.Finder().find(text) if k == kind] == [kind]
+
+
+def test_pii_clean_texts_and_long_parts():
+    finder = pii.Finder()
+    assert finder.find("the account of 1999 says the token was lost; secret = maybe") == []
+    zeros = "0" * 5000
+    assert [k for k, _, _ in finder.find(f"{zeros}1.{zeros}2.{zeros}3.{zeros}4")] == ["ip"]
+    assert finder.find(f"{zeros}1.{zeros}2.{zeros}3.{zeros}999") == []
+    start = time.time()
+    finder.find("-----BEGIN PRIVATE KEY-----" * 40_000)
+    finder.find("token = " * 100_000)
+    assert time.time() - start < 5
+
+
+CLASHING = ("_hits", "_items", "_n_words", "_hits0", "_id", "_hash", "_text_hash", "hits", "n", "k", "g", "count", "v")
+
+
+def test_stages_keep_columns_named_like_helpers(spark, texts):
+    rows = [(i, t, *[f"{c}{k}" for c in CLASHING]) for k, (i, t) in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, " + ", ".join(f"{c} string" for c in CLASHING))
+    items = spark.createDataFrame([(1, texts[11][1])], "item_id bigint, text string")
+    for out in (contamination.decontaminate(docs, items), similar.keep_one(docs, 5, 80)):
+        assert out.columns == docs.columns
+        kept = {tuple(r) for r in out.collect()}
+        assert kept and kept < set(rows)

@@ -37,7 +37,10 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class Transducer:
-    """Encodes byte strings; `max_states` bounds memory, at the bound all states are dropped."""
+    """Encodes byte strings; `max_states` bounds memory, at the bound all states are dropped.
+
+    So are the seams that were checked for them.
+    """
 
     def __init__(self, ranks: dict[bytes, int], max_states: int = 160_000) -> None:
         self.ranks = ranks
@@ -55,11 +58,11 @@ class Transducer:
                     self._token_at.append(-1)
                 node = step
             self._token_at[node] = rank
-        self._spines: dict[tuple[int, int], list[tuple[bytes, int]]] = {}
-        self._seams: dict[tuple[int, int], bool] = {}
         self._reset()
 
     def _reset(self) -> None:
+        self._spines: dict[tuple[int, int], list[tuple[bytes, int]]] = {}
+        self._seams: dict[tuple[int, int], bool] = {}
         self._ids = {(((), -1, ROOT),): 0}
         self._states: list[tuple] = [(((), -1, ROOT),)]
         #: By ``state << 9 | byte``: the next state, shifted likewise, and what is emitted.
@@ -198,8 +201,10 @@ class Utf8:
 class Encoder:
     """Encodes texts by pattern and transducer; caches the ids of pieces up to a bound."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, max_pieces: int = 120_000) -> None:
-        self._fst = Transducer(ranks)
+    def __init__(
+        self, ranks: dict[bytes, int], pattern: str, max_pieces: int = 120_000, max_states: int = 160_000
+    ) -> None:
+        self._fst = Transducer(ranks, max_states)
         self._split = regex.compile(pattern).findall
         self._max = max_pieces
         self._known: dict[str, list[int]] = {}
@@ -244,10 +249,13 @@ class Decoder:
 
 
 def encode(
-    docs: DataFrame, ranks: dict[bytes, int], pattern: str, back: bool = False
+    docs: DataFrame, ranks: dict[bytes, int], pattern: str, back: bool = False, share: int = 1
 ) -> DataFrame:
     """``(doc_id, ids)`` of every row; with `back` also the ``text`` they decode to.
 
+    A worker keeps one `share`-th of the usual states and pieces, for jobs in which it holds
+    other things too.
+
     Null text reads as empty and has no ids. Repeated rows and null ids give a row each.
     Texts are encoded whole; memory follows the longest text. The ranks travel with the
     tasks, their size is that of one vocabulary.
@@ -256,7 +264,7 @@ def encode(
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec, decoder = worker_encoder(shared.value, pattern), Decoder(shared.value)
+        codec, decoder = worker_encoder(shared.value, pattern, share), Decoder(shared.value)
         for batch in batches:
             for at in range(0, len(batch), ROWS):
                 part = batch.slice(at, ROWS)
@@ -304,10 +312,10 @@ def decode(rows: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
 
 
 def bpe_digests(
-    docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep_ids: bool = False
+    docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep_ids: bool = False, share: int = 1
 ) -> DataFrame:
     """Number of ids, digest of the ids and digest of what they decode to."""
-    back = encode(docs, ranks, pattern, back=True)
+    back = encode(docs, ranks, pattern, True, share)
     return back.select(
         "doc_id",
         *(["ids"] if keep_ids else []),
@@ -317,13 +325,13 @@ def bpe_digests(
     )
 
 
-_ENCODERS: dict[tuple[int, str], Encoder] = {}
+_ENCODERS: dict[tuple[int, str, int], Encoder] = {}
 
 
-def worker_encoder(ranks: dict[bytes, int], pattern: str) -> Encoder:
+def worker_encoder(ranks: dict[bytes, int], pattern: str, share: int = 1) -> Encoder:
     """The encoder of this Python worker; its states serve all tasks that run in it."""
-    key = (hash(frozenset(ranks.items())), pattern)
+    key = (hash(frozenset(ranks.items())), pattern, share)
     if key not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(ranks, pattern)
+        _ENCODERS[key] = Encoder(ranks, pattern, 120_000 // share, 160_000 // share)
     return _ENCODERS[key]
