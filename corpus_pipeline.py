@@ -48,7 +48,7 @@ def pii_masking(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, checked by decoding them."""
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    return bpe.bpe_digests(docs, ranks, public_tokenizers.PATTERN, keep_ids=True)
+    return bpe.bpe_digests(docs, ranks, public_tokenizers.PATTERN, keep_ids=True, share=4)
 
 
 STAGES = [
