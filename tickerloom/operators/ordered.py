@@ -17,6 +17,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickerloom.operators.sizes import checked
+
 CHUNK_DAYS = 366
 _CHUNK = "_chunk"
 
@@ -177,40 +179,45 @@ def asof_forward(
     """Give each left row the earliest right row dated on or after it.
 
     The hit is a struct column ``name`` of ``right_on`` and ``take`` (NULL when
-    there is none). Both sides are merged in one ordered scan, so the work is
-    linear in their sizes and no pairs are formed.
+    there is none). Of the right side only two kinds of rows are looked at: those in a chunk
+    that holds a left row, and the first row of the chunk that follows one. So what is
+    shuffled and sorted follows the left side; the right side is scanned, and counted by
+    (key, chunk). No pairs are formed.
     """
     group = [*keys, _CHUNK]
-    hit = F.struct(F.col(right_on).alias("date"), *[F.col(c) for c in take])
-    union = (
-        right.select(*keys, F.col(right_on).alias("_d"), F.lit(0).alias("_side"), hit.alias("_hit"))
-        .unionByName(
-            left.select(
-                *keys,
-                F.col(left_on).alias("_d"),
-                F.lit(1).alias("_side"),
-                F.struct(*[F.col(c) for c in left.columns]).alias("_left"),
-            ),
-            allowMissingColumns=True,
-        )
-        .withColumn(_CHUNK, chunk_of(F.col("_d"), days))
-    )
-    # The struct starts with the date, so its minimum is the earliest right row.
-    heads = union.groupBy(*group).agg(F.min("_hit").alias("_head"))
+    probes = left.select(
+        *keys,
+        F.col(left_on).alias("_d"),
+        F.lit(1).alias("_side"),
+        F.struct(*[F.col(c) for c in left.columns]).alias("_left"),
+    ).withColumn(_CHUNK, chunk_of(F.col("_d"), days))
+    rows = right.select(*keys, F.col(right_on).alias("_d"), *take).withColumn(_CHUNK, chunk_of(F.col("_d"), days))
+    asked = checked(probes.select(*group).distinct())
+    heads = rows.groupBy(*group).agg(F.min("_d").alias("_head"))
     later = (
         Window.partitionBy(*keys)
         .orderBy(F.col(_CHUNK).desc())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    carry = heads.select(*group, F.last("_head", ignorenulls=True).over(later).alias("_next"))
+    # One row a (key, chunk) on either side.
+    following = checked(
+        heads.join(asked.withColumn("_asked", F.lit(True)), group, "full_outer")
+        .select(*group, "_asked", F.last("_head", ignorenulls=True).over(later).alias("_d"))
+        .filter(F.col("_asked") & F.col("_d").isNotNull())
+        .drop("_asked")
+    )
+    within = rows.join(asked, group, "left_semi")
+    behind = rows.drop(_CHUNK).join(following, [*keys, "_d"])
+    hit = F.struct(F.col("_d").alias("date"), *[F.col(c) for c in take]).alias("_hit")
+    seen = within.unionByName(behind).select(*group, "_d", F.lit(0).alias("_side"), hit)
     newest_first = (
         Window.partitionBy(*group)
         .orderBy(F.col("_d").desc(), F.col("_side"))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        union.withColumn("_local", F.last("_hit", ignorenulls=True).over(newest_first))
+        seen.unionByName(probes, allowMissingColumns=True)
+        .withColumn(name, F.last("_hit", ignorenulls=True).over(newest_first))
         .filter(F.col("_side") == 1)
-        .join(carry, group, "left")
-        .select("_left.*", F.coalesce("_local", "_next").alias(name))
+        .select("_left.*", name)
     )
