@@ -186,6 +186,7 @@ FAULTS = [
     (csv_line(line("MOON", WED, "6x3")), "High='6x3' is not a number"),
     (csv_line(line("MOON", "05/03/2019", 63)), "malformed date"),
     (csv_line(line("MOON", MON, 63, Volume="5.00000000001")), "Volume='5.00000000001' is not an integer"),
+    (csv_line(line("MOON", "2019-02-24", 63, Volume="1e-11")), "Volume='1e-11' is not an integer"),
     (csv_line(line("MOON", "2019-03-01", "1e17")), "is out of range"),
     (csv_line(line("MOON", "2019-02-28", 63, "1e17")), "Previous='1e17' is out of range"),
     (csv_line(line("MOON", "2019-02-27", 63, Value="1e21")), "Value='1e21' is out of range"),

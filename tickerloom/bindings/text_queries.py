@@ -422,11 +422,14 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "p4_integers",
-    f"""SELECT o_orderkey AS id, CASE WHEN v = floor(v) THEN CAST(v AS BIGINT) END AS value
-    FROM (SELECT o_orderkey, {_NUMBER} AS v FROM orders) x""",
+    f"""SELECT o_orderkey AS id, CASE WHEN o_orderkey % 30 IN (1, 11) THEN NULL WHEN o_orderkey % 30 = 21 THEN 125
+      WHEN v = floor(v) THEN CAST(v AS BIGINT) END AS value FROM (SELECT o_orderkey, {_NUMBER} AS v FROM orders) x""",
 )
 def _(t: Tables) -> DataFrame:
-    return order_text(t).select("id", normalize.integer(F.col("number_text")).alias("value"))
+    part = F.col("id") % 30
+    exact = F.when(part == 1, "1e-11").when(part == 11, "5.00000000001e0").when(part == 21, " 12.50E1")
+    text = F.when(part.isin(1, 11, 21), exact).otherwise(F.col("number_text"))
+    return order_text(t).select("id", normalize.integer(text).alias("value"))
 
 
 @query(

@@ -32,6 +32,9 @@ WHITESPACE = (
 #: A fraction that is not zero, written without an exponent.
 FRACTION_PATTERN = r"^[^eE.]*\.[0-9]*[1-9][^eE]*\z"
 
+#: Digits before and after the point, and the exponent, of a number that has one.
+EXPONENT_PATTERN = r"^[+-]?([0-9]*)\.?([0-9]*)[eE]([+-]?[0-9]{1,4})\z"
+
 NUMBER = "decimal(38,10)"  # wide enough to test a value before it is rounded
 
 
@@ -83,13 +86,27 @@ def is_whole(value: Column) -> Column:
     return value == F.floor(value)
 
 
+def written_fraction(text: Column) -> Column:
+    """Whether a number has a fraction as it is written, however small.
+
+    With an exponent, the digits after the moved point must all be zeros.
+    """
+    plain = strip(text)
+    before, after, exponent = (F.regexp_extract(plain, EXPONENT_PATTERN, i) for i in (1, 2, 3))
+    digits = F.concat(before, after)
+    kept = F.rtrim(digits, F.lit("0"))
+    moved = F.length(after) - F.coalesce(exponent.try_cast("int"), F.lit(0))
+    moved_fraction = (kept != "") & (moved > F.length(digits) - F.length(kept))
+    return F.when(plain.rlike("[eE]"), moved_fraction).otherwise(plain.rlike(FRACTION_PATTERN))
+
+
 def integer(text: Column) -> Column:
-    """Whole number in `text` (``5`` or ``5.0``), NULL otherwise.
+    """Whole number in `text` (``5``, ``5.0`` or ``0.5e1``), NULL otherwise.
 
     The text is asked as well: a fraction too small for `NUMBER` is rounded away in it.
     """
     value = number(text)
-    whole = is_whole(value) & ~text.rlike(FRACTION_PATTERN)
+    whole = is_whole(value) & ~written_fraction(text)
     return F.when(whole, value).try_cast("bigint")
 
 
@@ -178,7 +195,7 @@ def _number_reason(header: Sequence[str], name: str) -> Column:
 
 def _integer_reason(header: Sequence[str], name: str) -> Column:
     text = cell(F.col("cells"), header, name)
-    fraction = ~is_whole(F.col(f"_n_{name}")) | text.rlike(FRACTION_PATTERN)
+    fraction = ~is_whole(F.col(f"_n_{name}")) | written_fraction(text)
     return F.coalesce(
         _number_reason(header, name),
         F.when(fraction, F.concat(F.lit(f"{name}="), _quoted(text), F.lit(" is not an integer"))),
