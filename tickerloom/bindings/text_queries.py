@@ -10,7 +10,7 @@ from tickerloom.bindings.derived import SOURCE, Tables
 from tickerloom.bindings.registry import query
 from tickerloom.functions import normalize
 from tickerloom.operators.dedupe import accepted, key_groups
-from tickerloom.plans.durable import durable
+from tickerloom.plans.durable import written
 from tickerloom.schemas import EVENT_OBSERVATION
 from tickerloom.sources import json_records
 from tickerloom.sources.adapters import ActionsJsonSource, IndexCsvSource, StockCsvSource
@@ -41,7 +41,7 @@ def staged(rows: DataFrame) -> DataFrame:
     A filter on ``reasons`` would otherwise be pushed below the projection and
     parse every cell a second time.
     """
-    return durable(rows)
+    return written(rows)
 
 
 def reasons() -> Column:
@@ -94,8 +94,8 @@ def _(t: Tables) -> DataFrame:
     "stock_lines",
 )
 def _(t: Tables) -> DataFrame:
-    rows = stock_rows(t).filter(F.size("reasons") == 0)
-    return rows.drop("relative_path", "sha256", "source_line", "cells", "reasons")
+    rows = STOCK.rows(files.stock_files(t)).drop("relative_path", "sha256", "source_line", "cells")
+    return staged(rows).filter(F.size("reasons") == 0).drop("reasons")
 
 
 @query(

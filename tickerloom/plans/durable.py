@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +27,20 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL[app]
 
 
+def written(df: DataFrame) -> DataFrame:
+    """`df` computed once as compressed Parquet, of which later steps read the columns they need.
+
+    Hadoop removes it when Spark ends.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/written-{uuid.uuid4().hex}"
+    schema = df.schema
+    df.write.parquet(path)
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return spark.read.schema(schema).parquet(path)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Compute `df` once and cut its lineage; the copy survives lost executors."""
     spark = df.sparkSession
