@@ -63,6 +63,10 @@ def _is_string(field: str) -> Column:
     return F.coalesce(F.schema_of_variant(value) == "STRING", F.lit(False))
 
 
+#: Declared counts as numbers: a text that looks like one is none.
+_DECLARED = "categories map<string, struct<count: double>>, totalRecordsAllTypes double"
+
+
 def _parsed_actions(files: DataFrame) -> DataFrame:
     doc = F.from_json(decoded(F.col("content")), _ACTIONS)
     return files.withColumn("doc", doc)
@@ -72,8 +76,10 @@ def action_problems(files: DataFrame) -> DataFrame:
     """Structural problems: not JSON, no categories, wrong declared counts."""
     blocks = F.map_entries("doc.categories")
     no_list = F.exists(blocks, lambda b: b["value"]["data"].isNull())
+    told = F.col("declared.categories")
     wrong = F.filter(
-        blocks, lambda b: ~b["value"]["count"].eqNullSafe(F.size(b["value"]["data"]).cast("string"))
+        blocks,
+        lambda b: ~F.try_element_at(told, b["key"])["count"].eqNullSafe(F.size(b["value"]["data"]).cast("double")),
     )
     total = F.aggregate(blocks, F.lit(0), lambda a, b: a + F.size(b["value"]["data"]))
     problem = (
@@ -91,12 +97,13 @@ def action_problems(files: DataFrame) -> DataFrame:
             ),
         )
         .when(
-            ~F.col("doc.totalRecordsAllTypes").eqNullSafe(total.cast("string")),
+            ~F.col("declared.totalRecordsAllTypes").eqNullSafe(total.cast("double")),
             "totalRecordsAllTypes differs from the records",
         )
     )
     return (
         _parsed_actions(files)
+        .withColumn("declared", F.from_json(decoded(F.col("content")), _DECLARED))
         .select("relative_path", problem.alias("problem"))
         .filter("problem IS NOT NULL")
     )
