@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tickerloom.operators.ordered import with_lags, with_row_number
 from tickerloom.plans.durable import durable, shared_folder
+from tickerloom.plans.folders import remove_at_end
 from tickerloom.plans.store import Store
 from tickerloom.schemas import DIVIDEND, MONEY, PRICE
 
@@ -53,6 +54,7 @@ class Tables:
         mark = (self.spark.sparkContext.applicationId, self.store.root, name)
         if mark not in _WRITTEN:
             self.store.append(name, build())
+            remove_at_end(self.spark, self.store.root)
             _WRITTEN.add(mark)
         return self.store.read(name)
 
@@ -62,6 +64,7 @@ class Tables:
         mark = (self.spark.sparkContext.applicationId, self.store.root, name)
         if mark not in _WRITTEN:
             build().write.mode("overwrite").parquet(path)
+            remove_at_end(self.spark, self.store.root)
             _WRITTEN.add(mark)
         return self.spark.read.parquet(path)
 

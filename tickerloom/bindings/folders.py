@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickerloom.bindings.derived import Tables
-from tickerloom.plans.folders import qualified
+from tickerloom.plans.folders import qualified, remove_at_end
 from tickerloom.sources.snapshot import opened
 
 _WRITTEN: dict[tuple[str, str], str] = {}
@@ -38,5 +38,6 @@ def folder(t: Tables, name: str, files: DataFrame) -> str:
 
     written = files.select("relative_path", "content").mapInArrow(write, "files bigint")
     written.agg(F.sum("files")).collect()
+    remove_at_end(t.spark, root)
     _WRITTEN[mark] = root
     return root

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tickerloom.bindings import derived, files
 from tickerloom.bindings.derived import SOURCE, Tables
+from tickerloom.plans.folders import remove_at_end
 from tickerloom.plans.load_prices import load_prices
 from tickerloom.plans.load_records import load_records
 from tickerloom.plans.registration import LoadFailed, Prepared, prepare_prices, prepare_records
@@ -87,6 +88,7 @@ def once(t: Tables, name: str, fill: Callable[[Store], None]) -> Store:
     if mark not in _DONE:
         store = Store(t.spark, f"{t.store.root}-{name}-{uuid.uuid4().hex[:8]}")
         fill(store)
+        remove_at_end(t.spark, store.root)
         _DONE[mark] = store
     return _DONE[mark]
 

@@ -465,11 +465,10 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     found = durable(breaks(t))
-    flagged = anomalies(t, found).select("trading_date", F.lit(True).alias("a"))
     by_date = t.bars.groupBy("trading_date").agg(F.count(F.lit(1)).alias("n"))
     return (
-        by_date.join(F.broadcast(flagged), "trading_date", "left")
-        .groupBy(F.col("a").isNull().alias("reliable"))
+        series.marked_reliable(by_date, anomalies(t, found))
+        .groupBy("reliable")
         .agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("dates"))
     )
 

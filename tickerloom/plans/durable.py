@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tickerloom.plans import folders
+
 _LOCAL: dict[str, str] = {}
 
 
@@ -36,8 +38,7 @@ def written(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/written-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.parquet(path)
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    folders.remove_at_end(spark, path)
     return spark.read.schema(schema).parquet(path)
 
 
@@ -46,4 +47,6 @@ def durable(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
+        # Spark's own subfolder of this application.
+        folders.remove_at_end(spark, spark.sparkContext.getCheckpointDir())
     return df.checkpoint()

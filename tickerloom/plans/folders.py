@@ -63,6 +63,12 @@ def put_text(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
+def remove_at_end(spark: SparkSession, path: str) -> None:
+    """Let Hadoop remove a folder, which must exist, when Spark ends."""
+    where, fs = _open(spark, path)
+    fs.deleteOnExit(where)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     where, fs = _open(spark, path)
     fs.delete(where, True)

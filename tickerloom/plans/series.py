@@ -34,6 +34,14 @@ class AmbiguousScope(ValueError):
     """Factors of several sources or methods where one is needed."""
 
 
+def marked_reliable(rows: DataFrame, anomalies: DataFrame) -> DataFrame:
+    """Rows with ``reliable``: their ``trading_date`` is no anomaly date."""
+    flagged = anomalies.select("trading_date", F.lit(True).alias("_anomaly"))
+    # At most one anomaly row per calendar day: safe to broadcast.
+    joined = rows.join(F.broadcast(flagged), "trading_date", "left")
+    return joined.withColumn("reliable", F.col("_anomaly").isNull()).drop("_anomaly")
+
+
 def adjusted_bars(
     prices: DataFrame,
     factors: DataFrame,
@@ -71,11 +79,9 @@ def adjusted_bars(
         {"price_multiplier": "price_factor", "total_multiplier": "total_factor"},
         same_day=["dividend_amount"],
     )
-    flagged = anomalies.select("trading_date", F.lit(True).alias("_anomaly"))
     close, reference = F.col("close"), F.col("reference_price")
     dividend = F.coalesce("dividend_amount", F.lit(0).cast(DIVIDEND))
-    # At most one anomaly row per calendar day: safe to broadcast.
-    return scanned.join(F.broadcast(flagged), "trading_date", "left").select(
+    return marked_reliable(scanned, anomalies).select(
         "security_id",
         "trading_date",
         close,
@@ -85,7 +91,7 @@ def adjusted_bars(
         dividend.alias("dividend"),
         (close.cast("double") * F.col("price_multiplier")).alias("adj_close"),
         (close.cast("double") * F.col("total_multiplier")).alias("tr_adj_close"),
-        F.col("_anomaly").isNull().alias("reliable"),
+        "reliable",
     )
 
 
