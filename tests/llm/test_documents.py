@@ -74,7 +74,7 @@ def test_lm_windows_score_each_subword_once_and_causally():
     again, _ = model.score(changed, targets, place)
     at = 2 * lm.BLOCK + 5
     assert np.allclose(found[:at], again[:at]) and not np.allclose(found[at:], again[at:])
-    logits = model.forward(inputs[:1], inputs[1:2], np.array([False]))["logits"]
+    logits = model.forward(inputs[:2], np.array([False]))["logits"]
     total = np.exp(logits - np.log(np.exp(logits).sum(axis=1, keepdims=True)))
     last = inputs[1]
     inside = np.exp(model.inside[last])
@@ -82,20 +82,21 @@ def test_lm_windows_score_each_subword_once_and_causally():
     assert np.allclose((total * share).sum(axis=1), 1, atol=1e-3)
 
 
-def test_lm_trains_on_every_block_once(documents, texts):
+def test_lm_packs_hold_every_text_and_rounds_every_block_once(documents, texts):
     subwords = lm.Subwords(RANKS, public_tokenizers.PATTERN)
+    rows = documents.select("doc_id", "text").withColumn("held_out", lm.held_out())
     got, want = Counter(), Counter()
-    for r in lm._statistics(documents, subwords).where("slice < 0").collect():
-        parts = lm._windows([bytes(r["cells"])], subwords.end)
-        assert len(parts[0]) == r["blocks"] and 0 <= r["draw"] < lm.ROUNDS
-        got.update(tuple(np.concatenate([np.ravel(x) for x in w]).tolist()) for w in zip(*parts, strict=True))
-    data = [(t or "").encode() for _, t in texts]
+    key = lambda i, g, first: tuple(np.concatenate((i, g, [first])).tolist())
+    packed = lm.packs(rows, subwords).select("held", *lm._TOKENS).toArrow()
+    for t, learn in lm._chunks(packed.to_batches()):
+        for r in range(lm.ROUNDS):
+            inputs, targets, place = t.blocks(subwords, learn[r :: lm.ROUNDS])
+            got.update(key(i, g, p == 0) for i, g, p in zip(inputs, targets, place, strict=True))
+    held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2
+    data = [(t or "").encode() for i, t in texts if not held(i)]
     offsets = np.concatenate(([0], np.cumsum([len(d) for d in data])))
     t = lm.Tokens.read(np.frombuffer(b"".join(data), np.uint8), offsets, subwords)
-    inputs, targets, place = t.blocks(subwords, np.arange(len(data)))
-    for k, p in enumerate(place):
-        before = inputs[k - 1] if p else np.zeros(lm.BLOCK, np.int64)
-        want[tuple(np.concatenate((before, inputs[k], targets[k], [p == 0])).tolist())] += 1
+    want.update(key(i, g, p == 0) for i, g, p in zip(*t.blocks(subwords, np.arange(len(data))), strict=True))
     assert got == want
 
 
@@ -104,22 +105,30 @@ def test_lm_gradients_and_training():
     rng = np.random.default_rng(4)
     model = lm.Model.of(np.ones((subwords.size + 2,) * 2, np.int64), subwords.begins_word())
     ids = np.tile(rng.integers(0, 200, 40), 2000)[: 3200 * lm.BLOCK].reshape(-1, lm.BLOCK)
-    before, targets = np.roll(ids, 1, axis=0), np.roll(ids.ravel(), -1).reshape(ids.shape)
-    first = np.zeros(len(ids), bool)
-    loss = lambda: -model.score(ids, targets, np.arange(len(ids)))[0].mean()
+    targets = np.roll(ids.ravel(), -1).reshape(ids.shape)
+    place, state = np.arange(len(ids)), lm.Adam()
+    loss = lambda: -model.score(ids, targets, place)[0].mean()
     start = loss()
-    for _ in range(3):
-        model.train(before, ids, targets, first)
+    for _ in range(6):
+        model.train(ids, targets, place, state)
     assert loss() < 0.7 * start
     wide = {n: w.astype(np.float64) for n, w in model.weights.items()}
     model.weights, model.prior = wide, model.prior.astype(np.float64)
+    first = np.array([False, True, False, False])
 
     def mean() -> float:
-        out = model.forward(before[:4], ids[:4], first[:4])["logits"]
-        picked = out[np.arange(out.shape[0]), model.class_of[targets[:4].ravel()]]
+        out = model.forward(ids[:5], first)["logits"]
+        picked = out[np.arange(out.shape[0]), model.class_of[targets[1:5].ravel()]]
         return float((np.log(np.exp(out).sum(axis=1)) - picked).mean())
 
-    grads = model.gradients(before[:4], ids[:4], targets[:4], first[:4])
+    grads = model.gradients(ids[:5], targets[1:5], first)
+    some = int(ids[2, 3])
+    model.weights["embed"][some, 2] += 1e-4
+    up = mean()
+    model.weights["embed"][some, 2] -= 2e-4
+    down = mean()
+    model.weights["embed"][some, 2] += 1e-4
+    assert grads["embed"][some, 2] == pytest.approx((up - down) / 2e-4, rel=1e-2, abs=1e-5)
     for name in ("query", "key", "value", "mix", "out", "place"):
         model.weights[name][1, 2] += 1e-4
         up = mean()
@@ -390,7 +399,7 @@ def test_private_digests(spark, documents, texts):
         counts = Counter(k for k, _, _ in spans)
         digest = sha(",".join(f"{k}:{a}:{b}" for k, a, b in spans))
         want[(i, *(counts[k] for k in pii.BASE), digest)] += 1
-    assert rows(pii.pii_digests(df).drop("spans")) == want
+    assert rows(pii.pii_digests(df).drop("spans", "n_spans")) == want
     masked = pii.redact(df)
     assert masked.columns == df.columns and masked.where("text is null").count() == 1
     assert not any("@x-y" in (r["text"] or "") for r in masked.collect())
