@@ -100,6 +100,16 @@ def test_lm_packs_hold_every_text_and_rounds_every_block_once(documents, texts):
     assert got == want
 
 
+def test_lm_packs_keep_word_numbers_over_16_bits():
+    subwords = lm.Subwords(RANKS, public_tokenizers.PATTERN)
+    text = " ".join(f"w{i}" for i in range(70_000)).encode()
+    t = lm.Tokens.read(np.frombuffer(text, np.uint8), np.array([0, len(text)]), subwords)
+    again = lm.Tokens.unpacked(*t.packed())
+    assert t.of.max() > 0xFFFF and np.array_equal(t.of, again.of)
+    for a, b in zip(t.blocks(subwords, np.array([0])), again.blocks(subwords, np.array([0])), strict=True):
+        assert np.array_equal(a, b)
+
+
 def test_lm_gradients_and_training():
     subwords = lm.Subwords(RANKS, public_tokenizers.PATTERN)
     rng = np.random.default_rng(4)
