@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from tickerloom.operators.ids import with_dense_ids
 from tickerloom.operators.ordered import (
     asof_forward,
+    by_chunks,
+    numbered_with_lags,
     suffix_products,
     with_lags,
     with_row_number,
@@ -156,3 +158,40 @@ def test_large_side_is_shuffled_once_and_nothing_is_cross_joined(spark, rows):
     assert len(wide) == 4  # rows once; chunk tails, carry by key, carry back to chunks
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin"):
         assert bad not in plan
+
+
+def test_numbered_with_lags_is_both_scans_in_one_shuffle(spark, rows):
+    odd = [(6, None, 7), (None, day(3), 8), (None, day(30), 9)]
+    df = spark.createDataFrame(rows + odd, "k int, d date, v int")
+    chunked = by_chunks(df, ["k"], "d", CHUNK)
+    lags = {"p1": ("v", 1), "p2": ("v", 2)}
+    got = numbered_with_lags(chunked, ["k"], "d", "n", lags)
+    want = with_lags(with_row_number(df, ["k"], "d", "n", CHUNK), ["k"], "d", lags, CHUNK)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.select(got.columns).collect()))
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    # Whole rows are dealt once; the second scan finds that shuffle again.
+    assert "ReusedExchange" in plan or plan.split("Initial Plan")[0].count("REPARTITION_BY_NUM") == 1
+
+
+def test_tables_are_dealt_to_tasks_by_their_rows(spark, monkeypatch):
+    from tickerloom.operators import sizes
+
+    monkeypatch.setattr(sizes, "TASK_ROWS", 10)
+    df = spark.range(400).withColumn("k", F.col("id") % 50)
+    assert sizes.in_tasks(df, "k").rdd.getNumPartitions() == 40
+    assert sorted(r.id for r in sizes.in_tasks(df, "k").collect()) == list(range(400))
+
+
+def test_bars_move_once_and_are_not_checkpointed(spark, monkeypatch):
+    from tickerloom.bindings import derived
+    from tickerloom.operators import sizes
+
+    monkeypatch.setattr(sizes, "TASK_ROWS", 10)
+    lines = spark.range(60).selectExpr(
+        "id % 3 AS l_suppkey", "CAST(date_add(DATE'1995-01-01', CAST(id AS INT) * 40) AS TIMESTAMP) AS l_shipdate",
+        "CAST(100 + id AS DOUBLE) AS l_extendedprice", "CAST(5 AS DOUBLE) AS l_quantity",
+    )
+    bars = derived.derive_bars(lines)
+    assert bars.count() == 60
+    assert "ExistingRDD" not in bars._jdf.queryExecution().executedPlan().toString()
