@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickerloom.bindings.derived import Tables
+from tickerloom.operators.sizes import in_tasks
 from tickerloom.sources.adapters import INDEX_HEADER, STOCK_HEADER
 
 BLOCK = 1000
@@ -20,7 +21,10 @@ def _text(column: str) -> Column:
 
 
 def _as_files(lines: DataFrame, header: tuple[str, ...], path: str) -> DataFrame:
-    """Lines ``(relative_path, trading_date, line)`` as files, newest date first."""
+    """Lines ``(relative_path, trading_date, line)`` as files, newest date first.
+
+    Lines are dealt to tasks small enough to gather them in memory.
+    """
     body = F.transform(
         F.sort_array(F.collect_list(F.struct("trading_date", "line")), asc=False),
         lambda x: x["line"],
@@ -30,7 +34,8 @@ def _as_files(lines: DataFrame, header: tuple[str, ...], path: str) -> DataFrame
     )
     content = F.encode("text", "UTF-8")
     return (
-        lines.groupBy(path)
+        in_tasks(lines, path)
+        .groupBy(path)
         .agg(body.alias("body"))
         .select(path, text.alias("text"))
         .select(
