@@ -18,3 +18,33 @@ def test_files_are_gathered_in_tasks_of_few_lines(spark, monkeypatch):
     assert texts == {
         f"f{k}": "\r\n".join(["h", *(str(n) for n in range(399, -1, -1) if n % 40 == k), ""]) for k in range(40)
     }
+
+
+def test_lines_end_in_three_ways(spark):
+    from tickerloom.sources.csv_lines import with_records
+
+    texts = ["a,b\r\nc\rd\n", "", "\n", "x\n\r", "x\r\r\n", "\r\r", '"q""q, z",2\r\n3', '"",""""\n']
+    files = spark.createDataFrame([(n, bytearray(t, "utf-8")) for n, t in enumerate(texts)], "n int, content binary")
+    got = {r.n: [(x.line, list(x.cells)) for x in r.records] for r in with_records(files).collect()}
+    assert got == {
+        0: [(1, ["a", "b"]), (2, ["c"]), (3, ["d"])],
+        1: [(1, [])],
+        2: [(1, [])],
+        3: [(1, ["x"]), (2, [])],
+        4: [(1, ["x"]), (2, [])],
+        5: [(1, []), (2, [])],
+        6: [(1, ['q"q, z', "2"]), (2, ["3"])],
+        7: [(1, ["", '"'])],
+    }
+
+
+def test_reasons_and_numbers_are_compiled(spark):
+    from pyspark.sql import functions as F
+
+    from tickerloom.functions.normalize import first_reason, number
+
+    rows = spark.createDataFrame([("1.5",), ("\u00a02\u2003",), ("x",), (None,)], "t string")
+    value = number(F.col("t"))
+    found = rows.select("t", value.alias("v"), first_reason(F.when(value.isNull(), "bad"), F.when(value > 1.7, "big")).alias("r"))
+    assert "lambda" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r.v and float(r.v), r.r) for r in found.collect()] == [(1.5, []), (2.0, ["big"]), (None, ["bad"]), (None, ["bad"])]
