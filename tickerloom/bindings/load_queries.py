@@ -66,6 +66,7 @@ def classified(t: Tables) -> DataFrame:
         PRICE_KEY,
         PRICE_OBSERVATION,
         [*PRICE_PROVENANCE, "ingestion_run_id"],
+        rows=t.bars.count(),
     )
 
 
@@ -472,7 +473,7 @@ def _(t: Tables) -> DataFrame:
     "bars",
 )
 def _(t: Tables) -> DataFrame:
-    return compare.key_difference(t.bars, stored(t), ["security_id", "trading_date"])
+    return compare.key_difference(t.bars, stored(t), ["security_id", "trading_date"], rows=t.bars.count())
 
 
 # ------------------------------------------------------- snapshots, files, runs
