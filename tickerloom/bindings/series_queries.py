@@ -12,6 +12,7 @@ from tickerloom.bindings.derived import SOURCE, Tables
 from tickerloom.bindings.registry import query
 from tickerloom.operators.compare import compare_tables, symmetric_difference
 from tickerloom.operators.ordered import asof_forward
+from tickerloom.operators.sizes import in_tasks
 from tickerloom.plans import calendar, factors, series
 from tickerloom.plans.durable import durable
 from tickerloom.schemas import FACTOR_COMPARED, FACTOR_KEY, FactorMethod
@@ -493,7 +494,8 @@ def _(t: Tables) -> DataFrame:
     )
     flagged = b.anomalies.select("trading_date", F.lit(True).alias("a"))
     return rounded(
-        t.bars.join(steps, ["security_id", "trading_date"], "left")
+        in_tasks(t.bars.select("security_id", "trading_date"), "security_id", "trading_date")
+        .join(steps, ["security_id", "trading_date"], "left")
         .join(applied, ["security_id", "trading_date"], "left")
         .join(F.broadcast(flagged), "trading_date", "left")
         .select(
