@@ -253,7 +253,8 @@ def asof_forward(
         F.struct(*[F.col(c) for c in left.columns]).alias("_left"),
     ).withColumn(_CHUNK, chunk_of(F.col("_d"), days))
     rows = right.select(*keys, F.col(right_on).alias("_d"), *take).withColumn(_CHUNK, chunk_of(F.col("_d"), days))
-    asked = checked(probes.select(*group).distinct())
+    counted = checked(probes.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")))
+    asked = counted.select(*group)
     heads = rows.groupBy(*group).agg(F.min("_d").alias("_head"))
     later = (
         Window.partitionBy(*keys)
@@ -276,8 +277,10 @@ def asof_forward(
         .orderBy(F.col("_d").desc(), F.col("_side"))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    # No more rows can meet: sorted in tasks for them, whatever the session's partitions.
+    most = right.count() + (counted.agg(F.sum("_n")).first()[0] or 0)
     return (
-        seen.unionByName(probes, allowMissingColumns=True)
+        in_tasks(seen.unionByName(probes, allowMissingColumns=True), *group, rows=most)
         .withColumn(name, F.last("_hit", ignorenulls=True).over(newest_first))
         .filter(F.col("_side") == 1)
         .select("_left.*", name)

@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from tickerloom.functions.digest import multiset_digest
 from tickerloom.functions.returns import dividend_factor, price_factor
 from tickerloom.operators.compare import compare_tables, symmetric_difference
-from tickerloom.operators.ordered import asof_forward, with_lags
+from tickerloom.operators.histories import with_lags
+from tickerloom.operators.ordered import asof_forward
 from tickerloom.plans.durable import durable
 from tickerloom.plans.store import Store
 from tickerloom.schemas import (
@@ -66,11 +67,18 @@ def compared_by_date(prices: DataFrame) -> DataFrame:
     """
     has_reference = F.col("reference_price").isNotNull()
     rows = prices.filter(has_reference).groupBy("trading_date").agg(F.count(F.lit(1)).alias("n"))
+    # Day and mark of the first row as one number, which is reduced in place: the least of
+    # structs would sort every row first. A row without a date comes before all others.
+    undated = F.lit(-(1 << 40)).cast("bigint")
+    day = F.coalesce(F.unix_date("trading_date").cast("bigint"), undated)
+    packed = day * 2 + has_reference.cast("bigint")
+    first_day = F.shiftright("f", 1)
+    date = F.when(first_day != undated, F.date_from_unix_date(first_day.cast("int")))
     first = (
         prices.groupBy("security_id")
-        .agg(F.min(F.struct("trading_date", has_reference.alias("ref"))).alias("f"))
-        .filter("f.ref")
-        .groupBy(F.col("f.trading_date").alias("trading_date"))
+        .agg(F.min(packed).alias("f"))
+        .filter(F.pmod("f", F.lit(2)) == 1)
+        .groupBy(date.alias("trading_date"))
         .agg((-F.count(F.lit(1))).alias("n"))
     )
     return rows.unionByName(first).groupBy("trading_date").agg(F.sum("n").alias("compared_securities"))
