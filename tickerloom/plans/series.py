@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickerloom.functions.returns import index_return, price_return, total_return
-from tickerloom.operators.ordered import suffix_products, with_lags
+from tickerloom.operators.histories import suffix_products
+from tickerloom.operators.ordered import with_lags
 from tickerloom.schemas import DIVIDEND
 
 
