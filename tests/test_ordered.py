@@ -195,3 +195,71 @@ def test_bars_move_once_and_are_not_checkpointed(spark, monkeypatch):
     bars = derived.derive_bars(lines)
     assert bars.count() == 60
     assert "ExistingRDD" not in bars._jdf.queryExecution().executedPlan().toString()
+
+
+def test_whole_histories_are_scanned_once_and_give_the_same_rows(spark, rows, monkeypatch):
+    from tickerloom.operators import histories, sizes
+
+    odd = [(6, None, 7), (6, day(9), 3), (None, day(3), 8), (None, day(30), 9), (None, day(900), 4)]
+    df = spark.createDataFrame(rows + odd, "k int, d date, v int")
+    steps = [(k, d, 2.0, v) for k, d, v in rows[::5]] + [(3, day(500), 4.0, 7), (None, day(40), 2.0, 1), (6, None, 2.0, 1)]
+    table = spark.createDataFrame(steps, "k int, d date, f double, paid int")
+    lags = {"p1": ("v", 1), "d2": ("d", 2)}
+
+    def found(scans, numbered_rows):
+        return [
+            scans.with_lags(df, ["k"], "d", lags),
+            scans.numbered_with_lags(numbered_rows, ["k"], "d", "n", lags),
+            scans.suffix_products(df, table, ["k"], "d", {"m": "f"}, ["paid"]),
+        ]
+
+    def told(frames):
+        return [sorted(map(str, f.collect())) for f in frames]
+
+    from tickerloom.operators import ordered
+
+    whole = found(histories, histories.dealt(df, ["k"], "d"))
+    want = told(found(ordered, by_chunks(df, ["k"], "d")))
+    assert told(whole) == want
+    for f in whole:
+        plan = f._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+        assert plan.count("REPARTITION_BY_NUM") == 1 and "Join" not in plan and "ENSURE_REQUIREMENTS" not in plan
+    # A hot key: back to chunks.
+    monkeypatch.setattr(sizes, "TASK_ROWS", 100)
+    assert histories.dealt(df, ["k"], "d") is None
+    assert told([histories.with_lags(df, ["k"], "d", lags)]) == want[:1]
+
+
+def test_first_rows_are_found_without_sorting_prices(spark):
+    from tickerloom.plans.factors import compared_by_date
+
+    data = [(1, day(0), 1), (1, day(1), 1), (2, day(0), None), (2, day(1), 1), (3, day(1), 1), (4, None, 1), (4, day(1), 1)]
+    prices = spark.createDataFrame(data, "security_id bigint, trading_date date, reference_price int")
+    got = compared_by_date(prices)
+    assert {r.trading_date: r.compared_securities for r in got.collect()} == {day(0): 0, day(1): 3, None: 0}
+    assert "SortAggregate" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_joins_and_asof_scans_have_tasks_for_their_rows(spark, rows, monkeypatch):
+    from tickerloom.operators import sizes
+    from tickerloom.operators.compare import key_difference
+    from tickerloom.operators.upsert import classify
+
+    monkeypatch.setattr(sizes, "TASK_ROWS", 10)
+    df = frame(spark, rows)
+    n = len(rows)
+    tasks = max(spark.sparkContext.defaultParallelism, -(-n // 10))
+    some = df.filter("v % 2 = 0")
+    gone = key_difference(df, some, ["k", "d"], rows=n)
+    assert sorted((r.k, r.d) for r in gone.collect()) == [(k, d) for k, d, v in rows if v % 2]
+    judged = classify(df, some.withColumn("v", F.when(F.col("v") > 50, 0).otherwise(F.col("v"))), ["k", "d"], ["v"], rows=n)
+    assert {(r.k, r.d): r.outcome for r in judged.collect()} == {
+        (k, d): "new" if v % 2 else "conflict" if v > 50 else "unchanged" for k, d, v in rows
+    }
+    left = spark.createDataFrame([(k, d) for k, d, _ in rows], "k int, at date")
+    hits = asof_forward(left, df, ["k"], "at", "d", ["v"], days=CHUNK)
+    for f, most in ((gone, n), (judged, n), (hits, 2 * n)):
+        want = max(spark.sparkContext.defaultParallelism, -(-most // 10))
+        plan = f._jdf.queryExecution().executedPlan().toString()
+        assert f", {want}), REPARTITION_BY_NUM" in plan
+    assert tasks > spark.sparkContext.defaultParallelism

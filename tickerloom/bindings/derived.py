@@ -13,7 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerloom.operators.ordered import CHUNK, by_chunks, numbered_with_lags, with_lags, with_row_number
+from tickerloom.operators import histories, ordered
+from tickerloom.operators.ordered import CHUNK, by_chunks, with_lags, with_row_number
 from tickerloom.plans.durable import durable, shared_folder
 from tickerloom.plans.folders import remove_at_end
 from tickerloom.plans.store import Store
@@ -106,16 +107,17 @@ class Tables:
 
 def derive_bars(lineitem: DataFrame) -> DataFrame:
     """One bar per supplier and ship date, with planted gaps and discontinuities."""
-    lines = by_chunks(
-        lineitem.select(
-            F.col("l_suppkey").alias("security_id"),
-            F.to_date("l_shipdate").alias("trading_date"),
-            "l_extendedprice",
-            "l_quantity",
-        ),
-        ["security_id"],
-        "trading_date",
+    rows = lineitem.select(
+        F.col("l_suppkey").alias("security_id"),
+        F.to_date("l_shipdate").alias("trading_date"),
+        "l_extendedprice",
+        "l_quantity",
     )
+    # Histories lie whole in a task, and are scanned once, unless a security has too many lines.
+    lines, numbered_with_lags = histories.dealt(rows, ["security_id"], "trading_date"), histories.numbered_with_lags
+    if lines is None:
+        lines = by_chunks(rows, ["security_id"], "trading_date")
+        numbered_with_lags = ordered.numbered_with_lags
     # Rows move once, as numbers of 8 bytes; days, positions and lags are made where they lie.
     price = F.col("l_extendedprice").cast(PRICE)
     daily = lines.groupBy("security_id", CHUNK, "trading_date").agg(
