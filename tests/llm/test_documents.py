@@ -353,6 +353,23 @@ def test_suffixes_cut_copies(spark):
     assert rows(suffixes.dedup_digests(df)) == brute_bytes(some, 400)
 
 
+def test_suffixes_passages_of_over_50_words_go_from_400_bytes_on(spark):
+    """A passage's number of words does not matter: 399 equal bytes stay, 400 go."""
+    rng = random.Random(12)
+    some, sizes = [], (330, 399, 400, 401, 460)
+    for size in sizes:
+        passage = " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(size // 6 + 1))[:size]
+        assert len(passage.split()) > 50
+        for end in "<>":
+            lead = "".join(rng.choices("klmnop ", k=300))
+            some.append((len(some), f"{lead}{end}{passage}{end}{lead[::-1]}"))
+    df = spark.createDataFrame(some, "doc_id bigint, text string").repartition(3)
+    got = rows(suffixes.dedup_digests(df))
+    assert got == brute_bytes(some, 400)
+    removed = {r[0]: r[2] for r in got}
+    assert [removed[i] for i in range(len(some))] == [size if size >= 400 else 0 for size in sizes for _ in "<>"]
+
+
 def test_suffixes_empty(no_documents):
     assert suffixes.dedup_digests(no_documents).count() == 0
 
