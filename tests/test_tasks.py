@@ -48,3 +48,40 @@ def test_reasons_and_numbers_are_compiled(spark):
     found = rows.select("t", value.alias("v"), first_reason(F.when(value.isNull(), "bad"), F.when(value > 1.7, "big")).alias("r"))
     assert "lambda" not in found._jdf.queryExecution().optimizedPlan().toString()
     assert [(r.v and float(r.v), r.r) for r in found.collect()] == [(1.5, []), (2.0, ["big"]), (None, ["bad"]), (None, ["bad"])]
+
+
+def test_starts_of_records_are_those_of_whole_records(spark):
+    from tickerloom.sources.csv_lines import with_heads, with_records
+
+    texts = ["a,b,c\r\nd\r,e\n", "", "\n\nx", '"q""q, z",2,3,4\r\n3', '"",""""\n,"a"', 'a,"b\nc",d\n\n1,2,3', 'x"y,z']
+    files = spark.createDataFrame(
+        [(n, bytearray(t, "utf-8")) for n, t in enumerate(texts)] + [(7, bytearray(b"\xff")), (8, None)],
+        "n int, content binary",
+    )
+    whole = {r.n: r.records for r in with_records(files).collect()}
+    starts = {r.n: r for r in with_heads(files, 2).collect()}
+    for n, records in whole.items():
+        assert starts[n].header == (records and records[0].cells)
+        heads = starts[n].heads and [tuple(h) for h in starts[n].heads]
+        assert heads == (records and [(r.line, len(r.cells), r.cells[:2]) for r in records])
+    assert whole[5] and starts[7].heads is None and starts[8].header is None
+
+
+def test_a_file_is_inspected_without_its_other_cells(spark):
+    from tickerloom.sources.adapters import STOCK_HEADER, StockCsvSource
+
+    def line(*cells):
+        return ",".join([*cells, *["0"] * (len(STOCK_HEADER) - len(cells))])
+
+    lines = [
+        ",".join(STOCK_HEADER), line("2024-02-30", "ABC", "no such day"), line("2024-01-03T00:00:00", "abc", '" Two, ""b"" "'),
+        line("2024-01-03", "Abc", "later line"), "2024-01-09,ABC,short", line("2024-01-02", " abc ", "One"),
+    ]
+    path = "dataset/stocks/csv/ABC.csv"
+    content = bytearray("\r\n".join(lines), "utf-8")
+    files = spark.createDataFrame([(path, "s", 1, content)] * 2, "relative_path string, sha256 string, size_bytes long, content binary")
+    inspected = StockCsvSource("x").inspected(files)
+    first, second = inspected.collect()
+    assert first == second and (first.row_count, first.problem, first.newest_name) == (5, None, 'Two, "b"')
+    assert (str(first.newest_date), first.ticker_mismatch_values) == ("2024-01-03", ["Abc", "abc"])
+    assert "records#" not in inspected._jdf.queryExecution().analyzed().toString()

@@ -34,7 +34,7 @@ from tickerloom.sources.csv_lines import (
     data_rows,
     exploded_records,
     with_data_row_count,
-    with_records,
+    with_heads,
 )
 from tickerloom.sources.snapshot import Manifest, StructuralError, read_manifest
 
@@ -169,15 +169,15 @@ class RecordSource(Source):
         )
 
 
-def header_is(records: Column, header: Sequence[str]) -> Column:
+def header_is(cells: Column, header: Sequence[str]) -> Column:
     wanted = F.array(*[F.lit(h) for h in header])
-    return F.coalesce(F.get(records, F.lit(0))["cells"] == wanted, F.lit(False))
+    return F.coalesce(cells == wanted, F.lit(False))
 
 
-def structure_problem(records: Column, header: Sequence[str]) -> Column:
-    """Why a CSV file cannot be read at all, NULL when it can."""
-    return F.when(records.isNull(), "not valid UTF-8").when(
-        ~header_is(records, header), "unexpected header"
+def structure_problem(cells: Column, header: Sequence[str]) -> Column:
+    """Why a CSV file with these `cells` in its first record cannot be read at all, NULL when it can."""
+    return F.when(cells.isNull(), "not valid UTF-8").when(
+        ~header_is(cells, header), "unexpected header"
     )
 
 
@@ -222,40 +222,46 @@ class StockCsvSource(PriceSource):
             .when(is_csv, lenient)
             .alias("content")
         )
-        body = F.slice("records", F.lit(2), F.greatest(F.size("records"), F.lit(1)))
-        good = F.filter(body, lambda r: F.size(r["cells"]) == len(STOCK_HEADER))
-        parsed = with_records(
+        # The header names them at the start of a line; nothing else of a line is kept.
+        first = 1 + max(STOCK_HEADER.index(n) for n in ("Date", "Ticker", "Name"))
+        body = F.slice("heads", F.lit(2), F.greatest(F.size("heads"), F.lit(1)))
+        good = F.filter(body, lambda r: r["width"] == len(STOCK_HEADER))
+        parsed = with_heads(
             files.select(
                 "relative_path", "sha256", "size_bytes", self.classify(path).alias("role"), content
-            )
+            ),
+            first,
         ).withColumn("good", F.when(stock, good))
         dated = F.transform(
             "good",
             lambda r: F.struct(
                 trade_date(cell(r["cells"], STOCK_HEADER, "Date")).alias("date"),
                 (-r["line"]).alias("order"),
-                F.nullif(strip(cell(r["cells"], STOCK_HEADER, "Name")), F.lit("")).alias("name"),
+                r["cells"].alias("cells"),
             ),
         )
         newest = F.array_max(F.filter(dated, lambda d: d["date"].isNotNull()))
+        name = F.nullif(strip(cell(F.col("newest.cells"), STOCK_HEADER, "Name")), F.lit(""))
         key = F.regexp_extract(path, STOCK_PATH, 1)
-        tickers = F.transform("good", lambda r: strip(cell(r["cells"], STOCK_HEADER, "Ticker")))
+        # Few texts are different ones, so they are told apart before they are looked at.
+        tickers = F.array_distinct(F.transform("good", lambda r: cell(r["cells"], STOCK_HEADER, "Ticker")))
         by_case = F.filter(
-            F.array_distinct(tickers), lambda t: (t != key) & (F.upper(t) == key)
+            F.array_distinct(F.transform(tickers, strip)), lambda t: (t != key) & (F.upper(t) == key)
         )
+        parsed = parsed.withColumn("newest", F.when(stock, newest))
         return parsed.select(
             "relative_path",
             "sha256",
             "size_bytes",
             "role",
-            F.when(is_csv, F.coalesce(data_rows(F.col("records")), F.lit(0)))
+            F.when(is_csv, F.coalesce(data_rows(F.col("heads")), F.lit(0)))
             .otherwise(0)
             .cast("int")
             .alias("row_count"),
             F.when(stock, key).alias("source_key"),
-            F.when(stock, structure_problem(F.col("records"), STOCK_HEADER)).alias("problem"),
-            F.when(stock, newest["name"]).alias("newest_name"),
-            F.when(stock, newest["date"]).alias("newest_date"),
+            F.when(stock, structure_problem(F.col("header"), STOCK_HEADER)).alias("problem"),
+            F.when(stock, name).alias("newest_name"),
+            F.when(stock, F.col("newest.date")).alias("newest_date"),
             F.when(stock, F.array_sort(by_case)).alias("ticker_mismatch_values"),
         )
 
@@ -291,9 +297,9 @@ class IndexCsvSource(RecordSource):
         return path.startswith(INDEX_FOLDER) & ~path.rlike(INDEX_PATH)
 
     def problems(self, files: DataFrame) -> DataFrame:
-        problem = structure_problem(F.col("records"), INDEX_HEADER)
+        problem = structure_problem(F.col("header"), INDEX_HEADER)
         return (
-            with_records(files.select("relative_path", "content"))
+            with_heads(files.select("relative_path", "content"), 1)
             .select("relative_path", problem.alias("problem"))
             .filter("problem IS NOT NULL")
         )

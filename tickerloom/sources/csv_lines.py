@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import csv
 import io
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -46,18 +47,27 @@ def decoded(content: Column) -> Column:
     return F.regexp_replace(text, "^﻿", "")
 
 
-def _cells(line: Column) -> Column:
-    tokens = F.regexp_extract_all(line, F.lit(_TOKEN), F.lit(0))
+def _tokens(line: Column) -> Column:
+    """The fields of a line with quotes, each but the first with the comma before it."""
+    return F.regexp_extract_all(line, F.lit(_TOKEN), F.lit(0))
+
 
+def _unquoted(tokens: Column) -> Column:
     def unquote(i_token: Column, i: Column) -> Column:
         # The first token has no leading comma, even when the field is empty.
         field = F.when(i == 0, i_token).otherwise(F.substring(i_token, F.lit(2), F.length(i_token)))
         inner = F.substring(field, F.lit(2), F.length(field) - 2)
-        return F.when(field.startswith('"'), F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(field)
+        plain = F.when(field.startswith('"'), F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(field)
+        # Few fields of such a line are quoted themselves.
+        return F.when(F.contains(i_token, F.lit('"')), plain).otherwise(field)
+
+    return F.transform(tokens, unquote)
 
+
+def _cells(line: Column) -> Column:
     return (
         F.when(line == "", F.array().cast("array<string>"))
-        .when(F.contains(line, F.lit('"')), F.transform(tokens, unquote))
+        .when(F.contains(line, F.lit('"')), _unquoted(_tokens(line)))
         .otherwise(F.split(line, ","))
     )
 
@@ -99,6 +109,42 @@ def with_records(files: DataFrame) -> DataFrame:
     )
 
 
+def with_heads(files: DataFrame, first: int) -> DataFrame:
+    """Add ``header`` and ``heads``: the cells of the first record, the starts of all records.
+
+    ``heads`` is ``array<struct<line, width, cells>>`` with the `first` cells of each record,
+    so that no file is held a second time as cells. Both are NULL when the content is not
+    valid UTF-8.
+    """
+
+    def head(line: Column, fields: Column, cells: Callable[[Column], Column] = lambda c: c) -> Column:
+        # An array of one lets the fields be split once, however often they are looked at.
+        one = F.transform(
+            F.array(fields),
+            lambda f: F.struct(
+                line.cast("int").alias("line"), F.size(f).alias("width"), cells(F.slice(f, 1, first)).alias("cells")
+            ),
+        )
+        return F.get(one, F.lit(0))
+
+    def of_line(s: Column, i: Column) -> Column:
+        return (
+            F.when(s == "", head(i + 1, F.array().cast("array<string>")))
+            .when(F.contains(s, F.lit('"')), head(i + 1, _tokens(s), _unquoted))
+            .otherwise(head(i + 1, F.split(s, ",")))
+        )
+
+    parsed = _with_lines(files).withColumn("_parsed", _multiline_records("_spanning"))
+    return parsed.withColumns(
+        {
+            "header": F.coalesce(F.get("_parsed", F.lit(0))["cells"], _cells(F.get("_lines", F.lit(0)))),
+            "heads": F.when(
+                F.col("_parsed").isNotNull(), F.transform("_parsed", lambda r: head(r["line"], r["cells"]))
+            ).otherwise(F.transform("_lines", of_line)),
+        }
+    ).drop("_text", "_lines", "_spanning", "_parsed")
+
+
 def exploded_records(files: DataFrame, *keep: Column | str) -> DataFrame:
     """One row ``(*keep, line, cells)`` per record of every file.
 
