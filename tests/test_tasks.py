@@ -85,3 +85,37 @@ def test_a_file_is_inspected_without_its_other_cells(spark):
     assert first == second and (first.row_count, first.problem, first.newest_name) == (5, None, 'Two, "b"')
     assert (str(first.newest_date), first.ticker_mismatch_values) == ("2024-01-03", ["Abc", "abc"])
     assert "records#" not in inspected._jdf.queryExecution().analyzed().toString()
+
+
+def test_findings_are_listed_for_bad_rows_only(spark):
+    from decimal import Decimal
+
+    from pyspark.sql import functions as F
+
+    from tickerloom.functions.validate import hard_codes, hard_price_codes, price_issues
+
+    prices = [None, Decimal(-1), Decimal(1), Decimal(2)]
+    rows = spark.createDataFrame(
+        [(o, h, c, v, s) for o in prices for h in prices for c in prices for v in (None, -1, 1) for s in (None, "traded", "unknown")],
+        "open decimal(20,4), high decimal(20,4), close decimal(20,4), volume long, trading_status string",
+    ).withColumn("low", F.col("open"))
+    pairs = rows.select(hard_codes(price_issues()).alias("a"), hard_price_codes().alias("b")).collect()
+    assert all(r.a == r.b for r in pairs) and {len(r.b) for r in pairs} > {0, 1}
+
+
+def test_keys_are_found_in_one_pass(spark):
+    from pyspark.sql import functions as F
+
+    from tickerloom.bindings.structure_queries import least_keys
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def looked(n):
+        seen.add(1)
+        return n
+
+    lines = spark.createDataFrame([("b", 0), ("a", 2), ("c", 0), ("d", 1)], "source_key string, n int")
+    judged = lines.groupBy("source_key").agg(F.max(looked("n")).alias("bad"))
+    assert least_keys(judged) == ("b", "a") and seen.value == 4
+    assert least_keys(judged.filter("bad > 5")) == (None, None)

@@ -178,6 +178,12 @@ cte("one_security", "SELECT k, count(reason) AS bad FROM edition_2 GROUP BY k",
 _FROM, _TO = "1992-06-01", "1998-10-31"
 
 
+def least_keys(judged: DataFrame) -> tuple[str | None, str | None]:
+    """The least key without and with bad lines, from one pass over the lines."""
+    key = F.col("source_key")
+    return tuple(judged.agg(F.min(F.when(F.col("bad") == 0, key)), F.min(F.when(F.col("bad") > 0, key))).first())
+
+
 @query(
     "v6_validated_read",
     f"""SELECT k AS security, trading_date, pos AS line, CAST(reference_price AS DOUBLE) + CASE WHEN changed THEN 1 ELSE 0 END AS reference_price,
@@ -193,7 +199,7 @@ def _(t: Tables) -> DataFrame:
     files = t.written("stock_edition_2", lambda: stock_edition(t, 2))
     provider = SnapshotPrices(t.spark, jobs.STOCK, folder(t, "stocks", files))
     judged = quarantine(jobs.STOCK.rows(files)).groupBy("source_key").agg(F.max(F.size("reasons")).alias("bad"))
-    good, bad = (judged.filter(test).agg(F.min("source_key")).first()[0] for test in ("bad = 0", "bad > 0"))
+    good, bad = least_keys(judged)
     name = jobs.STOCK.id_prefix
     rows = provider.daily_prices(_FROM, _TO, f"{name}{good}").select(
         F.lit(good).alias("security"),

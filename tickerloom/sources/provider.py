@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickerloom.functions.normalize import record_ref
-from tickerloom.functions.validate import hard_codes, price_issues
+from tickerloom.functions.validate import hard_price_codes
 from tickerloom.operators.dedupe import key_groups, require_no_conflicts
 from tickerloom.plans.durable import durable
 from tickerloom.schemas import PRICE_OBSERVATION
@@ -97,7 +97,7 @@ class SnapshotPrices:
         judged = durable(
             rows.withColumn(
                 "reasons",
-                F.when(F.size("reasons") > 0, F.col("reasons")).otherwise(hard_codes(price_issues())),
+                F.when(F.size("reasons") > 0, F.col("reasons")).otherwise(hard_price_codes()),
             )
         )
         self._require_none(judged.filter(F.size("reasons") > 0))
