@@ -103,6 +103,23 @@ def test_findings_are_listed_for_bad_rows_only(spark):
     assert all(r.a == r.b for r in pairs) and {len(r.b) for r in pairs} > {0, 1}
 
 
+def test_records_are_parsed_once_for_all_their_values(spark):
+    from tickerloom.sources import json_records
+
+    record = '{"id":1,"KodeEmiten":"5","TanggalPencatatan":"2024-01-02T00:00:00","JenisTindakan":"x","JumlahSaham":3,"JumlahSahamSetelahTindakan":"4"}'
+    text = '{"totalRecordsAllTypes":2,"categories":{"c":{"count":2,"data":[' + record + "," + record.replace('"5"', "5") + "]}}}"
+    files = spark.createDataFrame([("f", "s", bytearray(text, "utf-8"))], "relative_path string, sha256 string, content binary")
+    found = json_records.action_records(files)
+    assert [(r.source_ticker, int(r.shares_after), r.reasons) for r in found.collect()] == [("5", 4, []), (None, 4, ["empty ticker"])]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("parsejson") == 1 and plan.count("decimal(38,10)") == 4
+    paid = '{"A.JK":[{"dividend":"1.5","dividend_type":"final","ex_date":"2024-01-02","fiscal_year":"2024","payment_date":null}]}'
+    files = spark.createDataFrame([("f", "s", bytearray(paid, "utf-8"))], "relative_path string, sha256 string, content binary")
+    found = json_records.dividend_records(files)
+    assert [(str(r.ex_date), r.reasons) for r in found.collect()] == [("2024-01-02", [])]
+    assert found._jdf.queryExecution().optimizedPlan().toString().lower().count("parsejson") == 1
+
+
 def test_keys_are_found_in_one_pass(spark):
     from pyspark.sql import functions as F
 

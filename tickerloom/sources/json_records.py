@@ -44,12 +44,14 @@ _DIVIDENDS = "map<string,array<string>>"
 
 
 def with_fields(records: DataFrame) -> DataFrame:
-    """Records with their fields parsed once, as ``map<string,string>``.
+    """Records with their fields parsed once, as ``map<string,string>`` and as ``typed`` values.
 
     The map keeps an absent field apart from a null one. It is NULL when the
     record is not an object.
     """
-    return records.withColumn("fields", F.from_json("raw", "map<string,string>"))
+    return records.withColumns(
+        {"fields": F.from_json("raw", "map<string,string>"), "typed": F.try_parse_json("raw")}
+    )
 
 
 def _text(field: str) -> Column:
@@ -59,7 +61,7 @@ def _text(field: str) -> Column:
 
 def _is_string(field: str) -> Column:
     """Whether the field holds a JSON string (numbers look alike in the map)."""
-    value = F.try_variant_get(F.try_parse_json("raw"), f"$.{field}", "variant")
+    value = F.try_variant_get("typed", f"$.{field}", "variant")
     return F.coalesce(F.schema_of_variant(value) == "STRING", F.lit(False))
 
 
@@ -111,8 +113,7 @@ def action_problems(files: DataFrame) -> DataFrame:
 
 def _shares(field: str) -> tuple[Column, Column]:
     """Share count and the reason it is unusable; a null count is allowed."""
-    text = _text(field)
-    value = number(text)
+    text, value = _text(field), F.col(f"_n_{field}")
     bad = text.isNotNull() & (value.isNull() | (value < 0) | value.try_cast(SHARES).isNull())
     reason = F.when(bad, F.concat(F.lit(f"{field}: invalid share count '"), text, F.lit("'")))
     return value.try_cast(SHARES), reason
@@ -129,7 +130,7 @@ def action_records(files: DataFrame) -> DataFrame:
         "source_category",
         F.posexplode("block.data").alias("index", "raw"),
     )
-    return with_fields(listed).select(
+    return with_event_values(with_fields(listed)).select(
         "relative_path",
         "sha256",
         "raw",
@@ -143,10 +144,21 @@ def action_records(files: DataFrame) -> DataFrame:
     )
 
 
+def with_event_values(records: DataFrame) -> DataFrame:
+    """Records with what `event_columns` looks at several times, computed once in a step of its own."""
+    counts = {f"_n_{f}": number(_text(f)) for f in ("JumlahSaham", "JumlahSahamSetelahTindakan")}
+    return records.withColumns(
+        {
+            "_ticker": F.when(_is_string("KodeEmiten"), _text("KodeEmiten")),
+            "_day": midnight_date(_text("TanggalPencatatan")),
+            **counts,
+        }
+    )
+
+
 def event_columns() -> dict[str, Column]:
-    """Columns of one event record, from its ``raw`` text and ``fields``."""
-    ticker = F.when(_is_string("KodeEmiten"), _text("KodeEmiten"))
-    when = midnight_date(_text("TanggalPencatatan"))
+    """Columns of one event record, from its ``fields`` and the columns of `with_event_values`."""
+    ticker, when = F.col("_ticker"), F.col("_day")
     involved, bad_involved = _shares("JumlahSaham")
     after, bad_after = _shares("JumlahSahamSetelahTindakan")
     required = F.array(*[F.lit(f) for f in ACTION_FIELDS])
@@ -206,7 +218,7 @@ def dividend_records(files: DataFrame) -> DataFrame:
     listed = tickers.select(
         "relative_path", "sha256", "source_ticker", F.posexplode("list").alias("index", "raw")
     )
-    return with_fields(listed).select(
+    return with_dividend_values(with_fields(listed)).select(
         "relative_path",
         "sha256",
         "raw",
@@ -232,12 +244,24 @@ def optional_date(text: Column, field: str) -> tuple[Column, Column]:
     return date, F.array_compact(F.array(issue))
 
 
+def with_dividend_values(records: DataFrame) -> DataFrame:
+    """Records with what `dividend_columns` looks at several times, computed once in a step of its own."""
+    amount = _text("dividend")
+    ex_text = F.when(_is_string("ex_date"), _text("ex_date"))
+    return records.withColumns(
+        {
+            "_kind": F.when(_is_string("dividend_type"), _text("dividend_type")),
+            "_ex_text": ex_text,
+            "_ex_date": iso_date(ex_text),
+            "_amount": F.when(amount.rlike(AMOUNT_PATTERN), number_wide(amount)),
+        }
+    )
+
+
 def dividend_columns() -> dict[str, Column]:
-    """Columns of one dividend record, from its ``raw`` text and ``fields``."""
+    """Columns of one dividend record, from its ``fields`` and the columns of `with_dividend_values`."""
     amount, year = _text("dividend"), _text("fiscal_year")
-    kind = F.when(_is_string("dividend_type"), _text("dividend_type"))
-    ex_text = F.when(_is_string("ex_date"), _text("ex_date"))
-    value = F.when(amount.rlike(AMOUNT_PATTERN), number_wide(amount))
+    kind, ex_text, ex_date, value = (F.col(c) for c in ("_kind", "_ex_text", "_ex_date", "_amount"))
     payment, issues = optional_date(_text("payment_date"), "payment_date")
 
     def reason(test: Column, label: str, text: Column) -> Column:
@@ -248,10 +272,10 @@ def dividend_columns() -> dict[str, Column]:
         reason(value.isNull() | (value <= 0), "dividend: not a positive amount", amount),
         reason(~F.coalesce(year.rlike(YEAR_PATTERN), F.lit(False)), "fiscal_year: unexpected value", year),
         reason(kind.isNull() | (kind == ""), "dividend_type: unexpected value", kind),
-        reason(iso_date(ex_text).isNull(), "ex_date: unexpected date", ex_text),
+        reason(ex_date.isNull(), "ex_date: unexpected date", ex_text),
     )
     return {
-        "ex_date": iso_date(ex_text),
+        "ex_date": ex_date,
         "amount": value,
         "amount_basis": F.lit("unstated"),
         "currency": F.lit("IDR"),
